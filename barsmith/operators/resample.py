@@ -114,11 +114,22 @@ def add_bar_windows(bars: DataFrame, rows: int = SEGMENT_ROWS) -> DataFrame:
     return over_bars(bars, GOLD_CONTEXT, lambda w: {**_vwap(w), **_volume_ratio(w)}, rows=rows)
 
 
+def _previous(columns):
+    fields = [f for f in NUMERIC_FIELDS if f in columns]
+    return lambda w: {f"prev_{f}": F.lag(f).over(w) for f in fields}
+
+
 def add_previous(bars: DataFrame, rows: int = SEGMENT_ROWS) -> DataFrame:
     """The previous bar's value of every numeric rule field, as ``prev_<field>``."""
-    fields = [f for f in NUMERIC_FIELDS if f in bars.columns]
+    return over_bars(bars, 1, _previous(bars.columns), rows=rows)
+
+
+def add_rule_fields(bars: DataFrame, rows: int = SEGMENT_ROWS) -> DataFrame:
+    """VWAP, volume ratio and all previous values in one pass, for rule evaluation."""
+    fields = [*bars.columns, "vwap", "volume_ratio"]
     return over_bars(
-        bars, 1, lambda w: {f"prev_{f}": F.lag(f).over(w) for f in fields}, rows=rows
+        bars, GOLD_CONTEXT + 1, lambda w: {**_vwap(w), **_volume_ratio(w)}, _previous(fields),
+        rows=rows,
     )
 
 

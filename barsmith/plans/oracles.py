@@ -6,6 +6,8 @@ needs and their prerequisites follow.
 
 from __future__ import annotations
 
+import re
+
 _CTE: dict[str, tuple[str, str]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -31,7 +33,12 @@ def _sql(needs: str, body: str, recursive: bool = False) -> str:
     return f"WITH {'RECURSIVE ' if recursive else ''}{parts}\n{body}"
 
 
-def _oracle(name: str, needs: str, body: str, recursive: bool = False) -> None:
+def _oracle(
+    name: str, needs: str, body: str, recursive: bool = False, off_tie: bool = True
+) -> None:
+    """``off_tie`` moves values off rounding ties, as the queries do when shown."""
+    if off_tie:
+        body = re.sub(r"\bround\((.*?), 4\)", r"round(\1 + 1e-7, 4)", body, flags=re.S)
     ORACLES[name] = _sql(needs, body, recursive)
 
 
@@ -213,7 +220,7 @@ SELECT symbol, open_time, round((high + low + close) / 3, 4) AS pivot,
  round(2 * ((high + low + close) / 3) - low, 4) AS r1,
  round((high + low + close) / 3 + (high - low), 4) AS r2,
  round(2 * ((high + low + close) / 3) - high, 4) AS s1,
- round((high + low + close) / 3 - (high - low), 4) AS s2 FROM clean""")
+ round((high + low + close) / 3 - (high - low), 4) AS s2 FROM clean""", off_tie=False)
 _oracle("signal_strength", "silver", """
 SELECT symbol, open_time, CASE WHEN score >= 3 THEN 'STRONG' WHEN score >= 2 THEN 'MODERATE' ELSE 'WEAK' END AS signal_type
 FROM (SELECT symbol, open_time,
@@ -337,9 +344,10 @@ SELECT {_KEY}, metric_name, round(metric_value, 4) AS metric_value FROM (
  UNION ALL SELECT {_KEY}, 'rsi_14', rsi_14 FROM full_bars WHERE timeframe = '1h')""")
 _oracle("realtime_gate", "bars", f"""
 SELECT {_KEY}, round(close, 4) AS close FROM bars WHERE window_start >= {_DAY}""")
-_oracle("latest_n_bars_per_key", "bars", f"""
-WITH batch AS (SELECT symbol, timeframe, min(window_start) AS first FROM bars WHERE window_start >= {_DAY} GROUP BY ALL)
-SELECT {_KEY}, round(close, 4) AS close FROM bars JOIN batch USING (symbol, timeframe) WHERE window_start < first
+_cte("bar_batch", "bars", f"""
+SELECT symbol, timeframe, min(window_start) AS first FROM bars WHERE window_start >= {_DAY} GROUP BY ALL""")
+_oracle("latest_n_bars_per_key", "bar_batch", f"""
+SELECT {_KEY}, round(close, 4) AS close FROM bars JOIN bar_batch USING (symbol, timeframe) WHERE window_start < first
 QUALIFY row_number() OVER (PARTITION BY symbol, timeframe ORDER BY window_start DESC) <= 20""")
 _cte("versions", "clean sizes", f"""
 SELECT symbol, timeframe, seconds, {_BUCKET} AS window_start,
@@ -356,7 +364,7 @@ FROM full_bars WHERE timeframe = '1h'""")
 _oracle("volume_profile", "bars", """
 SELECT symbol, CAST(floor(round(low + (high - low) / 10 * (i + 0.5), 4)) AS BIGINT) AS price,
  count(*) AS steps, round(sum(round(volume / 10, 4)), 4) AS volume
-FROM bars CROSS JOIN range(10) AS t(i) WHERE timeframe = '1h' AND high <> low GROUP BY 1, 2""")
+FROM bars CROSS JOIN range(10) AS t(i) WHERE timeframe = '1h' AND high <> low GROUP BY 1, 2""", off_tie=False)
 
 # ---- suppliers ---------------------------------------------------------------------------
 
@@ -542,12 +550,13 @@ _COOL = """(last_triggered_at IS NULL OR epoch(TIMESTAMP '2024-01-31') - epoch(l
 _oracle("alerts_after_cooldown", "latest rules", f"""
 SELECT rule_id, l.symbol, l.timeframe, window_start FROM latest l JOIN rules USING (rule_id) WHERE {_COOL}""")
 _oracle("alerts_triggered", "latest rules rule_bars", f"""
-SELECT sha256(rule_id || '|' || b.symbol || '|' || b.timeframe || '|' || strftime(window_start, '%Y-%m-%d %H:%M:%S')) AS alert_id,
- rule_id, user_id, b.symbol, b.timeframe, action, TIMESTAMP '2024-01-31' AS triggered_at,
+SELECT sha256(rule_id || '|' || l.symbol || '|' || l.timeframe || '|' || strftime(l.window_start, '%Y-%m-%d %H:%M:%S')) AS alert_id,
+ rule_id, user_id, l.symbol, l.timeframe, action, TIMESTAMP '2024-01-31' AS triggered_at,
  round(close, 4) AS close_price, round(rsi_14, 4) AS rsi_14, round(macd, 4) AS macd,
- round(volume_ratio, 4) AS volume_ratio, candle_pattern, window_start
-FROM latest l JOIN rules r USING (rule_id) JOIN rule_bars b USING (symbol, timeframe, window_start)
-WHERE {_COOL}""".replace("b.symbol AS", "symbol AS"))
+ round(volume_ratio, 4) AS volume_ratio, candle_pattern, l.window_start
+FROM latest l JOIN rules r USING (rule_id)
+JOIN rule_bars b ON b.symbol = l.symbol AND b.timeframe = l.timeframe AND b.window_start = l.window_start
+WHERE {_COOL}""")
 _oracle("format_signal", "alert_events", """
 SELECT alert_id, round(close_price, 4) AS close_price, round(rsi_14, 2) AS rsi_14, round(macd, 4) AS macd,
  round(volume_ratio, 2) AS volume_ratio, symbol, action, candle_pattern, rule_id,

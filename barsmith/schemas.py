@@ -39,7 +39,8 @@ high DOUBLE, low DOUBLE, close DOUBLE, volume DOUBLE, quote_volume DOUBLE, trade
 vwap DOUBLE, ma7 DOUBLE, ma25 DOUBLE, ma99 DOUBLE, rsi_14 DOUBLE, macd DOUBLE,
 macd_signal DOUBLE, macd_hist DOUBLE, bb_upper DOUBLE, bb_lower DOUBLE, atr_14 DOUBLE,
 price_change_pct DOUBLE, volume_ratio DOUBLE, candle_pattern STRING, price_rank INT,
-partition_date DATE, aggregated_at TIMESTAMP
+partition_date DATE, aggregated_at TIMESTAMP, name STRING, base_asset STRING,
+consensus STRING, cmc_rank INT
 """
 
 CONDITIONS = "ARRAY<STRUCT<field: STRING, operator: STRING, value: STRING>>"

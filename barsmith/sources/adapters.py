@@ -7,7 +7,7 @@ table, so it grows with it.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,9 +25,9 @@ INFO = (
     ("signup", "Signup", "SGN", "PoH+PoS", 4),
 )
 TIMEFRAMES = ("5m", "15m", "1h", "4h", "1d")
-AS_OF = datetime(2024, 1, 31)
-INGESTED_AT = datetime(2024, 1, 31, 0, 0, 1)
-LAST_DAY = datetime(2024, 1, 30)
+AS_OF = datetime(2024, 1, 31, tzinfo=timezone.utc)
+INGESTED_AT = datetime(2024, 1, 31, 0, 0, 1, tzinfo=timezone.utc)
+LAST_DAY = datetime(2024, 1, 30, tzinfo=timezone.utc)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

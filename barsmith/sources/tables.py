@@ -51,24 +51,42 @@ def write_batch(
 
 
 def read_batches(
-    spark: SparkSession, path: str, before: int | None = None, fmt: str = "parquet"
+    spark: SparkSession, path: str, before: int | None = None, schema: str | None = None,
+    fmt: str = "parquet",
 ) -> DataFrame | None:
     """All batches, or those numbered below ``before``; None where there is no table yet.
 
-    Batches may differ in columns; the reader merges their schemas. The batch number is a
-    partition column, so the bound prunes directories.
+    With a schema no file is opened to plan the read; without one the batches' own schemas
+    are merged, so a column that only later batches have reads as NULL in earlier ones. The
+    batch number is a partition column, so the bound prunes directories.
     """
     if not exists(spark, path):
         return None
     reader = spark.read.format(fmt).option("basePath", path)
-    if fmt == "parquet":
-        reader = reader.option("mergeSchema", "true")
+    reader = reader.schema(schema) if schema else reader.option("mergeSchema", "true")
     df = reader.load(path)
     return df if before is None else df.filter(F.col(BATCH) < before)
 
 
-def read_batch(spark: SparkSession, path: str, batch_id: int, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(f"{path}/{BATCH}={batch_id}")
+def latest_batch(spark: SparkSession, path: str, before: int) -> int | None:
+    """Highest batch number below ``before``, from the directory names alone."""
+    if not exists(spark, path):
+        return None
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in files.listStatus(target)]
+    numbers = [int(n.split("=")[1]) for n in names if n.startswith(f"{BATCH}=")]
+    return max((n for n in numbers if n < before), default=None)
+
+
+def read_batch(
+    spark: SparkSession, path: str, batch_id: int, schema: str | None = None,
+    fmt: str = "parquet",
+) -> DataFrame:
+    reader = spark.read.format(fmt)
+    if schema:
+        reader = reader.schema(schema)
+    return reader.load(f"{path}/{BATCH}={batch_id}")
 
 
 def gold_view(versions: DataFrame) -> DataFrame:
