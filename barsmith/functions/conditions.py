@@ -1,8 +1,9 @@
 """Rule conditions as column expressions.
 
-A bar carries its numeric rule fields as two arrays (current and previous values) in the
-order of ``NUMERIC_FIELDS``; a prepared condition carries the position of its field and its
-value both as text and as a number. Evaluation is then an array lookup and a comparison.
+A condition is prepared once per rule and tested once per bar. Preparing resolves the field to
+a position, the value to a number, and the operator to the set of comparison outcomes that
+satisfy it. Testing is then an array lookup, one comparison and a bit test, with no text
+handling per bar: a pattern compares as its number in the list of patterns.
 """
 
 from __future__ import annotations
@@ -10,63 +11,89 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..vocabulary import NUMERIC_FIELDS, OPERATORS, PATTERN_FIELD
+from ..vocabulary import NUMERIC_FIELDS, OPERATORS, PATTERN_FIELD, RULE_PATTERNS
+
+LESS, EQUAL, GREATER = 1, 2, 4
+ANY = LESS | EQUAL | GREATER
+# Outcomes of comparing the current value that satisfy each operator.
+CURRENT = {
+    ">": GREATER, "<": LESS, ">=": GREATER | EQUAL, "<=": LESS | EQUAL, "==": EQUAL,
+    "!=": LESS | GREATER, "crosses_above": GREATER, "crosses_below": LESS,
+}
+# Outcomes required of the previous value; the other operators do not look at it.
+PREVIOUS = {"crosses_above": LESS | EQUAL, "crosses_below": GREATER | EQUAL}
+FIELDS = (*NUMERIC_FIELDS, PATTERN_FIELD)
+
+
+def _pattern_number(pattern: Column) -> Column:
+    names = F.array(*[F.lit(p) for p in RULE_PATTERNS])
+    return F.nullif(F.array_position(names, F.upper(pattern)), F.lit(0)).cast("double")
 
 
 def field_values(columns: list[str], prefix: str = "") -> Column:
-    """The numeric rule fields as an array, NULL where the bar lacks the column."""
+    """The rule fields of a bar as an array, NULL where the bar lacks the column."""
     missing = F.lit(None).cast("double")
-    return F.array(*[
+    numbers = [
         F.col(prefix + f).cast("double") if prefix + f in columns else missing
         for f in NUMERIC_FIELDS
-    ])
+    ]
+    has_pattern = not prefix and PATTERN_FIELD in columns
+    pattern = _pattern_number(F.col(PATTERN_FIELD)) if has_pattern else missing
+    return F.array(*numbers, pattern)
+
+
+def _by_operator(operator: Column, outcomes: dict[str, int], otherwise: int) -> Column:
+    mask = F.lit(otherwise)
+    for name, outcome in outcomes.items():
+        mask = F.when(operator == name, outcome).otherwise(mask)
+    return mask
 
 
 def prepared_conditions(conditions: Column) -> Column:
-    """Resolve field names to array positions and values to numbers, once per rule."""
-    fields = F.array(*[F.lit(f) for f in NUMERIC_FIELDS])
-    return F.transform(
-        conditions,
-        lambda c: F.struct(
+    """Add slot, number and outcome sets to each condition.
+
+    Text equality of a number field with something that is no number never holds, and its
+    inequality always does. A pattern field knows equality and inequality only.
+    """
+    names = F.array(*[F.lit(f) for f in FIELDS])
+
+    def prepare(c: Column) -> Column:
+        is_pattern = c["field"] == PATTERN_FIELD
+        operator = c["operator"]
+        number = F.when(is_pattern, _pattern_number(c["value"])).otherwise(
+            c["value"].try_cast("double")
+        )
+        usable = number.isNotNull() & (~is_pattern | operator.isin("==", "!="))
+        return F.struct(
             c["field"].alias("field"),
-            c["operator"].alias("operator"),
+            operator.alias("operator"),
             c["value"].alias("value"),
-            F.when(c["field"] == PATTERN_FIELD, -1)
-            .otherwise(F.array_position(fields, c["field"]) - 1)
-            .cast("int")
-            .alias("slot"),
-            c["value"].try_cast("double").alias("number"),
-        ),
-    )
+            F.nullif(F.array_position(names, c["field"]), F.lit(0)).cast("int").alias("slot"),
+            F.coalesce(number, F.lit(0.0)).alias("number"),
+            F.when(usable, _by_operator(operator, CURRENT, 0))
+            .when(operator == "!=", ANY)
+            .otherwise(0)
+            .alias("current"),
+            _by_operator(operator, PREVIOUS, ANY).alias("previous"),
+        )
 
+    return F.transform(conditions, prepare)
 
-def _is_pattern(condition: Column) -> Column:
-    return condition["field"] == PATTERN_FIELD
 
+def _value(values: Column, condition: Column) -> Column:
+    return F.get(values, condition["slot"] - 1)
 
-def _slot(condition: Column) -> Column:
-    return F.when(condition["slot"] >= 0, condition["slot"])
 
+def _outcome(value: Column, number: Column) -> Column:
+    return F.when(value < number, LESS).when(value == number, EQUAL).when(value > number, GREATER)
 
-def condition_met(condition: Column, now: Column, before: Column, pattern: Column) -> Column:
-    """Whether one condition holds. Unknown fields or operators, NULL fields and values of
-    the wrong kind are not met; texts compare without case."""
-    operator, number = condition["operator"], condition["number"]
-    current, previous = F.get(now, _slot(condition)), F.get(before, _slot(condition))
-    numeric = (
-        F.when(operator == ">", current > number)
-        .when(operator == "<", current < number)
-        .when(operator == ">=", current >= number)
-        .when(operator == "<=", current <= number)
-        .when(operator == "==", current == number)
-        .when(operator == "!=", F.coalesce(current != number, F.lit(True)))
-        .when(operator == "crosses_above", (previous <= number) & (current > number))
-        .when(operator == "crosses_below", (previous >= number) & (current < number))
-    )
-    same = F.upper(pattern) == F.upper(condition["value"])
-    textual = F.when(operator == "==", same).when(operator == "!=", ~same)
-    result = F.when(_is_pattern(condition), textual).when(current.isNotNull(), numeric)
-    return F.coalesce(result, F.lit(False))
+
+def condition_met(condition: Column, now: Column, before: Column) -> Column:
+    """Whether one condition holds; unknown fields, operators and NULL values do not."""
+    number, required = condition["number"], condition["previous"]
+    current = condition["current"].bitwiseAND(_outcome(_value(now, condition), number)) > 0
+    previous = required.bitwiseAND(_outcome(_value(before, condition), number)) > 0
+    return F.coalesce(current & ((required == ANY) | previous), F.lit(False))
 
 
 def condition_reason(
@@ -74,13 +101,13 @@ def condition_reason(
 ) -> Column:
     """The condition, its outcome and the current value as text, or why it has no outcome."""
     field, operator = condition["field"], condition["operator"]
-    current, previous = F.get(now, _slot(condition)), F.get(before, _slot(condition))
-    shown = F.when(_is_pattern(condition), pattern).otherwise(current.cast("string"))
-    mark = F.when(condition_met(condition, now, before, pattern), "✓").otherwise("✗")
+    number = _value(now, condition).cast("string")
+    shown = F.when(field == PATTERN_FIELD, pattern).otherwise(number)
+    mark = F.when(condition_met(condition, now, before), "✓").otherwise("✗")
     return (
         F.when(shown.isNull(), F.concat(field, F.lit(" is None")))
         .when(
-            operator.startswith("crosses_") & previous.isNull(),
+            operator.startswith("crosses_") & _value(before, condition).isNull(),
             F.concat(F.lit("No previous data for "), field),
         )
         .when(~operator.isin(*OPERATORS), F.concat(F.lit("Unknown operator: "), operator))
@@ -92,15 +119,13 @@ def condition_reason(
     )
 
 
-def rule_met(
-    conditions: Column, logic: Column, now: Column, before: Column, pattern: Column
-) -> Column:
+def rule_met(conditions: Column, logic: Column, now: Column, before: Column) -> Column:
     """AND needs every condition, OR any; no conditions or another logic is never met."""
 
     def met(c):
-        return condition_met(c, now, before, pattern)
+        return condition_met(c, now, before)
 
-    outcome = F.when(F.upper(logic) == "AND", F.forall(conditions, met)).when(
-        F.upper(logic) == "OR", F.exists(conditions, met)
+    outcome = F.when(logic == "AND", F.forall(conditions, met)).when(
+        logic == "OR", F.exists(conditions, met)
     )
     return F.coalesce((F.size(conditions) > 0) & outcome, F.lit(False))

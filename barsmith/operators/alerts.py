@@ -45,7 +45,10 @@ def predicates(rules: DataFrame) -> DataFrame:
     distinct = with_predicate(rules).groupBy(PREDICATE).agg(
         *[F.any_value(c).alias(c) for c in (*GOLD_KEYS, "logic", "conditions")]
     )
-    return distinct.withColumn("conditions", prepared_conditions(F.col("conditions")))
+    return distinct.withColumns({
+        "logic": F.upper("logic"),
+        "conditions": prepared_conditions(F.col("conditions")),
+    })
 
 
 def _bar_values(bars: DataFrame) -> DataFrame:
@@ -57,7 +60,7 @@ def _bar_values(bars: DataFrame) -> DataFrame:
     )
 
 
-_VALUES = ("_now", "_before", "candle_pattern")
+_VALUES = ("_now", "_before")
 
 
 def _tested(bars: DataFrame, rules: DataFrame) -> DataFrame:
@@ -110,7 +113,7 @@ def latest_matches(bars: DataFrame, rules: DataFrame) -> DataFrame:
     )
     values = [F.col(c) for c in _VALUES]
     reasons = F.transform(
-        prepared_conditions(F.col("conditions")), lambda c: condition_reason(c, *values)
+        prepared_conditions(F.col("conditions")), lambda c: condition_reason(c, *values, F.col("candle_pattern"))
     )
     found = with_predicate(rules).join(last, PREDICATE).select(*rules.columns, "_bar.*")
     return found.withColumn("conditions_met", reasons).drop("_now", "_before")

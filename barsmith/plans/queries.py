@@ -128,19 +128,19 @@ def bronze_valid(spark, sf):
 
 @query
 def parse_kline_messages(spark, sf):
-    parsed = messages.parse_json(adapters.kline_messages(spark, sf))
+    parsed = messages.unwrapped(adapters.kline_messages(spark, sf))
     return messages.kline_candles(parsed, INGESTED_AT).select(*CANDLE_FACTS)
 
 
 @query
 def parse_trade_messages(spark, sf):
-    parsed = messages.parse_json(adapters.trade_messages(spark, sf))
+    parsed = messages.unwrapped(adapters.trade_messages(spark, sf))
     return messages.trade_ticks(parsed, INGESTED_AT)
 
 
 @query
 def parse_book_messages(spark, sf):
-    return messages.book_rows(messages.parse_json(adapters.book_messages(spark, sf)), INGESTED_AT)
+    return messages.book_rows(messages.unwrapped(adapters.book_messages(spark, sf)), INGESTED_AT)
 
 
 @query
@@ -169,7 +169,7 @@ def symbol_partition(spark, sf):
 
 @query
 def book_spread(spark, sf):
-    book = messages.book_rows(messages.parse_json(adapters.book_messages(spark, sf)), INGESTED_AT)
+    book = messages.book_rows(messages.unwrapped(adapters.book_messages(spark, sf)), INGESTED_AT)
     return messages.with_spread(book).select("update_id", "symbol", "spread")
 
 

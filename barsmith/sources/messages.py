@@ -1,12 +1,15 @@
 """Exchange messages and candle messages as typed rows.
 
-Exchange JSON has keys that differ by case only (e/E, t/T), so fields are read by path from a
-variant: names resolve exactly and a bad number reads as NULL. A message that lacks a required
-field or has a bad number gives no row.
+Exchange JSON has keys that differ by case only (e/E, t/T), which a struct schema cannot hold
+apart. Fields are read by ``json_tuple``: one pass over the text, exact key names, and NULL for
+what is missing. Being a generator it also keeps the validity filters from being pushed below
+it, where each of them would parse the text again. A message that lacks a required field or has
+a bad number gives no row.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 from functools import reduce
 
@@ -16,27 +19,27 @@ from pyspark.sql import functions as F
 from ..schemas import CANDLE
 from ..vocabulary import SYMBOLS
 
-DOCUMENT = "_document"
+BODY = "_body"
 _CANDLE_NAMES = [part.split()[0] for part in CANDLE.replace("\n", " ").split(",")]
 
 
-def parse_json(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Parse the text once and take the message out of its optional envelope."""
-    document = F.try_parse_json(F.col(value).cast("string"))
-    inner = F.try_variant_get(document, "$.data", "variant")
-    return messages.withColumn(DOCUMENT, F.coalesce(inner, document))
+def unwrapped(messages: DataFrame, value: str = "value") -> DataFrame:
+    """Add the message text without its optional ``data`` envelope."""
+    text = F.col(value).cast("string")
+    return messages.withColumn(BODY, F.coalesce(F.get_json_object(text, "$.data"), text))
 
 
-def _get(path: str, kind: str) -> Column:
-    return F.try_variant_get(DOCUMENT, f"$.{path}", kind)
+def _with_fields(df: DataFrame, text: str, names: Mapping[str, str]) -> DataFrame:
+    """Add JSON members as text columns; ``names`` maps column names to JSON keys."""
+    return df.select("*", F.json_tuple(text, *names.values()).alias(*names))
 
 
-def _has(path: str) -> Column:
-    return _get(path, "variant").isNotNull()
+def _millis(column: str) -> Column:
+    return F.timestamp_millis(F.col(column).try_cast("bigint"))
 
 
-def _millis(value: Column) -> Column:
-    return F.timestamp_millis(value)
+def _number(column: str) -> Column:
+    return F.col(column).try_cast("double")
 
 
 def _complete(df: DataFrame, columns) -> DataFrame:
@@ -49,82 +52,97 @@ def _now(ingested_at: datetime | None) -> Column:
 
 
 def routed(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Parsed messages with a route (candles, ticks, book) and a key; others are dropped."""
-    kind = _get("e", "string")
-    looks_like_book = _has("b") & _has("a") & _has("s")
+    """Unwrapped messages with a route (candles, ticks, book) and a key; others are dropped."""
+    fields = {"_kind": "e", "_symbol": "s", "_bid": "b", "_ask": "a", "_candle": "k"}
+    found = _with_fields(unwrapped(messages, value), BODY, fields)
+    kind = F.col("_kind")
+    looks_like_book = (
+        F.col("_bid").isNotNull() & F.col("_ask").isNotNull() & F.col("_symbol").isNotNull()
+    )
     route = (
         F.when(kind == "kline", "candles")
         .when(kind == "trade", "ticks")
         .when((kind == "bookTicker") | looks_like_book, "book")
     )
-    symbol = F.when(F.col("route") == "candles", _get("k.s", "string")).otherwise(_get("s", "string"))
+    in_candle = F.get_json_object("_candle", "$.s")
+    symbol = F.when(kind == "kline", in_candle).otherwise(F.col("_symbol"))
     return (
-        parse_json(messages, value)
-        .withColumn("route", route)
+        found.withColumns({"route": route, "key": F.coalesce(symbol, F.lit("UNKNOWN"))})
         .filter(F.col("route").isNotNull())
-        .withColumn("key", F.coalesce(symbol, F.lit("UNKNOWN")))
+        .drop(*fields)
     )
 
 
-def kline_candles(parsed: DataFrame, ingested_at: datetime | None = None) -> DataFrame:
-    """Candles of parsed kline messages."""
-    opened = _millis(_get("k.t", "bigint"))
+def kline_candles(unwrapped_rows: DataFrame, ingested_at: datetime | None = None) -> DataFrame:
+    """Candles of kline messages."""
     numbers = {
         "open": "o", "high": "h", "low": "l", "close": "c", "volume": "v", "quote_volume": "q",
         "taker_buy_base_vol": "V", "taker_buy_quote_vol": "Q",
     }
-    rows = parsed.filter(_has("k.s") & _has("k.i") & _has("k.x")).select(
-        _get("k.s", "string").alias("symbol"),
-        _millis(_get("E", "bigint")).alias("event_time"),
+    outer = _with_fields(unwrapped_rows.select(BODY), BODY, {"_event": "E", "_candle": "k"})
+    inner = _with_fields(outer, "_candle", {
+        "symbol": "s", "interval": "i", "_open": "t", "_close": "T", "_count": "n",
+        "_closed": "x", **numbers,
+    })
+    rows = inner.select(
+        "symbol",
+        _millis("_event").alias("event_time"),
         _now(ingested_at).alias("ingest_time"),
-        opened.alias("open_time"),
-        _millis(_get("k.T", "bigint")).alias("close_time"),
-        _get("k.i", "string").alias("interval"),
-        *[_get(f"k.{key}", "double").alias(name) for name, key in numbers.items()],
-        _get("k.n", "int").alias("trade_count"),
-        _get("k.x", "boolean").alias("is_closed"),
+        _millis("_open").alias("open_time"),
+        _millis("_close").alias("close_time"),
+        "interval",
+        *[_number(name).alias(name) for name in numbers],
+        F.col("_count").try_cast("int").alias("trade_count"),
+        F.col("_closed").try_cast("boolean").alias("is_closed"),
         F.lit("websocket").alias("source"),
-        F.to_date(opened).alias("partition_date"),
+        F.to_date(_millis("_open")).alias("partition_date"),
     )
-    required = ("event_time", "open_time", "close_time", "trade_count", *numbers)
+    optional = ("ingest_time", "source", "partition_date")
+    required = [c for c in _CANDLE_NAMES if c not in optional]
     return _complete(rows, required).select(*_CANDLE_NAMES)
 
 
-def trade_ticks(parsed: DataFrame, ingested_at: datetime | None = None) -> DataFrame:
-    """Ticks of parsed trade messages; the trade time falls back to the event time."""
-    event = _get("E", "bigint")
-    traded = F.coalesce(F.nullif(_get("T", "bigint"), F.lit(0)), event)
-    rows = parsed.select(
-        _get("s", "string").alias("symbol"),
-        _millis(event).alias("event_time"),
+def trade_ticks(unwrapped_rows: DataFrame, ingested_at: datetime | None = None) -> DataFrame:
+    """Ticks of trade messages; the trade time falls back to the event time."""
+    found = _with_fields(unwrapped_rows.select(BODY), BODY, {
+        "symbol": "s", "_event": "E", "_traded": "T", "_id": "t", "_price": "p", "_quantity": "q",
+        "_buyer": "b", "_seller": "a", "_maker": "m",
+    })
+    traded = F.coalesce(F.nullif(F.col("_traded").try_cast("bigint"), F.lit(0)),
+                        F.col("_event").try_cast("bigint"))
+    rows = found.select(
+        "symbol",
+        _millis("_event").alias("event_time"),
         _now(ingested_at).alias("ingest_time"),
-        _get("t", "bigint").alias("trade_id"),
-        _get("p", "double").alias("price"),
-        _get("q", "double").alias("quantity"),
-        _get("b", "bigint").alias("buyer_order_id"),
-        _get("a", "bigint").alias("seller_order_id"),
-        _millis(traded).alias("trade_time"),
-        _get("m", "boolean").alias("is_buyer_maker"),
+        F.col("_id").try_cast("bigint").alias("trade_id"),
+        _number("_price").alias("price"),
+        _number("_quantity").alias("quantity"),
+        F.col("_buyer").try_cast("bigint").alias("buyer_order_id"),
+        F.col("_seller").try_cast("bigint").alias("seller_order_id"),
+        F.timestamp_millis(traded).alias("trade_time"),
+        F.col("_maker").try_cast("boolean").alias("is_buyer_maker"),
         F.lit("websocket").alias("source"),
     )
     return _complete(rows, ("symbol", "price", "quantity"))
 
 
-def book_rows(parsed: DataFrame, ingested_at: datetime | None = None) -> DataFrame:
-    """Best bid and ask of parsed book messages."""
-    rows = parsed.select(
-        _get("s", "string").alias("symbol"),
+def book_rows(unwrapped_rows: DataFrame, ingested_at: datetime | None = None) -> DataFrame:
+    """Best bid and ask of book messages."""
+    found = _with_fields(unwrapped_rows.select(BODY), BODY, {
+        "symbol": "s", "_id": "u", "_bid": "b", "_bid_qty": "B", "_ask": "a", "_ask_qty": "A",
+    })
+    rows = found.select(
+        "symbol",
         _now(ingested_at).alias("ingest_time"),
-        _get("u", "bigint").alias("update_id"),
-        _get("b", "double").alias("best_bid"),
-        _get("B", "double").alias("best_bid_qty"),
-        _get("a", "double").alias("best_ask"),
-        _get("A", "double").alias("best_ask_qty"),
+        F.col("_id").try_cast("bigint").alias("update_id"),
+        _number("_bid").alias("best_bid"),
+        _number("_bid_qty").alias("best_bid_qty"),
+        _number("_ask").alias("best_ask"),
+        _number("_ask_qty").alias("best_ask_qty"),
         F.lit("websocket").alias("source"),
     )
-    return _complete(
-        rows, ("symbol", "update_id", "best_bid", "best_bid_qty", "best_ask", "best_ask_qty")
-    )
+    required = ("symbol", "update_id", "best_bid", "best_bid_qty", "best_ask", "best_ask_qty")
+    return _complete(rows, required)
 
 
 def with_spread(book: DataFrame) -> DataFrame:
@@ -139,18 +157,19 @@ def rest_candles(
     Array order: open time, open, high, low, close, volume, close time, quote volume, trade
     count, taker base volume, taker quote volume, unused.
     """
-    parts = rows.withColumn("_row", F.from_json(F.col(value), "array<string>"))
+    cells = F.from_json(F.col(value), "array<string>")
+    parts = rows.withColumn("_row", F.explode(F.array(cells)))
 
     def number(i: int, kind: str = "double") -> Column:
         return F.get("_row", F.lit(i)).try_cast(kind)
 
-    opened = _millis(number(0, "bigint"))
+    opened = F.timestamp_millis(number(0, "bigint"))
     candles = parts.select(
         "symbol",
         opened.alias("event_time"),
         _now(ingested_at).alias("ingest_time"),
         opened.alias("open_time"),
-        _millis(number(6, "bigint")).alias("close_time"),
+        F.timestamp_millis(number(6, "bigint")).alias("close_time"),
         "interval",
         *[
             number(i).alias(name)
@@ -180,11 +199,12 @@ def parsed_candles(messages: DataFrame) -> DataFrame:
 
     Malformed JSON gives NULL columns, which the validity filter removes.
     """
+    data = F.from_json(F.col("value").cast("string"), CANDLE)
     return messages.select(
         F.col("key").cast("string").alias("_kafka_key"),
         F.col("timestamp").alias("_kafka_ts"),
-        F.from_json(F.col("value").cast("string"), CANDLE).alias("data"),
-    ).select("_kafka_key", "_kafka_ts", "data.*")
+        F.inline(F.array(data)),
+    )
 
 
 def supported(df: DataFrame, symbols: DataFrame) -> DataFrame:

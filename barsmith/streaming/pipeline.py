@@ -265,16 +265,18 @@ def last_rows(rows: DataFrame, keys: Sequence[str], order: str, n: int) -> DataF
 def rejected_messages(batch: DataFrame) -> DataFrame:
     """Messages that give no valid candle, with the reason."""
     text = F.col("value").cast("string")
-    data = F.from_json(text, schemas.CANDLE)
+    found = messages.parsed_candles(batch.withColumn("key", text))
     error = (
-        F.when(F.try_parse_json(text).isNull(), "invalid JSON")
-        .when(data["symbol"].isNull(), "no symbol")
-        .when(data["open_time"].isNull(), "no open time")
-        .when(data["close"].isNull(), "no close")
+        F.when(F.get_json_object("_kafka_key", "$").isNull(), "invalid JSON")
+        .when(F.col("symbol").isNull(), "no symbol")
+        .when(F.col("open_time").isNull(), "no open time")
+        .when(F.col("close").isNull(), "no close")
+    )
+    bad = F.col("symbol").isNull() | F.col("open_time").isNull() | F.col("close").isNull()
+    return found.filter(bad).select(
+        F.col("_kafka_ts").alias("timestamp"), error.alias("error"),
+        F.col("_kafka_key").alias("event"),
     )
-    return batch.select(
-        F.col("timestamp"), error.alias("error"), text.alias("event")
-    ).filter(F.col("error").isNotNull())
 
 
 def kafka_source(spark: SparkSession, servers: str, topic: str = CANDLE_TOPIC) -> DataFrame:
