@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from ..functions import signal_message
 from ..functions.conditions import (
-    condition_met, condition_reason, field_values, prepared_conditions, rule_met,
+    FIELDS, condition_met, condition_reason, field_values, prepared_conditions, rule_met,
 )
 from ..schemas import ALERT_COLUMNS
+from ..vocabulary import RULE_PATTERNS
 from .resample import GOLD_KEYS
 from .rules import active_rules
 
@@ -105,18 +106,34 @@ def match_counts(bars: DataFrame, rules: DataFrame) -> DataFrame:
     )
 
 
-def latest_matches(bars: DataFrame, rules: DataFrame) -> DataFrame:
-    """Each rule with the last bar that meets it and the outcome of every condition."""
+def latest_matches(bars: DataFrame, rules: DataFrame, reasons: bool = False) -> DataFrame:
+    """Each rule with the last bar that meets it, and on request its conditions' outcomes.
+
+    Without reasons every aggregate buffer is a number, the pattern included, so matches fold
+    in a hash aggregate before the shuffle; the value arrays that reasons need force a sort.
+    """
+    found = matches(bars, rules)
+    at = F.col("window_start")
+    numbers = ("close", "rsi_14", "macd", "volume_ratio")
+    if not reasons:
+        code = F.element_at("_now", len(FIELDS)).cast("int")
+        last = found.groupBy(PREDICATE).agg(
+            F.max(at).alias("window_start"),
+            *[F.max_by(c, at).alias(c) for c in numbers],
+            F.max_by(code, at).alias("_pattern"),
+        )
+        names = F.array(*[F.lit(p) for p in RULE_PATTERNS])
+        last = last.withColumn("candle_pattern", F.get(names, F.col("_pattern") - 1)).drop("_pattern")
+        return with_predicate(rules).join(last, PREDICATE).drop(PREDICATE)
     row = F.struct(*_BAR_COLUMNS, "_now", "_before")
-    last = matches(bars, rules).groupBy(PREDICATE).agg(
-        F.max_by(row, "window_start").alias("_bar")
-    )
+    last = found.groupBy(PREDICATE).agg(F.max_by(row, at).alias("_bar"))
     values = [F.col(c) for c in _VALUES]
-    reasons = F.transform(
-        prepared_conditions(F.col("conditions")), lambda c: condition_reason(c, *values, F.col("candle_pattern"))
+    outcome = F.transform(
+        prepared_conditions(F.col("conditions")),
+        lambda c: condition_reason(c, *values, F.col("candle_pattern")),
     )
-    found = with_predicate(rules).join(last, PREDICATE).select(*rules.columns, "_bar.*")
-    return found.withColumn("conditions_met", reasons).drop("_now", "_before")
+    joined = with_predicate(rules).join(last, PREDICATE).select(*rules.columns, "_bar.*")
+    return joined.withColumn("conditions_met", outcome).drop("_now", "_before")
 
 
 def after_cooldown(matched: DataFrame, as_of: datetime | None = None) -> DataFrame:

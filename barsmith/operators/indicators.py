@@ -29,8 +29,35 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.try_divide(part, whole)
 
 
+def _sum(window: WindowSpec, column: str, rows: int) -> Column:
+    return F.sum(column).over(window.rowsBetween(1 - rows, 0))
+
+
+def _mean_of_blocks(window: WindowSpec, sums: str, block: int, blocks: int) -> Column:
+    """Mean over ``block * blocks`` rows from the rolling sums of ``block`` rows.
+
+    Spark evaluates a sliding frame anew for every row, so a frame of 99 rows costs 99
+    updates per row. Eleven sums of nine rows, fetched by lag, give the same mean for a fifth
+    of that, and only add like-sized numbers. Rows before the series count as absent.
+    """
+    total = F.col(sums)
+    for i in range(1, blocks):
+        total = total + F.coalesce(F.lag(sums, i * block).over(window), F.lit(0.0))
+    return total / F.least(F.row_number().over(window), F.lit(block * blocks))
+
+
 def moving_averages():
-    return [lambda w: {f"ma{n}": _mean(w, "close", n) for n in (7, 25, 99)}]
+    def sums(w):
+        return {
+            "ma7": _mean(w, "close", 7), "_sum5": _sum(w, "close", 5), "_sum9": _sum(w, "close", 9),
+        }
+
+    def means(w):
+        return {
+            "ma25": _mean_of_blocks(w, "_sum5", 5, 5), "ma99": _mean_of_blocks(w, "_sum9", 9, 11),
+        }
+
+    return [sums, means]
 
 
 def bollinger_bands():
@@ -84,8 +111,8 @@ def rsi_14():
 
 def macd_sma():
     return [
-        lambda w: {"_sma12": _mean(w, "close", 12), "_sma26": _mean(w, "close", 26)},
-        lambda w: {"macd": F.col("_sma12") - F.col("_sma26")},
+        lambda w: {"_sma12": _mean(w, "close", 12), "_sum13": _sum(w, "close", 13)},
+        lambda w: {"macd": F.col("_sma12") - _mean_of_blocks(w, "_sum13", 13, 2)},
         lambda w: {"macd_signal": _mean(w, "macd", 9)},
         lambda w: {"macd_hist": F.col("macd") - F.col("macd_signal")},
     ]

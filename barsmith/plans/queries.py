@@ -621,10 +621,9 @@ def rules_matched(spark, sf):
     )
 
 
-def _latest(spark, sf):
-    return alerts.latest_matches(
-        _rule_bars(spark, sf), rules.active_rules(adapters.rules(spark, sf))
-    )
+def _latest(spark, sf, reasons=False):
+    active = rules.active_rules(adapters.rules(spark, sf))
+    return alerts.latest_matches(_rule_bars(spark, sf), active, reasons)
 
 
 @query
@@ -633,7 +632,7 @@ def alerts_with_reasons(spark, sf):
     reasons = F.transform(
         "conditions_met", lambda r: F.regexp_replace(r, r" \(current=.*", "")
     )
-    return _latest(spark, sf).select(
+    return _latest(spark, sf, reasons=True).select(
         "rule_id", "symbol", "timeframe", "window_start",
         F.array_join(reasons, "; ").alias("reasons"),
     )
@@ -649,7 +648,7 @@ def alerts_after_cooldown(spark, sf):
 @query
 def alerts_triggered(spark, sf):
     fired = alerts.evaluate(_rule_bars(spark, sf), adapters.rules(spark, sf), AS_OF)
-    return fired.drop("message", "conditions_met")
+    return fired.drop("message")
 
 
 @query
