@@ -80,18 +80,25 @@ def matches(bars: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def condition_counts(bars: DataFrame, rules: DataFrame) -> DataFrame:
-    """For every distinct condition, how many bars were tested and how many met it."""
-    conditions = predicates(rules).select(
-        *GOLD_KEYS, F.explode("conditions").alias("condition")
-    ).distinct()
+    """For every distinct condition, how many bars were tested and how many met it.
+
+    Counted under one id, as predicates are, so that a hot symbol's join can be split.
+    """
+    names = (*GOLD_KEYS, "condition.field", "condition.operator", "condition.value")
+    conditions = (
+        predicates(rules)
+        .select(*GOLD_KEYS, F.explode("conditions").alias("condition"))
+        .distinct()
+        .withColumn("_condition", F.sha2(F.to_json(F.struct(*GOLD_KEYS, "condition")), 256))
+    )
     values = [F.col(c) for c in _VALUES]
     tested = _bar_values(bars).join(conditions, list(GOLD_KEYS)).select(
-        *GOLD_KEYS, "condition.field", "condition.operator", "condition.value",
-        condition_met(F.col("condition"), *values).cast("bigint").alias("met"),
+        "_condition", condition_met(F.col("condition"), *values).cast("bigint").alias("met")
     )
-    return tested.groupBy(*GOLD_KEYS, "field", "operator", "value").agg(
+    counts = tested.groupBy("_condition").agg(
         F.count(F.lit(1)).alias("bars"), F.sum("met").alias("bars_met")
     )
+    return conditions.join(counts, "_condition").select(*names, "bars", "bars_met")
 
 
 def match_counts(bars: DataFrame, rules: DataFrame) -> DataFrame:

@@ -79,19 +79,31 @@ def latest_versions(candles: DataFrame, key: Sequence[str] = CANDLE_KEY) -> Data
     return ranked.filter(F.col("_version") == 1).drop("_version")
 
 
+def sane(candles: DataFrame) -> DataFrame:
+    """Rows with a symbol, a time, a positive close, a volume and a high not below the low."""
+    close, volume, high, low = (
+        F.col(c).try_cast("double") for c in ("close", "volume", "high", "low")
+    )
+    return candles.filter(
+        F.col("symbol").isNotNull() & F.col("open_time").isNotNull()
+        & (close > 0) & (volume >= 0) & (high >= low)
+    )
+
+
+def current(candles: DataFrame) -> DataFrame:
+    """Clean candles, one per key. Rows that are not sane do not displace earlier ones."""
+    return clean(latest_versions(sane(candles)))
+
+
 def clean(candles: DataFrame) -> DataFrame:
     """Project to the silver columns and keep sane rows."""
     if "close_time" not in candles.columns and "event_time" in candles.columns:
         candles = candles.withColumnRenamed("event_time", "close_time")
     present = [c for c in SILVER_COLUMNS if c in candles.columns]
-    required = ("symbol", "open_time", "close", "volume")
-    rows = candles.select(*present).dropna(subset=required)
-    rows = rows.withColumns(
-        {c: F.col(c).try_cast("double") for c in NUMERIC_COLUMNS if c in present}
+    numbers = {c: F.col(c).try_cast("double") for c in NUMERIC_COLUMNS if c in present}
+    return sane(candles.select(*present)).withColumns(
+        {**numbers, "partition_date": F.to_date("open_time")}
     )
-    return rows.filter(
-        (F.col("close") > 0) & (F.col("volume") >= 0) & (F.col("high") >= F.col("low"))
-    ).withColumn("partition_date", F.to_date("open_time"))
 
 
 def with_pattern(candles: DataFrame) -> DataFrame:

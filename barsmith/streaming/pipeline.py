@@ -95,7 +95,7 @@ class Pipeline:
     def _write_silver(self, spark, changes, first_day, batch_id, as_of) -> None:
         stored = tables.read_batches(spark, self.path("bronze"), batch_id + 1, BRONZE)
         touched = from_first(stored, changes, SILVER_KEYS, "open_time", first_day)
-        new = candles.clean(candles.latest_versions(touched))
+        new = candles.current(touched)
         columns = new.columns
         older = self._context(
             spark, "silver", changes, SILVER_KEYS, "open_time", SILVER_CONTEXT, batch_id,

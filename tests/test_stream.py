@@ -59,7 +59,7 @@ GOLD = ["symbol", "timeframe", "window_start", "high", "low", "close", "volume",
 
 
 def expected(all_candles):
-    silver = candles.enrich(candles.clean(candles.latest_versions(all_candles)))
+    silver = candles.enrich(candles.current(all_candles))
     return silver, resample.gold(silver)
 
 
@@ -78,10 +78,12 @@ def test_micro_batches_equal_one_batch(spark, tmp_path, whole, split):
         data = whole
         order = F.when(minute % 17 == 5, 2).otherwise(F.floor(minute / 230)).cast("int")
     else:
-        # Open candles first, their closed versions with other prices one batch later.
+        # Open candles first, their closed versions with other prices one batch later, and
+        # with these a version that is not sane.
         drafts = whole.withColumns({"is_closed": F.lit(False), "close": F.col("close") + 1.5,
                                     "high": F.col("high") + 1.5})
-        data = whole.unionByName(drafts)
+        broken = drafts.withColumns({"is_closed": F.lit(True), "close": F.lit(-1.0)})
+        data = whole.unionByName(drafts).unionByName(broken)
         order = (F.floor(minute / 200) + F.col("is_closed").cast("int")).cast("int")
     feed(spark, data, tmp_path / "in", order)
     pipe = run(spark, tmp_path / "in", tmp_path / "out")
