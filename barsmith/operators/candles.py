@@ -21,18 +21,23 @@ SILVER_COLUMNS = (
 )
 
 
-def ticks_to_candles(ticks: DataFrame, interval: str = "1m", seconds: int = 60) -> DataFrame:
+def ticks_to_candles(
+    ticks: DataFrame, interval: str = "1m", seconds: int = 60, order: str = "trade_time"
+) -> DataFrame:
     """Aggregate trades to candles. All buffers are fixed-width, so the hash aggregate
-    combines on the map side and a busy minute costs one row per task in the shuffle."""
+    combines on the map side and a busy minute costs one row per task in the shuffle.
+
+    Open and close go by ``order``, which should be unique among a symbol's trades.
+    """
     at, value = F.col("trade_time"), F.col("price") * F.col("quantity")
     taker = ~F.col("is_buyer_maker")
     candles = ticks.groupBy("symbol", bucket_start(at, seconds).alias("open_time")).agg(
         F.max(at).alias("event_time"),
         F.max("ingest_time").alias("ingest_time"),
-        F.min_by("price", at).alias("open"),
+        F.min_by("price", order).alias("open"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),
-        F.max_by("price", at).alias("close"),
+        F.max_by("price", order).alias("close"),
         F.sum("quantity").alias("volume"),
         F.sum(value).alias("quote_volume"),
         F.count(F.lit(1)).cast("int").alias("trade_count"),

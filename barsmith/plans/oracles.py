@@ -374,7 +374,7 @@ SELECT CAST(l_suppkey AS VARCHAR) AS symbol, l_shipdate AS open_time,
  sum(qty) AS volume, sum(price * qty) AS quote_volume, count(*) AS trade_count,
  sum(CASE WHEN l_returnflag = 'R' THEN 0 ELSE qty END) AS taker_buy_base_vol
 FROM (SELECT *, l_extendedprice / l_quantity AS price, l_quantity AS qty,
- l_orderkey * 8 + l_linenumber AS tie FROM lineitem) GROUP BY 1, 2""")
+ (l_orderkey * 8 + l_linenumber) * 16777216 + l_partkey AS tie FROM lineitem) GROUP BY 1, 2""")
 _oracle("supplier_candles_1d", "supplier_candles", f"""
 SELECT symbol, open_time, {_r('open', 'high', 'low', 'close', 'volume', 'quote_volume')},
  trade_count, {_r('taker_buy_base_vol')} FROM supplier_candles""")

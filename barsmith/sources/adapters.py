@@ -67,13 +67,14 @@ def candle_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def supplier_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as trades of their supplier; the trade time makes the order unique."""
-    tie = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    day = F.unix_micros(F.col("l_shipdate").cast("timestamp"))
+    """Line items as trades of their supplier, ordered within the day by order, line and part."""
+    day = F.col("l_shipdate").cast("timestamp")
+    line = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").cast("string").alias("symbol"),
-        F.timestamp_micros(day + tie).alias("trade_time"),
-        F.timestamp_micros(day + tie).alias("ingest_time"),
+        day.alias("trade_time"),
+        day.alias("ingest_time"),
+        (line * (1 << 24) + F.col("l_partkey")).alias("sequence"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
         F.col("l_quantity").alias("quantity"),
         (F.col("l_returnflag") == "R").alias("is_buyer_maker"),
@@ -81,7 +82,7 @@ def supplier_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def supplier_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ticks_to_candles(supplier_ticks(spark, sf_dir), "1d", 86_400)
+    return ticks_to_candles(supplier_ticks(spark, sf_dir), "1d", 86_400, "sequence")
 
 
 def supplier_info(spark: SparkSession, sf_dir: str) -> DataFrame:
