@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import oracles, quality_rules
+from . import decontaminate, oracles, quality_rules, sharding
 from .common import documents
 
 
@@ -14,8 +14,19 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(documents(spark, sf_dir)).drop("text")
 
 
+def op5_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_by_bytes(documents(spark, sf_dir))
+
+
+def op9_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_overlaps(
+        documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op5_virtual_slots": op5_virtual_slots,
+    "op9_spaced_seeds": op9_spaced_seeds,
 }
 ORACLES: dict[str, str] = {
     "op1_quality_rules": oracles.quality_rules(),
