@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, oracles, quality_rules, sharding
+from . import decontaminate, minhash, oracles, quality_rules, sharding
 from .common import documents
 
 
@@ -14,6 +14,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(documents(spark, sf_dir)).drop("text")
 
 
+def op4_multi_index_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op5_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(documents(spark, sf_dir))
 
@@ -25,6 +29,7 @@ def op9_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op4_multi_index_minhash": op4_multi_index_minhash,
     "op5_virtual_slots": op5_virtual_slots,
     "op9_spaced_seeds": op9_spaced_seeds,
 }
