@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, minhash, oracles, quality_rules, sharding
+from . import bpe, decontaminate, minhash, oracles, quality_rules, sharding
 from .common import documents
 
 
@@ -22,6 +23,11 @@ def op5_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(documents(spark, sf_dir))
 
 
+def op8_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(
+        documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
+
+
 def op9_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_overlaps(
         documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -31,6 +37,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op4_multi_index_minhash": op4_multi_index_minhash,
     "op5_virtual_slots": op5_virtual_slots,
+    "op8_transducer_bpe": op8_transducer_bpe,
     "op9_spaced_seeds": op9_spaced_seeds,
 }
 ORACLES: dict[str, str] = {
