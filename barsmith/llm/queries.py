@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, minhash, oracles, quality_rules, sharding
+from . import bpe, decontaminate, minhash, oracles, quality_rules, secrets, sharding
 from .common import documents
 
 
@@ -33,12 +33,17 @@ def op9_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
         documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op10_grammar_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op4_multi_index_minhash": op4_multi_index_minhash,
     "op5_virtual_slots": op5_virtual_slots,
     "op8_transducer_bpe": op8_transducer_bpe,
     "op9_spaced_seeds": op9_spaced_seeds,
+    "op10_grammar_secrets": op10_grammar_secrets,
 }
 ORACLES: dict[str, str] = {
     "op1_quality_rules": oracles.quality_rules(),
