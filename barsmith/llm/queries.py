@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, minhash, oracles, quality_rules, secrets, sharding
+from . import bpe, decontaminate, minhash, oracles, quality_rules, secrets, sharding, tool_calls
 from .common import documents
 
 
@@ -15,6 +15,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(documents(spark, sf_dir)).drop("text")
 
 
+def op2_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tool_calls.link_conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op4_multi_index_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir))
 
@@ -39,6 +43,7 @@ def op10_grammar_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_tool_call_linking": op2_tool_call_linking,
     "op4_multi_index_minhash": op4_multi_index_minhash,
     "op5_virtual_slots": op5_virtual_slots,
     "op8_transducer_bpe": op8_transducer_bpe,
