@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, minhash, oracles, quality_rules, secrets, sharding, tool_calls
+from . import bpe, decontaminate, minhash, oracles, quality_rules, ranking, secrets, sharding, tool_calls
 from .common import documents
 
 
@@ -27,6 +27,11 @@ def op5_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(documents(spark, sf_dir))
 
 
+def op6_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return ranking.classify(docs, ranking.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op8_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(
         documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
@@ -46,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_tool_call_linking": op2_tool_call_linking,
     "op4_multi_index_minhash": op4_multi_index_minhash,
     "op5_virtual_slots": op5_virtual_slots,
+    "op6_bradley_terry": op6_bradley_terry,
     "op8_transducer_bpe": op8_transducer_bpe,
     "op9_spaced_seeds": op9_spaced_seeds,
     "op10_grammar_secrets": op10_grammar_secrets,
