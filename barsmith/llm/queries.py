@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, minhash, oracles, quality_rules, ranking, secrets, sharding, tool_calls
+from . import bpe, decontaminate, minhash, oracles, pii, quality_rules, ranking, secrets, sharding, tool_calls
 from .common import documents
 
 
@@ -19,6 +19,10 @@ def op2_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tool_calls.link_conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op3_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(documents(spark, sf_dir))
+
+
 def op4_multi_index_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir))
 
@@ -49,6 +53,7 @@ def op10_grammar_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_tool_call_linking": op2_tool_call_linking,
+    "op3_contextual_pii": op3_contextual_pii,
     "op4_multi_index_minhash": op4_multi_index_minhash,
     "op5_virtual_slots": op5_virtual_slots,
     "op6_bradley_terry": op6_bradley_terry,
