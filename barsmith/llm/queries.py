@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, minhash, oracles, pii, quality_rules, ranking, secrets, sharding, tool_calls
+from . import bpe, decontaminate, minhash, oracles, pii, quality_rules, ranking, secrets, sharding, suffix_dedup, tool_calls
 from .common import documents
 
 
@@ -36,6 +36,10 @@ def op6_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.classify(docs, ranking.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def op7_suffix_sort_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir))
+
+
 def op8_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(
         documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_multi_index_minhash": op4_multi_index_minhash,
     "op5_virtual_slots": op5_virtual_slots,
     "op6_bradley_terry": op6_bradley_terry,
+    "op7_suffix_sort_dedup": op7_suffix_sort_dedup,
     "op8_transducer_bpe": op8_transducer_bpe,
     "op9_spaced_seeds": op9_spaced_seeds,
     "op10_grammar_secrets": op10_grammar_secrets,
