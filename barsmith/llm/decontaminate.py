@@ -112,6 +112,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows whose text overlaps no benchmark item; rows without an id are judged alone."""
-    bad = find_overlaps(docs, benchmark).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+    """The rows whose text overlaps no benchmark item; rows without an id are told apart by text."""
+    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.md5(F.encode(whole_text("text"), "UTF-8"))))
+    bad = find_overlaps(docs.select(key.alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("_bad")).distinct()
+    return docs.withColumn("_key", key).join(bad, F.col("_key") == F.col("_bad"), "left_anti").drop("_key")

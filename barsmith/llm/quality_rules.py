@@ -163,3 +163,10 @@ def apply_rules(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "tex
     }
     keep = [F.col(f"`{c}`") for c in df.columns if c not in made]
     return out.select(*keep, *(v.alias(k) for k, v in made.items()))
+
+
+def keep_passing(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+    """The rows that every rule accepts, with their columns as they were."""
+    ok = compile_rules(rules, F.col("_m"))
+    marked = measures(df, text)
+    return marked.filter(F.forall(F.array(*(ok[r.name] for r in rules)), lambda x: x)).select(*(F.col(f"`{c}`") for c in df.columns))
