@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import interval_seconds
-from ..vocabulary import FIRST_RUN_MINUTES, MAX_GAP_HOURS, MIN_GAP_SECONDS, REQUEST_ROWS
+from ..vocabulary import MIN_GAP_SECONDS, REQUEST_ROWS
 from .indicators import SILVER_KEYS
 from .series import SEGMENT_ROWS, over_series
 
 
-def _minus(at, seconds: int):
+def _minus(at: Column, seconds: int) -> Column:
     return F.timestamp_micros(F.unix_micros(at) - seconds * 1_000_000)
 
 
@@ -22,26 +22,48 @@ def last_seen(candles: DataFrame) -> DataFrame:
     return candles.groupBy("symbol").agg(F.max("open_time").alias("last_open_time"))
 
 
-def downtime_gaps(candles: DataFrame, symbols: DataFrame, as_of: datetime) -> DataFrame:
-    """Range to backfill per symbol. Short gaps are skipped, long ones are cut to the last
-    hours, and a symbol never seen gets the last minutes only."""
+def downtime_gaps(
+    candles: DataFrame, symbols: DataFrame, as_of: datetime, since: datetime | None = None,
+    max_hours: int | None = None,
+) -> DataFrame:
+    """Range to backfill per symbol, from its last candle to ``as_of``; short gaps are skipped.
+
+    A symbol never seen is due from ``since``, by default from the first candle of any symbol;
+    its start is NULL where there is neither. ``max_hours`` cuts ranges to the last hours, for
+    callers that fill the rest otherwise; nothing is cut by default.
+    """
     now = F.lit(as_of).cast("timestamp")
-    start = F.coalesce("last_open_time", _minus(now, FIRST_RUN_MINUTES * 60))
-    gaps = symbols.select("symbol").distinct().join(last_seen(candles), "symbol", "left").select(
-        "symbol", start.alias("seen"), now.alias("gap_end")
-    )
-    seconds = (F.unix_micros("gap_end") - F.unix_micros("seen")) / 1_000_000
-    return gaps.filter(seconds >= MIN_GAP_SECONDS).select(
-        "symbol",
-        F.greatest("seen", _minus(F.col("gap_end"), MAX_GAP_HOURS * 3600)).alias("gap_start"),
-        "gap_end",
+    if since is None:
+        begin = candles.agg(F.min("open_time").alias("begin")).scalar()
+        listed = symbols.select("symbol").distinct().withColumn("begin", begin)
+    else:
+        listed = symbols.select("symbol").distinct().withColumn("begin", F.lit(since).cast("timestamp"))
+    gaps = listed.join(last_seen(candles), "symbol", "left").select(
+        "symbol", F.coalesce("last_open_time", "begin").alias("gap_start"), now.alias("gap_end")
     )
+    if max_hours is not None:
+        gaps = gaps.withColumn("gap_start", F.greatest("gap_start", _minus(F.col("gap_end"), max_hours * 3600)))
+    seconds = (F.unix_micros("gap_end") - F.unix_micros("gap_start")) / 1_000_000
+    return gaps.filter(F.col("gap_start").isNull() | (seconds >= MIN_GAP_SECONDS))
+
 
+def missing_days(
+    candles: DataFrame, as_of: datetime, symbols: DataFrame | None = None, since: datetime | None = None
+) -> DataFrame:
+    """Days without candles before ``as_of``, from the day of ``since``.
 
-def missing_days(candles: DataFrame, as_of: datetime) -> DataFrame:
-    """Days without candles between a symbol's first day and the day before ``as_of``."""
+    Without ``since`` a symbol is due from its first day, and one without any candle from the
+    first day of the table. ``symbols`` adds symbols that may have no candle at all.
+    """
     days = candles.select("symbol", F.to_date("open_time").alias("day")).distinct()
     span = days.groupBy("symbol").agg(F.min("day").alias("first"))
+    if symbols is not None:
+        span = symbols.select("symbol").distinct().join(span, "symbol", "left")
+    if since is not None:
+        span = span.withColumn("first", F.lit(since).cast("timestamp").cast("date"))
+    elif symbols is not None:
+        begin = candles.agg(F.to_date(F.min("open_time"))).scalar()
+        span = span.withColumn("first", F.coalesce("first", begin))
     yesterday = F.date_sub(F.lit(as_of).cast("timestamp").cast("date"), 1)
     due = span.filter(F.col("first") <= yesterday).select(
         "symbol", F.explode(F.sequence("first", yesterday)).alias("day")

@@ -46,8 +46,8 @@ SILVER_HISTORY, GOLD_HISTORY = 100, 20
 SERIES_ROWS, RECENT_ALERTS, RULE_HISTORY = 300, 50, 50
 MAX_PAGE, MAX_RULE_HISTORY = 100, 200
 
-# Backfill planning: seconds, hours, minutes, rows per request.
-MIN_GAP_SECONDS, MAX_GAP_HOURS, FIRST_RUN_MINUTES, REQUEST_ROWS = 120, 48, 5, 1000
+# Backfill planning: shortest gap in seconds, rows per request.
+MIN_GAP_SECONDS, REQUEST_ROWS = 120, 1000
 
 DISPLAY_OFFSET_HOURS = 7
 ALERT_TOPIC, CANDLE_TOPIC = "alert-events", "raw-ohlcv"
