@@ -143,21 +143,26 @@ def latest_matches(bars: DataFrame, rules: DataFrame, reasons: bool = False) ->
     return joined.withColumn("conditions_met", outcome).drop("_now", "_before")
 
 
-def after_cooldown(matched: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    """Rules never triggered, or triggered strictly longer ago than their cooldown."""
+def after_cooldown(rules: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    """Rules (or their matches) never triggered, or triggered strictly longer ago than their cooldown."""
     now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     elapsed = F.unix_seconds(now) - F.unix_seconds("last_triggered_at")
-    return matched.filter(
+    return rules.filter(
         F.col("last_triggered_at").isNull() | (elapsed > F.col("cooldown_seconds"))
     )
 
 
 def alert_rows(matched: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    """Alert events with a repeatable id and the signal message."""
+    """Alert events with the signal message.
+
+    The id covers the trigger time, as a long bar can fire again after each cooldown. A replay
+    with the same ``as_of`` gives the same ids.
+    """
     now = F.current_timestamp() if as_of is None else F.lit(as_of)
-    start = F.date_format("window_start", "yyyy-MM-dd HH:mm:ss")
+    start, fired = (
+        F.date_format(t, "yyyy-MM-dd HH:mm:ss") for t in (F.col("window_start"), now.cast("timestamp")))
     return matched.select(
-        F.sha2(F.concat_ws("|", "rule_id", "symbol", "timeframe", start), 256).alias("alert_id"),
+        F.sha2(F.concat_ws("|", "rule_id", "symbol", "timeframe", start, fired), 256).alias("alert_id"),
         "rule_id", "user_id", "symbol", "timeframe", "action",
         now.cast("timestamp").alias("triggered_at"),
         F.col("close").alias("close_price"),
@@ -187,8 +192,11 @@ def one_per_rule(alerts: DataFrame) -> DataFrame:
 def evaluate(
     bars: DataFrame, rules: DataFrame, as_of: datetime | None = None
 ) -> DataFrame:
-    """Active rules against bars that carry previous values: at most one alert per rule."""
-    return alert_rows(after_cooldown(latest_matches(bars, active_rules(rules)), as_of), as_of)
+    """Active rules against bars that carry previous values: at most one alert per rule.
+
+    Rules that are cooling down are left out first, which spares their predicates' tests.
+    """
+    return alert_rows(latest_matches(bars, after_cooldown(active_rules(rules), as_of)), as_of)
 
 
 def alert_messages(alerts: DataFrame) -> DataFrame:

@@ -29,7 +29,14 @@ def active_rules(rules: DataFrame) -> DataFrame:
 
 
 def normalised(payloads: DataFrame) -> DataFrame:
-    return payloads.withColumn("symbol", F.upper("symbol"))
+    """Payloads with their symbol in upper case and the defaults of members left out."""
+    defaults = {
+        "logic": F.lit(LOGICS[0]), "notification_channels": F.array(F.lit(CHANNELS[0])),
+        "cooldown_seconds": F.lit(DEFAULT_COOLDOWN), "is_active": F.lit(True),
+    }
+    given = set(payloads.columns)
+    filled = {c: F.coalesce(c, d) if c in given else d for c, d in defaults.items()}
+    return payloads.withColumns({"symbol": F.upper("symbol"), **filled})
 
 
 def _bad_condition(c: Column) -> Column:
@@ -44,13 +51,12 @@ def _bad_condition(c: Column) -> Column:
 
 
 def _checks() -> dict[str, Column]:
-    """Name of each violation and the test that raises it."""
+    """Name of each violation of a whole rule and the test that raises it."""
 
     def outside(name: str, values) -> Column:
         return ~F.coalesce(F.col(name).isin(*values), F.lit(False))
 
     channels, count = F.col("notification_channels"), F.size("conditions")
-    cooldown = F.coalesce("cooldown_seconds", F.lit(DEFAULT_COOLDOWN))
     email, url = F.col("email_address"), F.col("webhook_url")
     return {
         "condition count": ~F.coalesce(count.between(MIN_CONDITIONS, MAX_CONDITIONS), F.lit(False)),
@@ -58,7 +64,7 @@ def _checks() -> dict[str, Column]:
         "logic": outside("logic", LOGICS),
         "action": outside("action", ACTIONS),
         "timeframe": outside("timeframe", INTERVAL_SECONDS),
-        "cooldown": ~cooldown.between(MIN_COOLDOWN, MAX_COOLDOWN),
+        "cooldown": ~F.col("cooldown_seconds").between(MIN_COOLDOWN, MAX_COOLDOWN),
         "channel": F.exists(channels, lambda c: ~F.coalesce(c.isin(*CHANNELS), F.lit(False))),
         "email address": F.array_contains(channels, "email")
         & ~F.coalesce(email.contains("@"), F.lit(False)),
@@ -67,10 +73,33 @@ def _checks() -> dict[str, Column]:
     }
 
 
+#: The member that each check of a patch is about; targets are checked with the whole rule only.
+_PATCH_CHECKS = {
+    "condition count": "conditions", "condition value": "conditions", "logic": "logic", "action": "action",
+    "cooldown": "cooldown_seconds", "channel": "notification_channels",
+}
+
+
+def _failed(checks: dict[str, Column]) -> Column:
+    return F.array_compact(F.array(*[F.when(bad, name) for name, bad in checks.items()]))
+
+
 def rule_violations(payloads: DataFrame) -> DataFrame:
-    """A row per rule and failed check; a rule without rows is valid."""
-    failed = F.array_compact(F.array(*[F.when(bad, name) for name, bad in _checks().items()]))
-    return payloads.select("rule_id", F.explode(failed).alias("violation"))
+    """A row per rule and failed check; a rule without rows is valid. Expects ``normalised``."""
+    return payloads.select("rule_id", F.explode(_failed(_checks())).alias("violation"))
+
+
+def _patch_failures(columns) -> Column:
+    checks = _checks()
+    return _failed({
+        name: F.col(member).isNotNull() & checks[name]
+        for name, member in _PATCH_CHECKS.items() if member in columns
+    })
+
+
+def patch_violations(patches: DataFrame) -> DataFrame:
+    """A row per patch and failed check of the members that it gives."""
+    return patches.select(*RULE_KEY, F.explode(_patch_failures(patches.columns)).alias("violation"))
 
 
 def valid_rules(payloads: DataFrame) -> DataFrame:
@@ -84,18 +113,17 @@ def valid_rules(payloads: DataFrame) -> DataFrame:
 def created(rules: DataFrame, payloads: DataFrame, at: datetime) -> DataFrame:
     """Add valid new rules with the server-side defaults.
 
-    The id is a hash of owner and payload, so replaying a creation gives the same id; a rule
-    that is already in the table is not added twice.
+    The id is a hash of the whole payload, so replaying a creation gives the same id and rules
+    that differ in anything have their own; a rule that is already in the table is not added
+    twice.
     """
-    identity = F.sha2(
-        F.to_json(F.struct("user_id", "symbol", "timeframe", "conditions", "logic", "action")), 256
-    )
+    complete = normalised(payloads)
+    content = sorted(c for c in complete.columns if c != "rule_id")
+    identity = F.sha2(F.to_json(F.struct(*content)), 256)
     rule_id = F.coalesce("rule_id", identity) if "rule_id" in payloads.columns else identity
     stamp = F.lit(at).cast("timestamp")
-    new = valid_rules(normalised(payloads)).withColumns({
+    new = valid_rules(complete).withColumns({
         "rule_id": rule_id,
-        "cooldown_seconds": F.coalesce("cooldown_seconds", F.lit(DEFAULT_COOLDOWN)),
-        "is_active": F.coalesce("is_active", F.lit(True)),
         "created_at": stamp,
         "updated_at": stamp,
         "last_triggered_at": F.lit(None).cast("timestamp"),
@@ -106,9 +134,13 @@ def created(rules: DataFrame, payloads: DataFrame, at: datetime) -> DataFrame:
 
 
 def patched(rules: DataFrame, patches: DataFrame, at: datetime) -> DataFrame:
-    """Overwrite rules with the non-NULL fields of their patch; empty patches change nothing."""
+    """Overwrite rules with the non-NULL fields of their patch.
+
+    Empty patches change nothing, nor do those with a violation: see ``patch_violations``.
+    """
     fields = [f for f in PATCHABLE if f in patches.columns]
-    given = patches.dropna(how="all", subset=fields).select(
+    sound = patches.filter(F.size(_patch_failures(patches.columns)) == 0)
+    given = sound.dropna(how="all", subset=fields).select(
         *RULE_KEY, *[F.col(f).alias(f"_{f}") for f in fields], F.lit(True).alias("_patched")
     )
     changed = rules.join(given, list(RULE_KEY), "left").withColumns({

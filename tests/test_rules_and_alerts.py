@@ -56,6 +56,28 @@ def test_create_is_repeatable(spark):
     assert (new.symbol, new.cooldown_seconds, new.trigger_count) == ("ETHUSDT", 300, 0)
 
 
+def test_defaults_and_rules_that_differ_by_channel(spark):
+    lacking = table(spark, {"logic": None, "notification_channels": None, "cooldown_seconds": None})
+    assert rules.rule_violations(rules.normalised(lacking)).count() == 0
+    both = table(spark, {"notification_channels": ["email"]}, {"notification_channels": ["webhook"], "webhook_url": "https://h"})
+    payloads = both.unionByName(lacking).drop("rule_id")
+    made = rules.created(table(spark, {"rule_id": "old"}), payloads, AT).filter("rule_id <> 'old'").collect()
+    # The one that leaves everything out equals the first, but for the cooldown's default.
+    assert sorted(r.notification_channels for r in made) == [["email"], ["webhook"]]
+    assert {r.logic for r in made} == {"AND"} and len({r.rule_id for r in made}) == 2
+
+
+def test_bad_patches_change_nothing(spark):
+    stored = table(spark, {}, {"rule_id": "r2"}, {"rule_id": "r3"})
+    patches = spark.createDataFrame(
+        [("r1", "u1", "SELL", 5, None), ("r2", "u1", None, None, "XOR"), ("r3", "u1", None, 60, "OR")],
+        "rule_id STRING, user_id STRING, action STRING, cooldown_seconds INT, logic STRING")
+    wrong = sorted((r.rule_id, r.violation) for r in rules.patch_violations(patches).collect())
+    assert wrong == [("r1", "cooldown"), ("r2", "logic")]
+    got = {r.rule_id: (r.action, r.cooldown_seconds, r.logic) for r in rules.patched(stored, patches, AT).collect()}
+    assert got == {"r1": ("BUY", 300, "AND"), "r2": ("BUY", 300, "AND"), "r3": ("BUY", 60, "OR")}
+
+
 def test_patch_toggle_delete(spark):
     stored = table(spark, {}, {"rule_id": "r2"}, {"rule_id": "r3", "is_active": False})
     patches = spark.createDataFrame(
@@ -101,7 +123,8 @@ def test_one_alert_per_rule_with_latest_bar(spark):
     got = {r.rule_id: r for r in alerts.evaluate(bars(spark, [10.0, 12.0, 13.0]), stored, AT).collect()}
     assert set(got) == {"r1", "same", "cross", "due"}
     assert got["r1"].close_price == 13.0 and got["cross"].close_price == 12.0
-    assert json.loads(got["r1"].message)["signal_type"] == "MODERATE" or got["r1"].message
+    # RSI 20 gives two points and MACD 1.0 one; a volume ratio of 1 gives none.
+    assert json.loads(got["r1"].message)["signal_type"] == "STRONG"
     again = alerts.evaluate(bars(spark, [10.0, 12.0, 13.0]), stored, AT)
     assert {r.alert_id for r in again.collect()} == {r.alert_id for r in got.values()}
     why = alerts.latest_matches(bars(spark, [10.0]), rules.active_rules(table(spark, {})), reasons=True).first()
