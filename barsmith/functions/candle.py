@@ -53,10 +53,9 @@ def pivot_levels(high: Column, low: Column, close: Column) -> Column:
 def volume_profile(high: Column, low: Column, volume: Column, bins: int = 10) -> Column:
     """Spread the volume evenly over equal price steps; NULL for a flat candle."""
     step = (high - low) / bins
-    level = F.struct
     profile = F.transform(
         F.sequence(F.lit(0), F.lit(bins - 1)),
-        lambda i: level(
+        lambda i: F.struct(
             F.round(low + step * (i + F.lit(0.5)), 4).alias("price_level"),
             F.round(volume / bins, 4).alias("volume"),
         ),

@@ -1,8 +1,9 @@
 """Exchange messages and candle messages as typed rows.
 
 Exchange JSON has keys that differ by case only (e/E, t/T), which a struct schema cannot hold
-apart. Fields are read by ``json_tuple``: one pass over the text, exact key names, and NULL for
-what is missing. Being a generator it also keeps the validity filters from being pushed below
+apart. Fields are read by ``json_tuple``: one pass over a text for all its members, exact key
+names, and NULL for what is missing. A candle message takes three: for the envelope, the body
+and the candle in it. Being a generator it also keeps the validity filters from being pushed below
 it, where each of them would parse the text again. A message that lacks a required field or has
 a bad number gives no row.
 """
@@ -51,25 +52,57 @@ def _now(ingested_at: datetime | None) -> Column:
     return now.cast("timestamp")
 
 
+#: Members of a candle message: texts, then those that must be numbers.
+KLINE_TEXTS, KLINE_NUMBERS = ("s", "i", "x"), ("t", "T", "n", "o", "h", "l", "c", "v", "q", "V", "Q")
+
+
+def _good_times() -> Column:
+    """Whether a trade's times are numbers, or absent; text in their place spoils the message."""
+    fine = F.lit(True)
+    for column in ("_event", "_traded"):
+        fine = fine & (F.col(column).isNull() | F.col(column).try_cast("bigint").isNotNull())
+    return fine
+
+
 def routed(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Unwrapped messages with a route (candles, ticks, book) and a key; others are dropped."""
-    fields = {"_kind": "e", "_symbol": "s", "_bid": "b", "_ask": "a", "_candle": "k"}
-    found = _with_fields(unwrapped(messages, value), BODY, fields)
+    """Unwrapped messages with a route (candles, ticks, book) and a key.
+
+    Others are dropped, and so are those that their route's parser would drop.
+    """
+    fields = {
+        "_kind": "e", "_event": "E", "_symbol": "s", "_bid": "b", "_ask": "a", "_candle": "k", "_id": "u",
+        "_bid_qty": "B", "_ask_qty": "A", "_price": "p", "_quantity": "q", "_traded": "T",
+    }
+    outer = _with_fields(unwrapped(messages, value), BODY, fields)
+    # Names by place: Spark takes _t and _T for one.
+    names = {c: f"_k{i}" for i, c in enumerate(KLINE_TEXTS + KLINE_NUMBERS)}
+    inner = {name: c for c, name in names.items()}
+    found = _with_fields(outer, "_candle", inner)
     kind = F.col("_kind")
+
+    def numbers(*columns: str) -> Column:
+        return reduce(lambda a, c: a & _number(c).isNotNull(), columns, F.lit(True))
+
+    whole_candle = (
+        F.col("_event").try_cast("bigint").isNotNull() & numbers(*(names[c] for c in KLINE_NUMBERS))
+        & reduce(lambda a, c: a & F.col(names[c]).isNotNull(), KLINE_TEXTS, F.lit(True))
+        & F.col(names["x"]).try_cast("boolean").isNotNull()
+    )
+    whole_trade = F.col("_symbol").isNotNull() & numbers("_price", "_quantity") & _good_times()
+    whole_book = F.col("_symbol").isNotNull() & numbers("_id", "_bid", "_bid_qty", "_ask", "_ask_qty")
     looks_like_book = (
         F.col("_bid").isNotNull() & F.col("_ask").isNotNull() & F.col("_symbol").isNotNull()
     )
     route = (
-        F.when(kind == "kline", "candles")
-        .when(kind == "trade", "ticks")
-        .when((kind == "bookTicker") | looks_like_book, "book")
+        F.when(kind == "kline", F.when(whole_candle, "candles"))
+        .when(kind == "trade", F.when(whole_trade, "ticks"))
+        .when((kind == "bookTicker") | looks_like_book, F.when(whole_book, "book"))
     )
-    in_candle = F.get_json_object("_candle", "$.s")
-    symbol = F.when(kind == "kline", in_candle).otherwise(F.col("_symbol"))
+    symbol = F.when(kind == "kline", F.col(names["s"])).otherwise(F.col("_symbol"))
     return (
         found.withColumns({"route": route, "key": F.coalesce(symbol, F.lit("UNKNOWN"))})
         .filter(F.col("route").isNotNull())
-        .drop(*fields)
+        .drop(*fields, *inner)
     )
 
 
@@ -103,11 +136,11 @@ def kline_candles(unwrapped_rows: DataFrame, ingested_at: datetime | None = None
 
 
 def trade_ticks(unwrapped_rows: DataFrame, ingested_at: datetime | None = None) -> DataFrame:
-    """Ticks of trade messages; the trade time falls back to the event time."""
+    """Ticks of trade messages; an absent or zero trade time falls back to the event time."""
     found = _with_fields(unwrapped_rows.select(BODY), BODY, {
         "symbol": "s", "_event": "E", "_traded": "T", "_id": "t", "_price": "p", "_quantity": "q",
         "_buyer": "b", "_seller": "a", "_maker": "m",
-    })
+    }).filter(_good_times())
     traded = F.coalesce(F.nullif(F.col("_traded").try_cast("bigint"), F.lit(0)),
                         F.col("_event").try_cast("bigint"))
     rows = found.select(
