@@ -48,13 +48,10 @@ def merged_by_key(
 
     Columns in ``insert_only`` keep the value the key was first inserted with, all others
     take the latest version's. An aggregate rather than a window: each task folds its
-    versions of a key before the shuffle.
+    versions of a key before the shuffle, in a hash aggregate where all columns are numbers
+    or times.
     """
-    first = [c for c in insert_only if c in versions.columns]
-    last = [c for c in versions.columns if c not in (*keys, *first, version)]
-    kept = versions.groupBy(*keys).agg(
-        F.min_by(F.struct(*first), F.col(version)).alias("_first"),
-        F.max_by(F.struct(*last), F.col(version)).alias("_last"),
-    )
-    merged = kept.select(*keys, "_first.*", "_last.*")
+    kept = [c for c in versions.columns if c not in (*keys, version)]
+    pick = {c: F.min_by if c in insert_only else F.max_by for c in kept}
+    merged = versions.groupBy(*keys).agg(*[pick[c](F.col(c), F.col(version)).alias(c) for c in kept])
     return merged.select(*[c for c in versions.columns if c != version])

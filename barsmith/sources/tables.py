@@ -18,8 +18,9 @@ from ..operators.resample import GOLD_KEY
 
 BATCH = "batch_id"
 LAYERS = ("bronze", "silver", "gold")
-# Columns of a bar that keep the value they were first inserted with.
-GOLD_INSERT_ONLY = ("window_end", "open", "partition_date")
+# Columns of a bar that keep the value they were first inserted with. The open is not among
+# them: a bar is always computed from all its candles, so a late first candle changes it.
+GOLD_INSERT_ONLY = ("window_end", "partition_date")
 
 
 def layer_path(base: str, layer: str, table: str) -> str:

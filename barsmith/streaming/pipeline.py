@@ -6,7 +6,9 @@ own output, and a lost executor costs at most the stage at hand. Errors are rais
 stream then retries the batch from its checkpoint, and nothing is skipped.
 
 A batch may revise or precede rows already stored. What it touches is found per key as the
-first changed time; rows from there on are recomputed, with the rows before it as context.
+first and last changed time; rows between them, and as many after them as a rolling value looks
+back, are recomputed and written, with the rows before them as context. One late candle in an
+old series therefore writes a bounded number of rows.
 Context comes from a small table of each key's last rows, so a batch does not read history
 unless late rows reach back further than that table does.
 """
@@ -36,7 +38,6 @@ BRONZE = f"{schemas.CANDLE}, _kafka_key STRING, _kafka_ts TIMESTAMP"
 MESSAGE = "key BINARY, value BINARY, timestamp TIMESTAMP"
 # Bars carry VWAP over 21 rows, and the previous bar's VWAP for crossings.
 BAR_CONTEXT = resample.GOLD_CONTEXT + 1
-BASE_INTERVAL = "1m"
 
 
 @dataclass(frozen=True)
@@ -45,7 +46,8 @@ class Pipeline:
 
     ``load_rules`` gives the rule table; triggers already raised are folded in from the alert
     table. Bars before ``started_at`` raise no alerts. ``publish`` receives the alert messages
-    of a batch, for example to write them to a topic, and ``serve`` the batch's bars.
+    of a batch, for example to write them to a topic, and ``serve`` the batch's bars. Bars are
+    made of candles of ``base_interval``; candles of other intervals stay in bronze and silver.
     """
 
     base: str
@@ -57,6 +59,7 @@ class Pipeline:
     bronze_layout: tuple[str, ...] = ("partition_date",)
     gold_layout: tuple[str, ...] = ("timeframe", "partition_date")
     segment_rows: int = SEGMENT_ROWS
+    base_interval: str = "1m"
 
     def path(self, layer: str, table: str = "ohlcv") -> str:
         return tables.layer_path(self.base, layer, table)
@@ -74,9 +77,14 @@ class Pipeline:
         if first_day is None:
             return
         # The batch's own arrival time is the clock, so a replay repeats its stamps.
-        as_of = bounds["arrived"] or datetime.now()
-        changes = new.groupBy(*SILVER_KEYS).agg(F.min("open_time").alias("_first"))
+        as_of = bounds["arrived"]
+        if as_of is None:
+            raise ValueError("messages carry no timestamp")
+        changes = _ranges(new, SILVER_KEYS, "open_time")
         self._write_silver(spark, changes, first_day, batch_id, as_of)
+        # What silver has written anew is what bars must take up.
+        changes = _ranges(
+            tables.read_batch(spark, self.path("silver"), batch_id, schemas.SILVER), SILVER_KEYS, "open_time")
         bars = self._bars(spark, changes, first_day, batch_id).persist()
         try:
             self._write_gold(spark, bars, batch_id, as_of)
@@ -95,7 +103,7 @@ class Pipeline:
     def _write_silver(self, spark, changes, first_day, batch_id, as_of) -> None:
         stored = tables.read_batches(spark, self.path("bronze"), batch_id + 1, BRONZE)
         touched = from_first(stored, changes, SILVER_KEYS, "open_time", first_day)
-        new = candles.current(touched)
+        new = cut_after(candles.current(touched), changes, SILVER_KEYS, "open_time", SILVER_CONTEXT)
         columns = new.columns
         older = self._context(
             spark, "silver", changes, SILVER_KEYS, "open_time", SILVER_CONTEXT, batch_id,
@@ -115,7 +123,7 @@ class Pipeline:
 
     def _bars(self, spark, changes, first_day, batch_id) -> DataFrame:
         """Bars of every touched window and of those after it, with their rule fields."""
-        base = changes.filter(F.col("interval") == BASE_INTERVAL)
+        base = changes.filter(F.col("interval") == self.base_interval)
         stored = tables.read_batches(spark, self.path("silver"), batch_id + 1, schemas.SILVER)
         # Every timeframe divides a UTC day, so whole days make whole windows.
         days = base.withColumn("_first", F.date_trunc("day", "_first"))
@@ -125,13 +133,15 @@ class Pipeline:
         )
         windows = base.select(
             "symbol", F.explode(F.array(*[F.lit(t) for t in BAR_TIMEFRAMES])).alias("timeframe"),
-            "_first",
+            "_first", "_last",
         )
-        windows = windows.withColumn(
-            "_first", bucket_start(F.col("_first"), interval_seconds(F.col("timeframe")))
-        )
-        bars = resample.resample(rows, base_interval=BASE_INTERVAL)
-        new = from_first(bars, windows, resample.GOLD_KEYS, "window_start")
+        windows = windows.withColumns({
+            c: bucket_start(F.col(c), interval_seconds(F.col("timeframe"))) for c in ("_first", "_last")
+        })
+        bars = resample.resample(rows, base_interval=self.base_interval)
+        new = cut_after(
+            from_first(bars, windows, resample.GOLD_KEYS, "window_start"), windows, resample.GOLD_KEYS,
+            "window_start", BAR_CONTEXT)
         older = self._context(
             spark, "gold", windows, resample.GOLD_KEYS, "window_start", BAR_CONTEXT, batch_id,
             schemas.GOLD,
@@ -198,7 +208,7 @@ class Pipeline:
         tail = self._tail(spark, layer, batch_id, schema)
         if tail is None:
             return None
-        joined = tail.join(changes, list(keys))
+        joined = tail.join(changes.drop("_last"), list(keys))
         earlier = F.col(order) < F.col("_first")
         usable = last_rows(joined.filter(earlier), keys, order, n).drop("_first")
         # A full tail that late rows cut into may lack older rows; those keys read history.
@@ -243,6 +253,21 @@ def from_first(
     )
 
 
+def _ranges(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.min(order).alias("_first"), F.max(order).alias("_last"))
+
+
+def cut_after(rows: DataFrame, changes: DataFrame, keys: Sequence[str], order: str, n: int) -> DataFrame:
+    """Rows up to their key's last change, and the ``n`` rows that follow it."""
+    marked = rows.join(changes.select(*keys, "_last"), list(keys)).withColumn("_after", F.col(order) > F.col("_last"))
+    following = Window.partitionBy(*keys, "_after").orderBy(order)
+    return (
+        marked.withColumn("_rank", F.when(F.col("_after"), F.row_number().over(following)))
+        .filter(~F.col("_after") | (F.col("_rank") <= n))
+        .drop("_last", "_after", "_rank")
+    )
+
+
 def current_rows(versions: DataFrame, key: Sequence[str]) -> DataFrame:
     """The latest batch's version of each row."""
     newest = Window.partitionBy(*key).orderBy(F.col(tables.BATCH).desc())
@@ -279,14 +304,20 @@ def rejected_messages(batch: DataFrame) -> DataFrame:
     )
 
 
-def kafka_source(spark: SparkSession, servers: str, topic: str = CANDLE_TOPIC) -> DataFrame:
-    """The candle topic from its start, a bounded number of records per trigger."""
+def kafka_source(
+    spark: SparkSession, servers: str, topic: str = CANDLE_TOPIC, fail_on_data_loss: bool = True,
+) -> DataFrame:
+    """The candle topic from its start, a bounded number of records per trigger.
+
+    Offsets that expired before they were read stop the stream; without ``fail_on_data_loss``
+    they are passed over.
+    """
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
-        .option("failOnDataLoss", "false")
+        .option("failOnDataLoss", str(fail_on_data_loss).lower())
         .option("maxOffsetsPerTrigger", RECORDS_PER_TRIGGER)
         .load()
     )

@@ -54,7 +54,7 @@ def run(spark, source, base, **options):
 
 SILVER = ["symbol", "open_time", "close", "volume", "ma7", "ma99", "bb_upper", "rsi_14", "macd",
           "macd_signal", "atr_14", "volume_ratio", "price_change_pct", "candle_pattern"]
-GOLD = ["symbol", "timeframe", "window_start", "high", "low", "close", "volume", "trade_count",
+GOLD = ["symbol", "timeframe", "window_start", "window_end", "open", "high", "low", "close", "volume", "trade_count",
         "vwap", "volume_ratio", "ma25", "rsi_14", "candle_pattern"]
 
 
@@ -113,6 +113,31 @@ def test_alerts_cool_down_and_replay(spark, tmp_path, whole):
     assert before == after
 
 
+def test_one_late_row_rewrites_a_bounded_stretch(spark, tmp_path, make_candles):
+    rows = [("AAA", i, 50.0 + i % 11) for i in range(700)]
+    data = make_candles(rows)
+    feed(spark, data, tmp_path / "in", F.when(F.minute("open_time") + F.hour("open_time") * 60 == 725, 1).otherwise(0))
+    pipe = run(spark, tmp_path / "in", tmp_path / "out")
+    silver, gold = expected(data)
+    assert rows_of(pipe.silver(spark), SILVER) == rows_of(silver, SILVER)
+    assert rows_of(pipe.gold(spark), GOLD) == rows_of(gold, GOLD)
+    written = tables.read_batch(spark, pipe.path("silver"), 1, schemas.SILVER).count()
+    assert written == 1 + p.SILVER_CONTEXT < 200
+    bars = {r["timeframe"]: r["count"] for r in tables.read_batch(spark, pipe.path("gold"), 1).groupBy("timeframe").count().collect()}
+    assert bars["5m"] <= written // 5 + 2 + p.BAR_CONTEXT
+
+
+def test_a_long_bar_fires_again_under_its_own_id(spark, tmp_path, make_candles):
+    data = make_candles([("BBB", i, 50.0) for i in range(240)])
+    feed(spark, data, tmp_path / "in", F.floor((F.hour("open_time") - 12)).cast("int"))
+    rule = tuple("1d" if v == "5m" else 1800 if v == 3600 else v for v in RULE)
+    pipe = run(spark, tmp_path / "in", tmp_path / "out", load_rules=lambda s: s.createDataFrame([rule], schemas.RULE))
+    ids = [r["alert_id"] for r in pipe.alerts(spark).collect()]
+    assert len(ids) == len(set(ids)) == 4
+    pipe.process(spark.read.schema(p.MESSAGE).parquet(f"{tmp_path}/in/3"), 3)
+    assert {r["alert_id"] for r in pipe.alerts(spark).collect()} == set(ids)
+
+
 def test_backfill_raises_no_alerts(spark, tmp_path, whole):
     feed(spark, whole, tmp_path / "in", F.lit(0))
     pipe = run(
