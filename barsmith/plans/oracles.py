@@ -54,8 +54,8 @@ SELECT event_type AS symbol, ts, event_id, user_id, value AS price,
 FROM events""")
 
 _CANDLE_AGG = """
-       max(ts) AS event_time, arg_min(price, ts) AS open, max(price) AS high,
-       min(price) AS low, arg_max(price, ts) AS close, sum(qty) AS volume,
+       max(ts) AS event_time, arg_min(price, (ts, event_id)) AS open, max(price) AS high,
+       min(price) AS low, arg_max(price, (ts, event_id)) AS close, sum(qty) AS volume,
        sum(price * qty) AS quote_volume, CAST(count(*) AS BIGINT) AS trade_count,
        sum(CASE WHEN user_id % 2 = 0 THEN qty ELSE 0 END) AS taker_buy_base_vol,
        sum(CASE WHEN user_id % 2 = 0 THEN price * qty ELSE 0 END) AS taker_buy_quote_vol"""
@@ -97,7 +97,7 @@ SELECT symbol, date_trunc('milliseconds', ts) AS event_time,
  round(price, 4) AS price, round(qty, 4) AS quantity, user_id AS buyer_order_id,
  CAST(NULL AS BIGINT) AS seller_order_id, date_trunc('milliseconds', ts) AS trade_time,
  user_id % 2 = 1 AS is_buyer_maker, 'websocket' AS source
-FROM ticks WHERE price >= 1 AND NOT (symbol = 'click' AND qty = 99)""")
+FROM ticks WHERE price >= 1 AND NOT (symbol = 'click' AND qty = 99) AND qty NOT IN (2, 3)""")
 _BOOK = """
 SELECT symbol, TIMESTAMP '2024-01-31 00:00:01' AS ingest_time, event_id AS update_id,
  round(price, 4) AS best_bid, round(qty, 4) AS best_bid_qty,
@@ -110,12 +110,12 @@ SELECT event_id AS update_id, symbol, round(qty / 4 + 1, 4) AS spread FROM ticks
 _oracle("parse_rest_klines", "candles", f"""
 SELECT {_facts(event='open_time', source="'rest'")} FROM candles WHERE trade_count <> 2""")
 _oracle("route_messages", "ticks half candles", """
-SELECT 'candles' AS route, CASE WHEN symbol = 'view' AND trade_count = 1 THEN 'UNKNOWN' ELSE symbol END AS key,
-       count(*) AS messages
+SELECT 'candles' AS route, symbol AS key, count(*) AS messages
 FROM (SELECT symbol, trade_count FROM candles UNION ALL SELECT symbol, trade_count FROM half)
-GROUP BY ALL
-UNION ALL SELECT 'ticks', symbol, count(*) FROM ticks GROUP BY ALL
-UNION ALL SELECT 'book', symbol, count(*) FROM ticks GROUP BY ALL""")
+WHERE NOT (trade_count = 1 AND symbol IN ('error', 'view')) GROUP BY ALL
+UNION ALL SELECT 'ticks', symbol, count(*) FROM ticks
+ WHERE price >= 1 AND NOT (symbol = 'click' AND qty = 99) AND qty NOT IN (2, 3) GROUP BY ALL
+UNION ALL SELECT 'book', symbol, count(*) FROM ticks WHERE qty > 0 GROUP BY ALL""")
 _oracle("symbol_partition", "", """
 SELECT symbol, CAST(CASE symbol WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'purchase' THEN 2
  WHEN 'signup' THEN 3 WHEN 'view' THEN 4
@@ -138,7 +138,7 @@ _oracle("silver_clean", "clean", f"""
 SELECT symbol, open_time, open_time + INTERVAL 59999 MILLISECONDS AS close_time,
  '1m' AS "interval", {_r('open', 'high', 'low', 'close', 'volume', 'quote_volume')},
  trade_count, {_r('taker_buy_base_vol')}, CAST(open_time AS DATE) AS partition_date
-FROM clean WHERE open_time < TIMESTAMP '2024-01-30'""")
+FROM clean WHERE trade_count > 1""")
 
 _PATTERN = """CASE
  WHEN open IS NULL OR high IS NULL OR low IS NULL OR close IS NULL OR open = 0 THEN NULL
@@ -228,13 +228,9 @@ FROM (SELECT symbol, open_time,
  + CASE WHEN abs(m) > 0.001 THEN 1 ELSE 0 END + CASE WHEN v > 1.5 THEN 1 ELSE 0 END AS score
  FROM (SELECT symbol, open_time, round(rsi_14, 6) AS rsi, round(macd, 6) AS m, round(volume_ratio, 6) AS v FROM silver))""")
 
-_HOURLY = """
-SELECT symbol, time_bucket(INTERVAL '1 hour', open_time) AS open_time,
- arg_max(close, open_time) AS close FROM clean GROUP BY 1, 2"""
-_cte("hourly", "clean", _HOURLY)
-_cte("numbered", "hourly", """
-SELECT *, '1h' AS "interval", row_number() OVER (PARTITION BY symbol ORDER BY open_time) AS n,
- close - lag(close) OVER (PARTITION BY symbol ORDER BY open_time) AS delta FROM hourly""")
+_cte("numbered", "clean", """
+SELECT symbol, open_time, close, row_number() OVER (PARTITION BY symbol ORDER BY open_time) AS n,
+ close - lag(close) OVER (PARTITION BY symbol ORDER BY open_time) AS delta FROM clean""")
 _cte("ema", "numbered", """
 SELECT symbol, open_time, n, close AS ema12, close AS ema26, CAST(0 AS DOUBLE) AS macd_signal
 FROM numbered WHERE n = 1
@@ -260,7 +256,8 @@ FROM numbered b LEFT JOIN wilder w ON w.symbol = b.symbol AND w.n = b.n""", True
 
 # ---- history -----------------------------------------------------------------------------
 
-_DAY = "TIMESTAMP '2024-01-30'"
+_DAY = "(SELECT date_trunc('day', max(ts)) FROM events)"
+_END = "(SELECT date_trunc('day', max(ts)) + INTERVAL 1 DAY FROM events)"
 _oracle("batch_keys", "candles", f"""
 SELECT DISTINCT symbol, '1m' AS "interval" FROM candles WHERE open_time >= {_DAY}""")
 _oracle("history_without_batch", "candles", f"""
@@ -336,12 +333,12 @@ _oracle("prev_values", "gold", f"SELECT {_KEY}, " + ", ".join(
 _oracle("pivot_metrics", "bars", "SELECT timeframe, window_start, " + ", ".join(
     f"round(max(close) FILTER (symbol = '{s}'), 4) AS {s}"
     for s in ("click", "error", "purchase", "signup", "view")
-) + " FROM bars WHERE timeframe IN ('1h', '4h') GROUP BY 1, 2")
+) + " FROM bars GROUP BY 1, 2")
 _oracle("unpivot_metrics", "full_bars", f"""
 SELECT {_KEY}, metric_name, round(metric_value, 4) AS metric_value FROM (
- SELECT {_KEY}, 'close' AS metric_name, close AS metric_value FROM full_bars WHERE timeframe = '1h'
- UNION ALL SELECT {_KEY}, 'volume', volume FROM full_bars WHERE timeframe = '1h'
- UNION ALL SELECT {_KEY}, 'rsi_14', rsi_14 FROM full_bars WHERE timeframe = '1h')""")
+ SELECT {_KEY}, 'close' AS metric_name, close AS metric_value FROM full_bars
+ UNION ALL SELECT {_KEY}, 'volume', volume FROM full_bars
+ UNION ALL SELECT {_KEY}, 'rsi_14', rsi_14 FROM full_bars)""")
 _oracle("realtime_gate", "bars", f"""
 SELECT {_KEY}, round(close, 4) AS close FROM bars WHERE window_start >= {_DAY}""")
 _cte("bar_batch", "bars", f"""
@@ -352,19 +349,19 @@ QUALIFY row_number() OVER (PARTITION BY symbol, timeframe ORDER BY window_start
 _cte("versions", "clean sizes", f"""
 SELECT symbol, timeframe, seconds, {_BUCKET} AS window_start,
  CAST(epoch(open_time) AS BIGINT) // 36000 AS batch_id,{_BAR_AGG}
-FROM clean CROSS JOIN sizes WHERE timeframe IN ('4h', '1d') GROUP BY 1, 2, 3, 4, 5""")
+FROM clean CROSS JOIN sizes GROUP BY 1, 2, 3, 4, 5""")
 _oracle("gold_upsert", "versions", f"""
 SELECT symbol, timeframe, window_start, window_start + to_seconds(seconds) AS window_end,
- round(arg_min(open, batch_id), 4) AS open, """ + ", ".join(
-    f"round(arg_max({c}, batch_id), 4) AS {c}" for c in ("high", "low", "close", "volume", "quote_volume")
+ """ + ", ".join(
+    f"round(arg_max({c}, batch_id), 4) AS {c}" for c in ("open", "high", "low", "close", "volume", "quote_volume")
 ) + """, arg_max(trade_count, batch_id) AS trade_count FROM versions GROUP BY symbol, timeframe, window_start, seconds""")
 _oracle("minimum_slice", "full_bars", f"""
 SELECT {_BAR_FACTS}, {_r('ma7', 'ma25', 'ma99', 'rsi_14')}, round({_VWAP}, 4) AS vwap
 FROM full_bars WHERE timeframe = '1h'""")
 _oracle("volume_profile", "bars", """
-SELECT symbol, CAST(floor(round(low + (high - low) / 10 * (i + 0.5), 4)) AS BIGINT) AS price,
+SELECT symbol, timeframe, CAST(floor(round(low + (high - low) / 10 * (i + 0.5), 4)) AS BIGINT) AS price,
  count(*) AS steps, round(sum(round(volume / 10, 4)), 4) AS volume
-FROM bars CROSS JOIN range(10) AS t(i) WHERE timeframe = '1h' AND high <> low GROUP BY 1, 2""", off_tie=False)
+FROM bars CROSS JOIN range(10) AS t(i) WHERE high <> low GROUP BY 1, 2, 3""", off_tie=False)
 
 # ---- suppliers ---------------------------------------------------------------------------
 
@@ -374,7 +371,7 @@ SELECT CAST(l_suppkey AS VARCHAR) AS symbol, l_shipdate AS open_time,
  sum(qty) AS volume, sum(price * qty) AS quote_volume, count(*) AS trade_count,
  sum(CASE WHEN l_returnflag = 'R' THEN 0 ELSE qty END) AS taker_buy_base_vol
 FROM (SELECT *, l_extendedprice / l_quantity AS price, l_quantity AS qty,
- (l_orderkey * 8 + l_linenumber) * 16777216 + l_partkey AS tie FROM lineitem) GROUP BY 1, 2""")
+ (l_orderkey, l_linenumber, l_partkey) AS tie FROM lineitem) GROUP BY 1, 2""")
 _oracle("supplier_candles_1d", "supplier_candles", f"""
 SELECT symbol, open_time, {_r('open', 'high', 'low', 'close', 'volume', 'quote_volume')},
  trade_count, {_r('taker_buy_base_vol')} FROM supplier_candles""")
@@ -403,7 +400,7 @@ SELECT {_owner('c_custkey')}, c_custkey, c_mktsegment, c_acctbal,
  ['BUY', 'SELL', 'WATCH'][c_nationkey % 3 + 1] AS action,
  CASE WHEN c_acctbal < 2000 THEN ['email'] WHEN c_acctbal < 6000 THEN ['email', 'webhook']
   ELSE ['webhook'] END AS channels,
- CAST(3600 AS BIGINT) AS cooldown_seconds, c_acctbal < 9000 AS is_active,
+ CAST(c_custkey % 4 * 1200 + 600 AS BIGINT) AS cooldown_seconds, c_acctbal < 9000 AS is_active,
  TIMESTAMP '2024-01-01' + to_minutes(c_custkey) AS created_at,
  CASE WHEN c_acctbal >= 3000 THEN TIMESTAMP '2024-01-31' - to_seconds((c_custkey * 37) % 7200) END AS last_triggered_at
 FROM customer""")
@@ -439,33 +436,37 @@ FROM rules JOIN sizes USING (timeframe) GROUP BY ALL""")
 
 # A payload is wrong by its owner's nation, by a low or high cooldown, or for want of conditions.
 _cte("payloads", "", f"""
-SELECT {_owner('c_custkey')}, c_nationkey AS nation, c_acctbal, c_mktsegment,
+SELECT {_owner('c_custkey')}, CASE WHEN c_nationkey <> 16 THEN 'new-' || c_custkey END AS new_id,
+ unnest(CASE WHEN c_nationkey = 16 THEN ['email', 'webhook'] WHEN c_nationkey = 8 THEN ['sms']
+  WHEN c_nationkey = 15 THEN ['email'] ELSE ['email,webhook'] END) AS channels, c_nationkey AS nation, c_acctbal, c_mktsegment,
  CASE WHEN c_nationkey = 13 THEN 300 ELSE CAST(floor(c_acctbal * 10) AS BIGINT) END AS cooldown
 FROM customer""")
 _cte("violations", "payloads", """
-SELECT rule_id, 'condition count' AS violation FROM payloads
+SELECT new_id AS rule_id, 'condition count' AS violation FROM payloads
  WHERE nation = 5 OR (nation > 5 AND c_acctbal < 0)
-UNION ALL SELECT rule_id, 'condition value' FROM payloads
+UNION ALL SELECT new_id, 'condition value' FROM payloads
  WHERE nation <= 3 OR (nation > 5 AND c_acctbal >= 0 AND c_mktsegment IN ('FURNITURE', 'HOUSEHOLD'))
-UNION ALL SELECT rule_id, 'logic' FROM payloads WHERE nation = 7
-UNION ALL SELECT rule_id, 'action' FROM payloads WHERE nation = 9
-UNION ALL SELECT rule_id, 'timeframe' FROM payloads WHERE nation = 6
-UNION ALL SELECT rule_id, 'cooldown' FROM payloads WHERE cooldown < 60 OR cooldown > 86400
-UNION ALL SELECT rule_id, 'channel' FROM payloads WHERE nation = 8
-UNION ALL SELECT rule_id, 'email address' FROM payloads WHERE nation = 10
-UNION ALL SELECT rule_id, 'webhook url' FROM payloads WHERE nation IN (11, 12)""")
+UNION ALL SELECT new_id, 'logic' FROM payloads WHERE nation = 7
+UNION ALL SELECT new_id, 'action' FROM payloads WHERE nation = 9
+UNION ALL SELECT new_id, 'timeframe' FROM payloads WHERE nation = 6
+UNION ALL SELECT new_id, 'cooldown' FROM payloads WHERE cooldown < 60 OR cooldown > 86400
+UNION ALL SELECT new_id, 'channel' FROM payloads WHERE nation = 8
+UNION ALL SELECT new_id, 'email address' FROM payloads WHERE nation = 10
+UNION ALL SELECT new_id, 'webhook url' FROM payloads WHERE nation IN (11, 12)""")
 _oracle("rule_violations", "violations", "SELECT rule_id, violation FROM violations")
 _oracle("rules_created", "rules cond_text violations", """
 SELECT rule_id, user_id, symbol, timeframe, coalesce(conditions, '') AS conditions, logic, action,
+ array_to_string(channels, ',') AS channels,
  cooldown_seconds, is_active, created_at, CAST(0 AS BIGINT) AS trigger_count
-FROM rules LEFT JOIN cond_text USING (rule_id) WHERE NOT is_active
+FROM rules LEFT JOIN cond_text USING (rule_id)
 UNION ALL
-SELECT rule_id, user_id, upper(symbol), '1h',
+SELECT new_id, user_id, upper(symbol), '1h',
  CASE WHEN nation = 4 THEN 'candle_pattern == bullish_engulfing' ELSE coalesce(conditions, '') END, 'AND', 'BUY',
- cooldown, true, TIMESTAMP '2024-01-31', 0
+ channels, cooldown, true, TIMESTAMP '2024-01-31', 0
 FROM payloads LEFT JOIN cond_text USING (rule_id)
-WHERE rule_id NOT IN (SELECT rule_id FROM violations)
- AND rule_id NOT IN (SELECT rule_id FROM rules WHERE NOT is_active)""")
+WHERE NOT (nation = 5 OR nation > 5 AND c_acctbal < 0 OR nation <= 3
+ OR nation > 5 AND c_mktsegment IN ('FURNITURE', 'HOUSEHOLD') OR nation IN (6, 7, 8, 9, 10, 11, 12)
+ OR cooldown < 60 OR cooldown > 86400)""")
 
 _cte("alert_events", "", f"""
 SELECT 'alert-' || o_orderkey AS alert_id, o_orderkey, {_owner('o_custkey')},
@@ -484,12 +485,15 @@ SELECT rule_id AS p_rule, arg_max(action, (triggered_at, alert_id)) AS p_action,
  arg_max(message, (triggered_at, alert_id)) AS p_message FROM alert_events GROUP BY 1""")
 _oracle("rules_patched", "rules patches", """
 SELECT rule_id, user_id,
- CASE WHEN p_message <> '5-LOW' THEN p_action ELSE action END AS action,
+ CASE WHEN p_message IN ('1-URGENT', '2-HIGH') THEN p_action ELSE action END AS action,
  CASE WHEN p_message = '1-URGENT' THEN CAST(60 AS BIGINT) ELSE cooldown_seconds END AS cooldown_seconds,
  CASE WHEN p_message = '1-URGENT' THEN 'OR' ELSE logic END AS logic,
  CASE WHEN p_message = '2-HIGH' THEN false ELSE is_active END AS is_active,
- CASE WHEN p_message <> '5-LOW' THEN TIMESTAMP '2024-01-31' ELSE created_at END AS updated_at
+ CASE WHEN p_message IN ('1-URGENT', '2-HIGH') THEN TIMESTAMP '2024-01-31' ELSE created_at END AS updated_at
 FROM rules LEFT JOIN patches ON rule_id = p_rule""")
+_oracle("patch_violations", "rules patches", """
+SELECT rule_id, user_id, CASE WHEN p_message = '3-MEDIUM' THEN 'cooldown' ELSE 'logic' END AS violation
+FROM rules JOIN patches ON rule_id = p_rule WHERE p_message = '3-MEDIUM' OR p_message LIKE '4%'""")
 _oracle("rules_toggled", "rules alert_events", """
 SELECT rule_id, user_id, action, cooldown_seconds, logic, is_active <> hit AS is_active,
  CASE WHEN hit THEN TIMESTAMP '2024-01-31' ELSE created_at END AS updated_at
@@ -550,7 +554,7 @@ _COOL = """(last_triggered_at IS NULL OR epoch(TIMESTAMP '2024-01-31') - epoch(l
 _oracle("alerts_after_cooldown", "latest rules", f"""
 SELECT rule_id, l.symbol, l.timeframe, window_start FROM latest l JOIN rules USING (rule_id) WHERE {_COOL}""")
 _oracle("alerts_triggered", "latest rules rule_bars", f"""
-SELECT sha256(rule_id || '|' || l.symbol || '|' || l.timeframe || '|' || strftime(l.window_start, '%Y-%m-%d %H:%M:%S')) AS alert_id,
+SELECT sha256(rule_id || '|' || l.symbol || '|' || l.timeframe || '|' || strftime(l.window_start, '%Y-%m-%d %H:%M:%S') || '|2024-01-31 00:00:00') AS alert_id,
  rule_id, user_id, l.symbol, l.timeframe, action, TIMESTAMP '2024-01-31' AS triggered_at,
  round(close, 4) AS close_price, round(rsi_14, 4) AS rsi_14, round(macd, 4) AS macd,
  round(volume_ratio, 4) AS volume_ratio, candle_pattern, l.window_start
@@ -601,22 +605,17 @@ SELECT alert_id, 'alert_triggered' AS event_type, user_id,
 
 # ---- gaps --------------------------------------------------------------------------------
 
-_cte("outage", "candles", f"""
-SELECT symbol, open_time FROM candles
-WHERE NOT (symbol = 'error' AND open_time >= {_DAY})
- AND NOT (symbol = 'view' AND open_time >= TIMESTAMP '2024-01-28')
- AND NOT (symbol = 'click' AND isodow(open_time) >= 6)""")
-_cte("downtime", "outage rules", """
-SELECT symbol, greatest(seen, TIMESTAMP '2024-01-31' - INTERVAL 48 HOURS) AS gap_start, TIMESTAMP '2024-01-31' AS gap_end
-FROM (SELECT symbol, coalesce(max(open_time), TIMESTAMP '2024-01-31' - INTERVAL 5 MINUTES) AS seen
- FROM (SELECT DISTINCT symbol FROM rules) LEFT JOIN outage USING (symbol) GROUP BY 1)
-WHERE TIMESTAMP '2024-01-31' - seen >= INTERVAL 120 SECONDS""")
+_cte("downtime", "candles rules", f"""
+SELECT symbol, coalesce(max(open_time), (SELECT min(open_time) FROM candles)) AS gap_start, {_END} AS gap_end
+FROM (SELECT DISTINCT symbol FROM rules) LEFT JOIN candles USING (symbol) GROUP BY 1
+HAVING {_END} - coalesce(max(open_time), (SELECT min(open_time) FROM candles)) >= INTERVAL 120 SECONDS""")
 _oracle("downtime_gaps", "downtime", "SELECT * FROM downtime")
-_oracle("missing_days", "outage", """
-SELECT symbol, day FROM (
- SELECT symbol, CAST(unnest(generate_series(date_trunc('day', min(open_time)), TIMESTAMP '2024-01-30', INTERVAL 1 DAY)) AS DATE) AS day
- FROM outage GROUP BY 1)
-WHERE (symbol, day) NOT IN (SELECT (symbol, CAST(open_time AS DATE)) FROM outage)""")
+_oracle("missing_days", "", """
+SELECT symbol, CAST(day AS DATE) AS day FROM (
+ SELECT CAST(s_suppkey AS VARCHAR) AS symbol, unnest(generate_series(
+  coalesce(first, (SELECT min(l_shipdate) FROM lineitem)), (SELECT max(l_shipdate) FROM lineitem), INTERVAL 1 DAY)) AS day
+ FROM supplier LEFT JOIN (SELECT l_suppkey, min(l_shipdate) AS first FROM lineitem GROUP BY 1) ON l_suppkey = s_suppkey)
+ANTI JOIN (SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS symbol, l_shipdate AS day FROM lineitem) USING (symbol, day)""")
 _oracle("candle_gaps", "candles", """
 SELECT symbol, '1m' AS "interval", last_time + INTERVAL 1 MINUTE AS gap_start, open_time AS gap_end,
  date_diff('minute', last_time, open_time) - 1 AS missing
@@ -625,7 +624,7 @@ WHERE date_diff('minute', last_time, open_time) > 1""")
 _oracle("backfill_ranges", "downtime", """
 SELECT symbol, request_start, least(request_start + INTERVAL 1000 MINUTES, gap_end) AS request_end FROM (
  SELECT symbol, gap_end, unnest(generate_series(gap_start, gap_end - INTERVAL 1 SECOND, INTERVAL 1000 MINUTES)) AS request_start
- FROM downtime)""")
+ FROM downtime WHERE gap_start < gap_end)""")
 
 # ---- views -------------------------------------------------------------------------------
 
@@ -651,5 +650,5 @@ SELECT {_KEY},
  CASE WHEN m > 0 THEN 'Positive' ELSE 'Negative' END AS momentum,
  CASE WHEN close > coalesce(t, 0) THEN 'Bullish' ELSE 'Bearish' END AS trend
 FROM (SELECT {_KEY}, close, round(rsi_14, 4) AS rsi, round(macd, 4) AS m, round(macd_signal, 4) AS s,
- round({_RATIO}, 4) AS v, round(ma25, 4) AS t FROM full_bars WHERE timeframe = '1h')""")
+ round({_RATIO}, 4) AS v, round(ma25, 4) AS t FROM full_bars)""")
 _oracle("local_time", "", "SELECT event_id AS trade_id, ts + INTERVAL 7 HOURS AS local_time FROM events")

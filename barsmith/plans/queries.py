@@ -9,7 +9,7 @@ a sum decides the rounding; both sides add ``OFF_TIE`` first.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,8 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 OFF_TIE = 1e-7
 
-AS_OF, LAST_DAY = adapters.AS_OF, adapters.LAST_DAY
-INGESTED_AT = adapters.INGESTED_AT
+AS_OF, INGESTED_AT = adapters.AS_OF, adapters.INGESTED_AT
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -75,15 +74,6 @@ def _rule_bars(spark, sf):
     return resample.add_rule_fields(resample.resample(_full_silver(spark, sf)))
 
 
-def _hourly(spark, sf):
-    """Hourly bars as candles of interval 1h."""
-    bars = _bars(spark, sf, ("1h",))
-    return bars.select(
-        "symbol", F.col("timeframe").alias("interval"),
-        F.col("window_start").alias("open_time"), "close",
-    )
-
-
 def _picked(*names):
     return ["symbol", "open_time", *names]
 
@@ -204,9 +194,9 @@ def silver_dedup(spark, sf):
 
 @query
 def silver_clean(spark, sf):
-    """Cleaning of candles whose newest ones still lack a volume."""
+    """Cleaning of candles among which those of a single trade lack a volume."""
     source = adapters.candles(spark, sf).withColumn(
-        "volume", F.when(F.col("open_time") < F.lit(LAST_DAY), F.col("volume"))
+        "volume", F.when(F.col("trade_count") > 1, F.col("volume"))
     )
     return candles.clean(source).drop("ingest_time")
 
@@ -274,14 +264,14 @@ def silver_full(spark, sf):
 
 @query
 def macd_ema(spark, sf):
-    return indicators.macd_ema(_hourly(spark, sf)).select(
+    return indicators.macd_ema(_clean(spark, sf)).select(
         *_picked("ema12", "ema26", "macd", "macd_signal")
     )
 
 
 @query
 def rsi_14_wilder(spark, sf):
-    return indicators.rsi_14_wilder(_hourly(spark, sf)).select(*_picked("rsi_14_wilder"))
+    return indicators.rsi_14_wilder(_clean(spark, sf)).select(*_picked("rsi_14_wilder"))
 
 
 @query
@@ -294,10 +284,10 @@ def support_resistance(spark, sf):
 
 @query
 def volume_profile(spark, sf):
-    """Hourly volume per price level, summed over all bars of a symbol."""
+    """Volume per price level, summed over all bars of a symbol and timeframe."""
     profile = fn.volume_profile(F.col("high"), F.col("low"), F.col("volume"))
-    spread = _bars(spark, sf, ("1h",)).select("symbol", F.explode(profile).alias("step"))
-    return spread.groupBy("symbol", F.floor("step.price_level").alias("price")).agg(
+    spread = _bars(spark, sf).select("symbol", "timeframe", F.explode(profile).alias("step"))
+    return spread.groupBy("symbol", "timeframe", F.floor("step.price_level").alias("price")).agg(
         F.count(F.lit(1)).alias("steps"), F.sum("step.volume").alias("volume")
     )
 
@@ -314,20 +304,24 @@ def signal_strength(spark, sf):
 # ---- history and merging -----------------------------------------------------------------
 
 
-def _split_by_day(df, column="open_time"):
-    batch = df.filter(F.col(column) >= F.lit(LAST_DAY))
-    return batch, df
+def _last_day(spark, sf):
+    return adapters.events_end(spark, sf) - timedelta(days=1)
+
+
+def _split_by_day(spark, sf, df, column="open_time"):
+    """The last day's rows as a batch, and the whole table."""
+    return df.filter(F.col(column) >= F.lit(_last_day(spark, sf))), df
 
 
 @query
 def batch_keys(spark, sf):
-    batch, _ = _split_by_day(adapters.candles(spark, sf))
+    batch, _ = _split_by_day(spark, sf, adapters.candles(spark, sf))
     return history.batch_keys(batch, indicators.SILVER_KEYS)
 
 
 @query
 def history_without_batch(spark, sf):
-    batch, table = _split_by_day(adapters.candles(spark, sf))
+    batch, table = _split_by_day(spark, sf, adapters.candles(spark, sf))
     return history.history_without_batch(table, batch, candles.CANDLE_KEY).select(
         "symbol", "interval", "open_time", "close"
     )
@@ -335,21 +329,21 @@ def history_without_batch(spark, sf):
 
 @query
 def latest_n_per_key(spark, sf):
-    batch, table = _split_by_day(adapters.candles(spark, sf))
+    batch, table = _split_by_day(spark, sf, adapters.candles(spark, sf))
     rows = history.latest_before(table, batch, indicators.SILVER_KEYS, "open_time", SILVER_HISTORY)
     return rows.select("symbol", "interval", "open_time", "close")
 
 
 @query
 def latest_n_bars_per_key(spark, sf):
-    batch, table = _split_by_day(_bars(spark, sf), "window_start")
+    batch, table = _split_by_day(spark, sf, _bars(spark, sf), "window_start")
     rows = history.latest_before(table, batch, resample.GOLD_KEYS, "window_start", GOLD_HISTORY)
     return rows.select("symbol", "timeframe", "window_start", "close")
 
 
 @query
 def union_missing_columns(spark, sf):
-    new, table = _split_by_day(adapters.candles(spark, sf))
+    new, table = _split_by_day(spark, sf, adapters.candles(spark, sf))
     old = history.history_without_batch(table, new, candles.CANDLE_KEY).drop("quote_volume")
     return history.union_by_name(new, old).select(
         "symbol", "open_time", "close", "quote_volume", "is_new"
@@ -376,7 +370,7 @@ def gold_upsert(spark, sf):
     tagged = rows.withColumns({
         "symbol": F.concat_ws("#", "symbol", step.cast("string")),
     })
-    parts = resample.resample(tagged, ("4h", "1d"))
+    parts = resample.resample(tagged)
     name = F.split("symbol", "#")
     versions = parts.withColumns({
         tables.BATCH: F.get(name, F.lit(1)).cast("bigint"), "symbol": F.get(name, F.lit(0)),
@@ -460,18 +454,18 @@ def prev_values(spark, sf):
 
 @query
 def pivot_metrics(spark, sf):
-    return resample.pivot_closes(_bars(spark, sf, ("1h", "4h")), adapters.SYMBOLS[:5])
+    return resample.pivot_closes(_bars(spark, sf), adapters.SYMBOLS[:5])
 
 
 @query
 def unpivot_metrics(spark, sf):
     silver = _silver(spark, sf, indicators.rsi_14)
-    return resample.unpivot_metrics(resample.resample(silver, ("1h",)), ("close", "volume", "rsi_14"))
+    return resample.unpivot_metrics(resample.resample(silver), ("close", "volume", "rsi_14"))
 
 
 @query
 def realtime_gate(spark, sf):
-    return alerts.realtime(_bars(spark, sf), LAST_DAY).select(*resample.GOLD_KEY, "close")
+    return alerts.realtime(_bars(spark, sf), _last_day(spark, sf)).select(*resample.GOLD_KEY, "close")
 
 
 @query
@@ -526,18 +520,18 @@ def rule_violations(spark, sf):
 
 @query
 def rules_created(spark, sf):
-    """Payloads of new users added to the rules of the others."""
-    payloads = adapters.rule_payloads(spark, sf)
-    table = adapters.rules(spark, sf).filter(~F.col("is_active"))
-    made = rules.created(table, payloads, AS_OF)
+    """Submitted rules added to the table; hashed ids are left to the unit tests."""
+    made = rules.created(adapters.rules(spark, sf), adapters.rule_payloads(spark, sf), AS_OF)
+    given = F.when(F.length("rule_id") < 64, F.col("rule_id"))
     return _flat(made).select(
-        "rule_id", "user_id", "symbol", "timeframe", "conditions", "logic", "action",
+        given.alias("rule_id"), "user_id", "symbol", "timeframe", "conditions", "logic", "action",
+        F.array_join("notification_channels", ",").alias("channels"),
         "cooldown_seconds", "is_active", "created_at", "trigger_count",
     )
 
 
 def _patches(spark, sf):
-    """The last order of each customer as a patch of their rule."""
+    """The last order of each customer as a patch of their rule, some of them not allowed."""
     events = adapters.alert_events(spark, sf)
     last = events.groupBy("rule_id", "user_id").agg(
         F.max_by(F.struct("action", "message"), F.struct("triggered_at", "alert_id")).alias("e")
@@ -546,8 +540,8 @@ def _patches(spark, sf):
     return last.select(
         "rule_id", "user_id",
         F.when(F.col("e.message") != "5-LOW", F.col("e.action")).alias("action"),
-        F.when(urgent, F.lit(60)).alias("cooldown_seconds"),
-        F.when(urgent, F.lit("OR")).alias("logic"),
+        F.when(urgent, F.lit(60)).when(F.col("e.message") == "3-MEDIUM", F.lit(5)).alias("cooldown_seconds"),
+        F.when(urgent, F.lit("OR")).when(F.col("e.message").startswith("4"), F.lit("XOR")).alias("logic"),
         F.when(F.col("e.message") == "2-HIGH", F.lit(False)).alias("is_active"),
     )
 
@@ -560,6 +554,11 @@ def rules_patched(spark, sf):
     return rules.patched(adapters.rules(spark, sf), _patches(spark, sf), AS_OF).select(*_RULE_STATE)
 
 
+@query
+def patch_violations(spark, sf):
+    return rules.patch_violations(_patches(spark, sf))
+
+
 @query
 def rules_toggled(spark, sf):
     events = adapters.alert_events(spark, sf).filter("message = '1-URGENT' and action = 'BUY'")
@@ -734,30 +733,28 @@ def webhook_payload(spark, sf):
 # ---- gaps --------------------------------------------------------------------------------
 
 
-def _outage(spark, sf):
-    """Candles of an outage: errors stop on the last day, views two days earlier, and no
-    clicks were recorded on weekends."""
-    source = adapters.candles(spark, sf)
-    at = F.col("open_time")
-    return source.filter(
-        ~((F.col("symbol") == "error") & (at >= F.lit(LAST_DAY)))
-        & ~((F.col("symbol") == "view") & (at >= F.lit(datetime(2024, 1, 28, tzinfo=timezone.utc))))
-        & ~((F.col("symbol") == "click") & (F.weekday(F.to_date(at)) >= 5))
-    )
-
-
 def _gap_symbols(spark, sf):
     return adapters.rules(spark, sf).select("symbol").distinct()
 
 
+def downtime_gaps_of(spark, sf):
+    return gaps.downtime_gaps(
+        adapters.candles(spark, sf), _gap_symbols(spark, sf), adapters.events_end(spark, sf))
+
+
 @query
 def downtime_gaps(spark, sf):
-    return gaps.downtime_gaps(_outage(spark, sf), _gap_symbols(spark, sf), AS_OF)
+    """From each symbol's last trade to the end of the data; one symbol was never traded."""
+    return downtime_gaps_of(spark, sf)
 
 
 @query
 def missing_days(spark, sf):
-    return gaps.missing_days(_outage(spark, sf), AS_OF)
+    """Days on which a supplier shipped nothing."""
+    daily = adapters.supplier_candles(spark, sf)
+    listed = adapters.supplier_info(spark, sf).select("symbol")
+    end = adapters.day_after(adapters.table(spark, sf, "lineitem"), "l_shipdate")
+    return gaps.missing_days(daily, end, listed)
 
 
 @query
@@ -767,8 +764,7 @@ def candle_gaps(spark, sf):
 
 @query
 def backfill_ranges(spark, sf):
-    found = gaps.downtime_gaps(_outage(spark, sf), _gap_symbols(spark, sf), AS_OF)
-    return gaps.backfill_ranges(found)
+    return gaps.backfill_ranges(downtime_gaps_of(spark, sf))
 
 
 # ---- views -------------------------------------------------------------------------------
@@ -795,8 +791,8 @@ def latest_bar_change(spark, sf):
 
 @query
 def indicator_advice(spark, sf):
-    """Advice on every hourly bar, from indicators rounded as they are shown."""
-    bars = resample.add_volume_ratio(resample.resample(_full_silver(spark, sf), ("1h",)))
+    """Advice on every bar, from indicators rounded as they are shown."""
+    bars = resample.add_volume_ratio(resample.resample(_full_silver(spark, sf)))
     shown = ("rsi_14", "macd", "macd_signal", "volume_ratio", "ma25")
     rounded = bars.withColumns({c: F.round(c, 4) for c in shown})
     return views.with_advice(rounded).select(

@@ -7,7 +7,7 @@ table, so it grows with it.
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,15 +25,26 @@ INFO = (
     ("signup", "Signup", "SGN", "PoH+PoS", 4),
 )
 TIMEFRAMES = ("5m", "15m", "1h", "4h", "1d")
+# Stamps that stand for the time of a run.
 AS_OF = datetime(2024, 1, 31, tzinfo=timezone.utc)
 INGESTED_AT = datetime(2024, 1, 31, 0, 0, 1, tzinfo=timezone.utc)
-LAST_DAY = datetime(2024, 1, 30, tzinfo=timezone.utc)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def day_after(times: DataFrame, column: str) -> datetime:
+    """Midnight after the latest time of a table."""
+    last = times.agg(F.max(F.col(column).cast("timestamp")).alias("last")).select(
+        F.unix_seconds(F.date_trunc("day", "last"))).first()[0]
+    return datetime.fromtimestamp(last or 0, timezone.utc) + timedelta(days=1)
+
+
+def events_end(spark: SparkSession, sf_dir: str) -> datetime:
+    return day_after(table(spark, sf_dir, "events"), "ts")
+
+
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = F.col("ts").cast("timestamp")
     return table(spark, sf_dir, "events").select(
@@ -46,35 +57,42 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").alias("buyer_order_id"),
         F.lit(None).cast("bigint").alias("seller_order_id"),
         at.alias("trade_time"),
+        # Time, then id: digits of one decimal, as in supplier_ticks.
+        (F.unix_micros(at).cast("decimal(20,0)") * F.lit(10**13).cast("decimal(14,0)") + F.col("event_id"))
+        .cast("decimal(38,0)").alias("sequence"),
         (F.pmod(F.col("user_id"), F.lit(2)) == 1).alias("is_buyer_maker"),
         F.lit("ticks").alias("source"),
     )
 
 
 def candles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ticks_to_candles(ticks(spark, sf_dir))
+    return ticks_to_candles(ticks(spark, sf_dir), order="sequence")
 
 
 def candle_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each candle as published: half-way and still open, closed, and fetched once more."""
     trades = ticks(spark, sf_dir)
-    half = ticks_to_candles(trades.filter(F.second("trade_time") < 30)).withColumn(
+    half = ticks_to_candles(trades.filter(F.second("trade_time") < 30), order="sequence").withColumn(
         "is_closed", F.lit(False)
     )
-    closed = ticks_to_candles(trades)
+    closed = ticks_to_candles(trades, order="sequence")
     again = closed.withColumns({"event_time": F.col("open_time"), "source": F.lit("rest")})
     return half.unionByName(closed).unionByName(again)
 
 
 def supplier_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as trades of their supplier, ordered within the day by order, line and part."""
+    """Line items as trades of their supplier, ordered within the day by order, line and part.
+
+    The three are digits of one decimal, which holds any keys and stays in a hash aggregate.
+    """
     day = F.col("l_shipdate").cast("timestamp")
-    line = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    line = F.col("l_orderkey").cast("decimal(20,0)") * 8 + F.col("l_linenumber")
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").cast("string").alias("symbol"),
         day.alias("trade_time"),
         day.alias("ingest_time"),
-        (line * (1 << 24) + F.col("l_partkey")).alias("sequence"),
+        (line.cast("decimal(20,0)") * F.lit(10**13).cast("decimal(14,0)") + F.col("l_partkey"))
+        .cast("decimal(38,0)").alias("sequence"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
         F.col("l_quantity").alias("quantity"),
         (F.col("l_returnflag") == "R").alias("is_buyer_maker"),
@@ -138,15 +156,18 @@ def kline_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trade_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trades as exchange messages inside an envelope. A quantity of 0 gives trade time 0, a
-    price under 1 is text that is no number, and clicks of quantity 99 have no price."""
+    """Trades as exchange messages inside an envelope. A quantity of 0 gives trade time 0, one of
+    1 none, one of 2 and 3 a trade or event time that is no number; a price under 1 is text that
+    is no number, and clicks of quantity 99 have no price."""
     price = F.when(F.col("price") < 1, "n/a").otherwise(F.col("price").cast("string"))
     no_price = (F.col("symbol") == "click") & (F.col("quantity") == 99)
     inner = F.struct(
-        F.lit("trade").alias("e"), _millis("event_time").alias("E"), F.col("symbol").alias("s"),
-        F.col("trade_id").alias("t"), F.when(~no_price, price).alias("p"),
+        F.lit("trade").alias("e"),
+        F.when(F.col("quantity") == 3, "bad").otherwise(_millis("event_time").cast("string")).alias("E"),
+        F.col("symbol").alias("s"), F.col("trade_id").alias("t"), F.when(~no_price, price).alias("p"),
         F.col("quantity").cast("string").alias("q"), F.col("buyer_order_id").alias("b"),
-        F.when(F.col("quantity") == 0, 0).otherwise(_millis("trade_time")).alias("T"),
+        F.when(F.col("quantity") == 0, "0").when(F.col("quantity") == 2, "soon")
+        .when(F.col("quantity") != 1, _millis("trade_time").cast("string")).alias("T"),
         F.col("is_buyer_maker").alias("m"),
     )
     body = F.to_json(F.struct(F.lit("trade").alias("stream"), inner.alias("data")))
@@ -264,7 +285,7 @@ def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         channels.alias("notification_channels"),
         F.concat(F.lit("c"), k, F.lit("@example.com")).alias("email_address"),
         F.concat(F.lit("https://hooks.example.com/"), k).alias("webhook_url"),
-        F.lit(3600).alias("cooldown_seconds"),
+        (F.pmod(k, F.lit(4)) * 1200 + 600).cast("int").alias("cooldown_seconds"),
         (F.col("c_acctbal") < 9000).alias("is_active"),
         created.alias("created_at"),
         created.alias("updated_at"),
@@ -274,7 +295,7 @@ def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rule_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rules as submitted, with the mistakes users make."""
+    """Rules as submitted, with the mistakes users make and the members they leave out."""
     balance, nation = F.col("c_acctbal"), F.col("c_nationkey")
     condition = (
         F.when(nation == 0, F.array(_condition("candle_pattern", "==", "INVALID_PATTERN")))
@@ -285,17 +306,19 @@ def rule_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(nation == 5, F.array_repeat(_condition("close", ">", "5"), 11))
         .otherwise(_rule_conditions())
     )
-    channels = F.when(nation == 8, F.array(F.lit("sms"))).otherwise(
-        F.array(F.lit("email"), F.lit("webhook"))
-    )
-    return table(spark, sf_dir, "customer").select(
-        *_owner("c_custkey")[:2],
+    both = F.array(F.lit("email"), F.lit("webhook"))
+    # Nation 16 submits each rule twice without an id; the two differ by channel only.
+    variants = F.when(nation == 16, F.array(F.array(F.lit("email")), F.array(F.lit("webhook")))).otherwise(F.array(
+        F.when(nation == 8, F.array(F.lit("sms"))).when(nation != 15, both)))
+    key = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").withColumn("_channels", F.explode(variants)).select(
+        F.when(nation != 16, F.concat(F.lit("new-"), key)).alias("rule_id"), _owner("c_custkey")[1],
         F.initcap(_pick(SYMBOLS, F.pmod(F.col("c_custkey"), F.lit(6)))).alias("symbol"),
         F.when(nation == 6, "2h").otherwise("1h").alias("timeframe"),
         condition.alias("conditions"),
-        F.when(nation == 7, "XOR").otherwise("AND").alias("logic"),
+        F.when(nation == 7, "XOR").when(nation != 14, "AND").alias("logic"),
         F.when(nation == 9, "HOLD").otherwise("BUY").alias("action"),
-        channels.alias("notification_channels"),
+        F.col("_channels").alias("notification_channels"),
         F.when(nation == 10, "nobody").otherwise("a@example.com").alias("email_address"),
         F.when(nation == 11, "").when(nation != 12, "https://h.example.com").alias("webhook_url"),
         F.when(nation != 13, F.floor(balance * 10).cast("int")).alias("cooldown_seconds"),
