@@ -6,7 +6,6 @@ needs and their prerequisites follow.
 
 from __future__ import annotations
 
-import re
 
 _CTE: dict[str, tuple[str, str]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,12 +32,11 @@ def _sql(needs: str, body: str, recursive: bool = False) -> str:
     return f"WITH {'RECURSIVE ' if recursive else ''}{parts}\n{body}"
 
 
-def _oracle(
-    name: str, needs: str, body: str, recursive: bool = False, off_tie: bool = True
-) -> None:
-    """``off_tie`` moves values off rounding ties, as the queries do when shown."""
-    if off_tie:
-        body = re.sub(r"\bround\((.*?), 4\)", r"round(\1 + 1e-7, 4)", body, flags=re.S)
+#: Queries whose function itself rounds to the places shown.
+ROUNDED_INSIDE = ("support_resistance", "volume_profile")
+
+
+def _oracle(name: str, needs: str, body: str, recursive: bool = False) -> None:
     ORACLES[name] = _sql(needs, body, recursive)
 
 
@@ -220,7 +218,7 @@ SELECT symbol, open_time, round((high + low + close) / 3, 4) AS pivot,
  round(2 * ((high + low + close) / 3) - low, 4) AS r1,
  round((high + low + close) / 3 + (high - low), 4) AS r2,
  round(2 * ((high + low + close) / 3) - high, 4) AS s1,
- round((high + low + close) / 3 - (high - low), 4) AS s2 FROM clean""", off_tie=False)
+ round((high + low + close) / 3 - (high - low), 4) AS s2 FROM clean""")
 _oracle("signal_strength", "silver", """
 SELECT symbol, open_time, CASE WHEN score >= 3 THEN 'STRONG' WHEN score >= 2 THEN 'MODERATE' ELSE 'WEAK' END AS signal_type
 FROM (SELECT symbol, open_time,
@@ -361,7 +359,7 @@ FROM full_bars WHERE timeframe = '1h'""")
 _oracle("volume_profile", "bars", """
 SELECT symbol, timeframe, CAST(floor(round(low + (high - low) / 10 * (i + 0.5), 4)) AS BIGINT) AS price,
  count(*) AS steps, round(sum(round(volume / 10, 4)), 4) AS volume
-FROM bars CROSS JOIN range(10) AS t(i) WHERE high <> low GROUP BY 1, 2, 3""", off_tie=False)
+FROM bars CROSS JOIN range(10) AS t(i) WHERE high <> low GROUP BY 1, 2, 3""")
 
 # ---- suppliers ---------------------------------------------------------------------------
 

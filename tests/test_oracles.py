@@ -2,6 +2,7 @@
 
 import pytest
 
+import __spark_entry__ as contract
 from barsmith.plans.oracles import ORACLES
 from barsmith.plans.queries import QUERIES
 
@@ -17,12 +18,11 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    assert differences(QUERIES[name](spark, SF), duck, ORACLES[name]) is None
+    assert differences(contract.queries()[name](spark, SF), duck, contract.oracle_sql()[name]) is None
 
 
 def test_entry(spark):
-    from __spark_entry__ import entry, oracle_sql, queries
-
-    assert entry(spark).count() > 0
+    assert contract.entry(spark).count() > 0
     assert set(QUERIES) == set(ORACLES)
-    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
+    names = set(contract.queries())
+    assert set(QUERIES) <= names and set(contract.oracle_sql()) <= names
