@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .automaton import Lexicon, compile_words
-from .common import whole_text
+from .common import shipped, whole_text
 
 END = "</w>"
 #: How many words the lexicon holds, and the longest of them in bytes.
@@ -276,7 +276,7 @@ def encode_documents(docs: DataFrame, model_path: str, keep_ids: bool = True, le
 
     ``model_path`` is a tokenizer file that driver and executors have.
     """
-    docs = docs.select("doc_id", "text")
+    docs = shipped(docs).select("doc_id", "text")
     name = ship(docs, build_lexicon(frequent_words(docs, lexicon_words), Merger(load_model(model_path))))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -306,4 +306,4 @@ def decode_documents(encoded: DataFrame, model_path: str) -> DataFrame:
                 "doc_id": batch["doc_id"],
                 "text": [" ".join(text[i] for i in (() if ids is None else ids)) for ids in batch["ids"]]})
 
-    return encoded.select("doc_id", "ids").mapInPandas(rows, "doc_id long, text string")
+    return shipped(encoded).select("doc_id", "ids").mapInPandas(rows, "doc_id long, text string")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +41,27 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def shipped(df: DataFrame) -> DataFrame:
+    """``df``, once the session's Python workers can import this package.
+
+    Functions that run in tasks are found by module name, so executors get the package's
+    sources as an archive, also those that join later.
+    """
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _shipped:
+        root = Path(__file__).resolve().parent.parent
+        archive = os.path.join(tempfile.mkdtemp(prefix="package-"), f"{root.name}-{uuid.uuid4().hex}.zip")
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(root.rglob("*.py")):
+                out.write(source, source.relative_to(root.parent))
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
+    return df
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, which is computed once however often ``body`` names it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import shipped, stash
 from .grammar import Format, Pairs
 
 KINDS = ("assign", "access", "hex")
@@ -92,7 +92,7 @@ def find_candidates(docs: DataFrame) -> DataFrame:
                 runs.append([dict(zip(("kind", "start", "end", "value"), s)) for s in free])
             yield pd.DataFrame({"doc_id": batch["doc_id"], "base": base, "runs": runs})
 
-    return docs.select("doc_id", "text").mapInPandas(rows, f"doc_id long, base {span}, runs {span}")
+    return shipped(docs).select("doc_id", "text").mapInPandas(rows, f"doc_id long, base {span}, runs {span}")
 
 
 def sample_values(found: DataFrame, column: str, limit: int = SAMPLE) -> dict[str, list[str]]:

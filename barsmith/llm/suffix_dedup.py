@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stash, whole_text
+from .common import shipped, stash, whole_text
 from .hashing import chunks
 from .suffix_sort import equal_classes, units
 
@@ -206,7 +206,7 @@ def remove_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, keep_bytes
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), and what is left of each text if asked for."""
     text = whole_text("text")
     key = F.conv(F.substring(F.md5(F.encode(text, "UTF-8")), 1, 15), 16, 10).cast("long")
-    keyed = docs.select("doc_id", text.alias("text"), key.alias("key"))
+    keyed = shipped(docs).select("doc_id", text.alias("text"), key.alias("key"))
     narrow = stash(keyed.select(
         "doc_id", "key", F.sha2(F.encode("text", "UTF-8"), 256).alias("sha"), F.octet_length("text").cast("long").alias("n_bytes")), "texts")
     # The whole digest tells texts apart, its start only names rows of one id.

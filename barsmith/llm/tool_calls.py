@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import shipped, stash
 
 #: Turns that are ranked together; a long conversation is ranked in parts of so many turns.
 TURNS = 1024
@@ -201,7 +201,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
                 ["conv_id", "call_id", "turn", "status", "depth", "n_copies", "valid", "errors", "message"]]
 
     kind = dict(joined.dtypes)["conv_id"]
-    done = joined.mapInPandas(
+    done = shipped(joined).mapInPandas(
         serialise, f"conv_id {kind}, call_id string, turn long, status string, depth long, n_copies long, "
         "valid boolean, errors string, message string")
     return positions(stash(done, "linked-calls"))
