@@ -155,12 +155,15 @@ def sort_undecided(dealt: DataFrame) -> DataFrame:
         offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         at = np.repeat(np.cumsum(size.astype(np.int64)) - size, n) + offset
         order, class_ = equal_classes(data, at, anchor[record], LENGTH)
+        none = pd.DataFrame({"doc_id": [], "key": [], "start": [], "end": []}).astype("int64")
+        if not len(order):
+            return none
         least = np.minimum.reduceat(doc[record[order]], np.flatnonzero(np.concatenate([[True], class_[1:] != class_[:-1]])))
         covered = np.zeros(len(at), bool)
         covered[order] = doc[record[order]] > least[class_]
         hit = np.flatnonzero(covered)
         if not len(hit):
-            return pd.DataFrame({"doc_id": [], "key": [], "start": [], "end": []}).astype("int64")
+            return none
         first = np.concatenate([[True], (np.diff(hit) > 1) | (np.diff(record[hit]) > 0)])
         last = np.concatenate([first[1:], [True]])
         r = record[hit[first]]

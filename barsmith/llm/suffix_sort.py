@@ -115,34 +115,47 @@ class Suffixes:
 
 
 def equal_classes(data: np.ndarray, starts: np.ndarray, group: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(order, class) of the suffixes: neighbours in ``order`` of one class have equal ``depth`` bytes.
+    """(order, class): the suffixes whose ``depth`` bytes occur again in their group, sorted.
 
-    Only suffixes of one group are compared. They are dealt by their first 16 bytes before the
-    mergesort; every pair of neighbours that hashes call equal is verified on the bytes.
+    Neighbours in ``order`` of one class have equal bytes. Suffixes whose hash is alone are left
+    out. Of those with equal hashes one is sorted for all: dealt by the first 16 bytes, then
+    mergesorted. Every pair of neighbours in a class is verified on the bytes.
     """
+    none = np.empty(0, np.int64)
+    suffixes = Suffixes(data, starts, depth)
+    whole = mix(span_hashes(suffixes.prefix, starts, starts + depth) ^ mix(group.astype(np.uint64)))
+    by_hash = np.argsort(whole, kind="stable")
+    same = whole[by_hash][1:] == whole[by_hash][:-1]
+    again = np.zeros(len(starts), bool)
+    again[by_hash[1:][same]] = again[by_hash[:-1][same]] = True
+    by_hash = by_hash[again[by_hash]]
+    if not len(by_hash):
+        return none, none
+    first = np.concatenate([[True], whole[by_hash][1:] != whole[by_hash][:-1]])
+    heads, member_of = by_hash[first], np.cumsum(first) - 1
+
     padded = np.concatenate([data, np.zeros(16, np.uint8)])
     words = []
     for k in (0, 8):
-        key = np.zeros(len(starts), np.uint64)
+        key = np.zeros(len(heads), np.uint64)
         for i in range(8):
-            key = (key << np.uint64(8)) | padded[starts + k + i].astype(np.uint64)
+            key = (key << np.uint64(8)) | padded[starts[heads] + k + i].astype(np.uint64)
         words.append(key)
-    dealt = np.lexsort((words[1], words[0], group))
-    changed = np.zeros(len(starts), bool)
-    for x in (words[1], words[0], group):
-        x = x[dealt]
+    dealt = np.lexsort((words[1], words[0], group[heads]))
+    changed = np.zeros(len(heads), bool)
+    for x in (words[1][dealt], words[0][dealt], group[heads][dealt]):
         changed[1:] |= x[1:] != x[:-1]
-    suffixes = Suffixes(data, starts[dealt], depth)
-    order = dealt[suffixes.order(np.cumsum(changed))]
-    new = np.ones(len(starts), bool)
-    if len(starts) > 1:
-        a, b = starts[order[:-1]], starts[order[1:]]
-        close = np.flatnonzero((group[order[:-1]] == group[order[1:]]) & (suffixes.common(a, b) >= depth))
-        good = suffixes.same_bytes(a[close], b[close])
-        new[1 + close[good]] = False
-        if not good.all():  # hashes collided: sort these few groups by their bytes
-            raw = data.tobytes()
-            order = np.array(sorted(range(len(starts)), key=lambda i: (group[i], raw[starts[i] : starts[i] + depth])))
-            key = [(group[i], raw[starts[i] : starts[i] + depth]) for i in order]
-            new[1:] = [x != y for x, y in zip(key[1:], key[:-1])]
-    return order, np.cumsum(new) - 1
+    sorted_heads = dealt[Suffixes(data, starts[heads][dealt], depth).order(np.cumsum(changed))]
+    rank = np.empty(len(heads), np.int64)
+    rank[sorted_heads] = np.arange(len(heads))
+    order = by_hash[np.argsort(rank[member_of], kind="stable")]
+    class_ = np.sort(rank[member_of])
+
+    alike = np.flatnonzero(class_[1:] == class_[:-1])
+    if not suffixes.same_bytes(starts[order[alike]], starts[order[alike + 1]]).all():
+        # Hashes collided: the bytes themselves decide.
+        raw = data.tobytes()
+        key = {i: (int(group[i]), raw[starts[i] : starts[i] + depth]) for i in order}
+        order = np.array(sorted(order, key=key.__getitem__))
+        class_ = np.cumsum([False, *(key[a] != key[b] for a, b in zip(order, order[1:]))])
+    return order, class_

@@ -72,8 +72,10 @@ def test_suffix_order_and_classes():
     order = Suffixes(data, starts, 50).order(group)
     assert order.tolist() == sorted(range(850), key=lambda i: (group[i], raw[i : i + 50], i))
     order, class_ = equal_classes(data, starts, group, 12)
-    keys = [(group[i], raw[starts[i] : starts[i] + 12]) for i in order]
-    assert len(set(keys)) == class_[-1] + 1
+    key = [(group[i], raw[i : i + 12]) for i in starts]
+    assert sorted(order) == [i for i in starts if key.count(key[i]) > 1]
+    keys = [key[i] for i in order]
+    assert keys == sorted(keys) and len(set(keys)) == class_[-1] + 1
     assert all((a == b) == (x == y) for a, b, x, y in zip(keys, keys[1:], class_, class_[1:]))
     assert window_minima(np.array([3, 1, 2, 5, 4]), 3).tolist() == [1, 1, 2]
 
