@@ -208,11 +208,27 @@ def rule_history(events: DataFrame, limit: int = RULE_HISTORY) -> DataFrame:
     )
 
 
+def trigger_state(events: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """(rule_id, last_triggered_at, trigger_count) of the events, on top of an earlier state."""
+    state = events.groupBy("rule_id").agg(
+        F.max("triggered_at").alias("last_triggered_at"), F.count(F.lit(1)).alias("trigger_count")
+    )
+    if before is None:
+        return state
+    return before.unionByName(state).groupBy("rule_id").agg(
+        F.max("last_triggered_at").alias("last_triggered_at"), F.sum("trigger_count").alias("trigger_count")
+    )
+
+
 def with_trigger_stats(rules: DataFrame, events: DataFrame) -> DataFrame:
     """Rules with their last trigger and trigger count advanced by the events."""
-    stats = events.groupBy("rule_id").agg(
-        F.max("triggered_at").alias("_last"), F.count(F.lit(1)).alias("_count")
-    )
+    return with_trigger_state(rules, trigger_state(events))
+
+
+def with_trigger_state(rules: DataFrame, state: DataFrame) -> DataFrame:
+    """Rules with their last trigger and trigger count advanced by a state."""
+    stats = state.select(
+        "rule_id", F.col("last_triggered_at").alias("_last"), F.col("trigger_count").alias("_count"))
     folded = rules.join(stats, "rule_id", "left").withColumns({
         "last_triggered_at": F.greatest("last_triggered_at", "_last"),
         "trigger_count": (F.col("trigger_count") + F.coalesce("_count", F.lit(0))).cast("int"),

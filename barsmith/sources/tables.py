@@ -80,6 +80,19 @@ def latest_batch(spark: SparkSession, path: str, before: int) -> int | None:
     return max((n for n in numbers if n < before), default=None)
 
 
+def keep_last(spark: SparkSession, path: str, batch_id: int, kept: int = 3) -> None:
+    """Delete the batches before the last ``kept`` up to ``batch_id`` of a table whose every batch
+    is a whole state. The one before ``batch_id`` stays, which a replay of that batch reads."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(target):
+        return
+    for status in files.listStatus(target):
+        name = status.getPath().getName()
+        if name.startswith(f"{BATCH}=") and int(name.split("=")[1]) <= batch_id - kept:
+            files.delete(status.getPath(), True)
+
+
 def read_batch(
     spark: SparkSession, path: str, batch_id: int, schema: str | None = None,
     fmt: str = "parquet",

@@ -35,6 +35,7 @@ from ..vocabulary import (
 )
 
 BRONZE = f"{schemas.CANDLE}, _kafka_key STRING, _kafka_ts TIMESTAMP"
+RULE_STATE = "rule_id STRING, last_triggered_at TIMESTAMP, trigger_count BIGINT"
 MESSAGE = "key BINARY, value BINARY, timestamp TIMESTAMP"
 # Bars carry VWAP over 21 rows, and the previous bar's VWAP for crossings.
 BAR_CONTEXT = resample.GOLD_CONTEXT + 1
@@ -44,8 +45,8 @@ BAR_CONTEXT = resample.GOLD_CONTEXT + 1
 class Pipeline:
     """Where the tables are and how the pipeline behaves.
 
-    ``load_rules`` gives the rule table; triggers already raised are folded in from the alert
-    table. Bars before ``started_at`` raise no alerts. ``publish`` receives the alert messages
+    ``load_rules`` gives the rule table; triggers already raised are added from a table with one
+    row for each rule that has fired, which every batch writes anew. Bars before ``started_at`` raise no alerts. ``publish`` receives the alert messages
     of a batch, for example to write them to a topic, and ``serve`` the batch's bars. Bars are
     made of candles of ``base_interval``; candles of other intervals stay in bronze and silver.
     """
@@ -171,20 +172,31 @@ class Pipeline:
             return
         path = self.path("gold", "alert_events")
         table = self.load_rules(spark)
-        raised = tables.read_batches(spark, path, batch_id, schemas.ALERT_EVENT)
-        if raised is not None:
-            table = rules.with_trigger_stats(table, raised)
+        state = self._latest(spark, self._rule_state_path(), batch_id, RULE_STATE)
+        if state is not None:
+            table = rules.with_trigger_state(table, state)
         fired = alerts.evaluate(alerts.realtime(bars, self.started_at), table, as_of)
         tables.write_batch(fired.select(*schemas.ALERT_COLUMNS), path, batch_id)
+        written = tables.read_batch(spark, path, batch_id, schemas.ALERT_EVENT)
+        tables.write_batch(rules.trigger_state(written, state), self._rule_state_path(), batch_id)
+        tables.keep_last(spark, self._rule_state_path(), batch_id)
         if self.publish:
-            written = tables.read_batch(spark, path, batch_id, schemas.ALERT_EVENT)
             self.publish(alerts.alert_messages(written), batch_id)
 
     # ---- context -------------------------------------------------------------------------
 
+    def _rule_state_path(self) -> str:
+        return self.path("state", "state/rules")
+
     def _tail_path(self, layer: str) -> str:
         return self.path("state", f"state/{layer}_tail")
 
+    @staticmethod
+    def _latest(spark, path, batch_id, schema) -> DataFrame | None:
+        """The last batch below ``batch_id`` of a table whose every batch is a whole state."""
+        last = tables.latest_batch(spark, path, batch_id)
+        return None if last is None else tables.read_batch(spark, path, last, schema)
+
     def _write_tail(self, spark, layer, keys, order, n, batch_id, schema) -> None:
         """Each key's last ``n`` rows after this batch."""
         written = tables.read_batch(spark, self.path(layer), batch_id, schema)
@@ -194,12 +206,10 @@ class Pipeline:
             rows = rows.unionByName(before.withColumn(tables.BATCH, F.lit(-1)))
         kept = last_rows(current_rows(rows, (*keys, order)), keys, order, n)
         tables.write_batch(kept, self._tail_path(layer), batch_id)
+        tables.keep_last(spark, self._tail_path(layer), batch_id)
 
     def _tail(self, spark, layer, batch_id, schema) -> DataFrame | None:
-        last = tables.latest_batch(spark, self._tail_path(layer), batch_id)
-        if last is None:
-            return None
-        return tables.read_batch(spark, self._tail_path(layer), last, schema)
+        return self._latest(spark, self._tail_path(layer), batch_id, schema)
 
     def _context(
         self, spark, layer, changes, keys, order, n, batch_id, schema

@@ -107,6 +107,8 @@ def test_alerts_cool_down_and_replay(spark, tmp_path, whole):
     )
     # Batches arrive an hour apart, which is not longer than the cooldown of an hour.
     assert [n for _, n in sent] == [1, 0, 1, 0]
+    state = tables.read_batches(spark, pipe.path("state", "state/rules"))
+    assert {r["batch_id"]: r["trigger_count"] for r in state.collect()} == {1: 1, 2: 2, 3: 2}
     before = rows_of(pipe.alerts(spark), schemas.ALERT_COLUMNS), rows_of(pipe.gold(spark), GOLD)
     pipe.process(spark.read.schema(p.MESSAGE).parquet(f"{tmp_path}/in/2"), 2)
     after = rows_of(pipe.alerts(spark), schemas.ALERT_COLUMNS), rows_of(pipe.gold(spark), GOLD)
@@ -131,7 +133,11 @@ def test_a_long_bar_fires_again_under_its_own_id(spark, tmp_path, make_candles):
     data = make_candles([("BBB", i, 50.0) for i in range(240)])
     feed(spark, data, tmp_path / "in", F.floor((F.hour("open_time") - 12)).cast("int"))
     rule = tuple("1d" if v == "5m" else 1800 if v == 3600 else v for v in RULE)
-    pipe = run(spark, tmp_path / "in", tmp_path / "out", load_rules=lambda s: s.createDataFrame([rule], schemas.RULE))
+    served = {}
+    pipe = run(spark, tmp_path / "in", tmp_path / "out", load_rules=lambda s: s.createDataFrame([rule], schemas.RULE),
+               serve=lambda df, n: served.update({(r["symbol"], r["timeframe"], r["window_start"]): r["close"] for r in df.collect()}))
+    # A keyed serving copy that takes each batch's bars holds the current ones.
+    assert served == {(r["symbol"], r["timeframe"], r["window_start"]): r["close"] for r in pipe.gold(spark).collect()}
     ids = [r["alert_id"] for r in pipe.alerts(spark).collect()]
     assert len(ids) == len(set(ids)) == 4
     pipe.process(spark.read.schema(p.MESSAGE).parquet(f"{tmp_path}/in/3"), 3)
