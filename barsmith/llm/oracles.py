@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontaminate import MASKS, MISSES, WINDOW
 from .quality_rules import STOP_WORDS
 
 
@@ -44,3 +45,35 @@ f AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 OR f2 AS base_failed,
   len(fails) = 0 AS kept, array_to_string(fails, ',') AS failed_rules FROM f
 """
+
+
+def spaced_seeds(docs: str = "documents", items: str = "benchmark") -> str:
+    """Seeds as lists of tokens; every hit is aligned and counted as in ``decontaminate``."""
+    masks = ", ".join(f"({k}, {list(m)})" for k, m in enumerate(MASKS))
+    tokens = r"regexp_extract_all(lower(coalesce(text, '')), '[^ \t-\r!-/:-@\[-`{-~]+')"
+    return f"""
+WITH d AS (SELECT doc_id, {tokens} AS w FROM {docs}),
+b AS (SELECT item_id, {tokens} AS w FROM {items}),
+m AS (
+  SELECT * FROM (VALUES {masks}) AS t(k, o)
+  UNION ALL SELECT DISTINCT 100 + len(w), range(0, len(w)) FROM b WHERE len(w) BETWEEN 1 AND 8),
+bs AS (
+  SELECT item_id, k, p, list_transform(o, lambda x: w[p + x + 1]) AS seed FROM (
+    SELECT *, unnest(range(0, len(w) - o[len(o)])) AS p FROM b, m
+    WHERE CASE WHEN k < 100 THEN len(w) >= 9 ELSE len(w) = len(o) END)),
+ds AS (
+  SELECT doc_id, k, q, list_transform(o, lambda x: w[q + x + 1]) AS seed FROM (
+    SELECT *, unnest(range(0, len(w) - o[len(o)])) AS q FROM d, m WHERE len(w) > o[len(o)])),
+hits AS (
+  SELECT doc_id, item_id, q, p, d.w AS doc, b.w AS item, least({WINDOW}, len(b.w)) AS width
+  FROM (SELECT doc_id, item_id, q, p FROM ds JOIN bs USING (k, seed)) JOIN d USING (doc_id) JOIN b USING (item_id)),
+same AS (
+  SELECT *, list_transform(range(greatest(0, p - width + 1), least(len(item), p + width)), lambda x:
+    CASE WHEN q - p + x >= 0 AND doc[q - p + x + 1] = item[x + 1] THEN 1 ELSE 0 END) AS eq FROM hits),
+best AS (
+  SELECT doc_id, item_id, q, width, list_max(list_transform(range(0, len(eq) - width + 1),
+    lambda s: list_sum(eq[s + 1:s + width]))) AS n FROM same)
+SELECT doc_id, item_id, count(*) AS n_hits, CAST(max(n) AS BIGINT) AS best_match,
+  CAST(min(q) AS BIGINT) AS first_token
+FROM best WHERE n >= width - {MISSES} GROUP BY ALL
+"""

@@ -68,4 +68,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLES: dict[str, str] = {
     "op1_quality_rules": oracles.quality_rules(),
+    "op9_spaced_seeds": oracles.spaced_seeds(),
 }
