@@ -89,9 +89,8 @@ def repeated_words(found: Column, width: int = WINDOW) -> Column:
     return F.when(n > width, let(hashes, from_hashes)).otherwise(0)
 
 
-def measures(df: DataFrame, text: str = "text") -> DataFrame:
-    """Add a struct column ``_m`` of all measures; other columns stay as they are."""
-    whole = whole_text(text)
+def measured(text: Column | str) -> Column:
+    """A struct of all measures of a text."""
 
     def of_words(found: Column, t: Column) -> Column:
         n = F.size(found)
@@ -109,7 +108,12 @@ def measures(df: DataFrame, text: str = "text") -> DataFrame:
             F.size(F.filter(neighbours, lambda x: x)).alias("same_as_last"),
         )
 
-    return df.withColumn("_m", let(whole, lambda t: let(words(t), lambda w: of_words(w, t))))
+    return let(whole_text(text), lambda t: let(words(t), lambda w: of_words(w, t)))
+
+
+def measures(df: DataFrame, text: str = "text") -> DataFrame:
+    """Add the struct of all measures as ``_m``; other columns stay as they are."""
+    return df.withColumn("_m", measured(text))
 
 
 def ratio(part: Column, whole: Column) -> Column:
@@ -166,7 +170,9 @@ def apply_rules(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "tex
 
 
 def keep_passing(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """The rows that every rule accepts, with their columns as they were."""
-    ok = compile_rules(rules, F.col("_m"))
-    marked = measures(df, text)
-    return marked.filter(F.forall(F.array(*(ok[r.name] for r in rules)), lambda x: x)).select(*(F.col(f"`{c}`") for c in df.columns))
+    """The rows that every rule accepts, with their columns as they were.
+
+    One expression: a filter on a column of measures would be pushed below it and compute them
+    anew for each rule.
+    """
+    return df.filter(let(measured(text), lambda m: F.forall(F.array(*(passes(r, m) for r in rules)), lambda x: x)))
