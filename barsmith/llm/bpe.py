@@ -140,8 +140,10 @@ class Merger:
 
     def _merge_block(self, words: list[bytes], width: int) -> list[list[int]]:
         sym = np.full((len(words), width + 1), -1, np.int32)
-        for row, w in zip(sym, words):
-            row[: len(w)] = self.symbols(w)
+        size = np.array([len(w) for w in words])
+        flat = np.frombuffer(b"".join(words), np.uint8)
+        sym[np.arange(width + 1) < size[:, None]] = self.inner[flat]
+        sym[np.arange(len(words)), size - 1] = self.last[flat[np.cumsum(size) - 1]]
         rank = self.ranks(sym[:, :-1], sym[:, 1:])
         place = np.arange(width + 1)
         rows = np.arange(len(words))
@@ -162,7 +164,8 @@ class Merger:
             for at in (best, left):
                 old[k, at] = self.ranks(now[k, at], now[k, np.minimum(at + 1, width)])
             sym[rows], rank[rows] = now, old
-        return [row[row >= 0].tolist() for row in sym]
+        ids, ends = sym[sym >= 0].tolist(), np.cumsum((sym >= 0).sum(axis=1)).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def normalise(text: str) -> str:
