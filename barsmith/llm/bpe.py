@@ -43,7 +43,7 @@ END = "</w>"
 LEXICON_WORDS = 50_000
 LEXICON_BYTES = 24
 #: Words a task remembers at most before it starts anew.
-REMEMBERED = 150_000
+REMEMBERED = 400_000
 #: Words of more symbols are merged one by one.
 LONG_WORD = 64
 NO_RANK = np.int32(2**31 - 1)
