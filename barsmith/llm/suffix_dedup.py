@@ -3,9 +3,10 @@
 A byte goes if it lies in a ``LENGTH``-byte string that also starts in a document with a smaller
 id. The steps:
 
-1. Texts equal to an earlier one go as a whole; one of each goes on.
+1. Texts equal to an earlier one go as a whole. Of those that a task has in one batch only the
+   first goes on, so a large group of copies costs a row for each batch.
 2. A text is cut into units, runs of windows with the same least gram hash (the anchor). Only
-   the units' hashes are dealt out by anchor, some 20 bytes for 17 bytes of text. A unit whose
+   the units' hashes are dealt out by anchor, 16 bytes for 14 bytes of text. A unit whose
    bytes an earlier document has as well is covered; one whose anchor other documents have, with
    other bytes, is undecided.
 3. The bytes of undecided units, a few from each changed place, are dealt out by anchor. All
@@ -13,12 +14,12 @@ id. The steps:
    suffix is covered if its class of equal strings has an earlier document.
 4. Texts with covered bytes are put together with what covers them, and what remains is hashed.
 
-A unit is recognised by 128 bits, its anchor's hash and its own.
+A unit is recognised by 104 bits, 40 of its anchor's hash and 64 of its own.
 
 Defined cases: null texts count as empty, texts shorter than ``LENGTH`` lose nothing; a row
 without an id has no place in the order: it loses nothing and covers nothing; rows that repeat
 an id aren't smaller than each other; an empty table gives an empty result; columns other than
-the two named ones are not read. Units of one anchor meet in one task, with 20 bytes each.
+the two named ones are not read. Units of one anchor meet in one task, with 16 bytes each.
 """
 
 from __future__ import annotations
@@ -36,11 +37,13 @@ from .hashing import chunks
 from .suffix_sort import equal_classes, units
 
 LENGTH = 50
-GRAM = 18
+GRAM = 24
 #: Bytes of text whose units make one bucket; the number of buckets follows the input.
 BUCKET_BYTES = 8 << 20
 
-UNIT_PARTS = (np.int64, np.int64, np.int64, np.uint32, np.uint64, np.uint64)
+#: Ids, keys, units of each; then of every unit its start and 40 bits of its anchor, both in a low
+#: and a high part of which the second compresses well, and its own hash.
+UNIT_PARTS = (np.int64, np.int64, np.int64, np.uint16, np.uint16, np.uint32, np.uint8, np.uint64)
 BYTE_PARTS = (np.int64, np.int64, np.uint64, np.uint32, np.uint32, np.uint8)
 
 
@@ -67,11 +70,13 @@ def by_bucket(bucket: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
             yield b, order[edge[b] : edge[b + 1]]
 
 
-def deal_units(firsts: DataFrame, buckets: int) -> DataFrame:
+def deal_units(docs: DataFrame, buckets: int) -> DataFrame:
     """(bucket, payload): the units of each document, by anchor."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            batch = batch.sort_values("doc_id", kind="stable")
+            batch = batch[~batch.duplicated("text")]
             texts = [t.encode("utf-8", "replace") for t in batch["text"]]
             ids, keys = batch["doc_id"].to_numpy(np.int64), batch["key"].to_numpy(np.int64)
             parts = []
@@ -86,10 +91,12 @@ def deal_units(firsts: DataFrame, buckets: int) -> DataFrame:
                 first = np.flatnonzero(np.concatenate([[True], text[at][1:] != text[at][:-1]]))
                 count = np.diff(np.concatenate([first, [len(at)]]))
                 who = text[at][first]
-                out.append((b, pack((ids[who], keys[who], count, start[at], anchor[at], unit[at]), UNIT_PARTS)))
+                s, a = start[at], anchor[at] >> np.uint64(24)
+                out.append((b, pack((
+                    ids[who], keys[who], count, s & 0xFFFF, s >> 16, a & np.uint64(0xFFFFFFFF), a >> np.uint64(32), unit[at]), UNIT_PARTS)))
             yield pd.DataFrame(out, columns=["bucket", "payload"])
 
-    return firsts.mapInPandas(rows, "bucket int, payload binary")
+    return docs.mapInPandas(rows, "bucket int, payload binary")
 
 
 def decide_units(dealt: DataFrame) -> DataFrame:
@@ -98,7 +105,9 @@ def decide_units(dealt: DataFrame) -> DataFrame:
     def decide(pdf: pd.DataFrame) -> pd.DataFrame:
         columns = []
         for payload in pdf["payload"]:
-            ids, keys, count, start, anchor, unit = unpack(payload, UNIT_PARTS)
+            ids, keys, count, low, high, a_low, a_high, unit = unpack(payload, UNIT_PARTS)
+            start = low.astype(np.int64) | high.astype(np.int64) << 16
+            anchor = a_low.astype(np.uint64) | a_high.astype(np.uint64) << np.uint64(32)
             columns.append((np.repeat(ids, count), np.repeat(keys, count), start, anchor, unit))
         doc, key, start, anchor, unit = (np.concatenate(x) for x in zip(*columns))
         order = np.lexsort((doc, unit, anchor))
@@ -220,11 +229,10 @@ def remove_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, keep_bytes
 
     repeated = narrow.filter(F.col("n_bytes") >= LENGTH).join(earliest.select("sha", "first"), "sha").filter(
         F.col("doc_id") > F.col("first")).select("doc_id", "key").distinct()
-    firsts = keyed.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH)).join(
-        repeated, ["doc_id", "key"], "left_anti")
-    dealt = deal_units(firsts, buckets)
+    dealt = deal_units(keyed.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH)), buckets)
     decided = stash(decide_units(dealt), "unit-flags")
-    flags = decided.groupBy("doc_id", "key").agg(F.collect_list(
+    # Texts that go as a whole need no unit of theirs.
+    flags = decided.join(repeated, ["doc_id", "key"], "left_anti").groupBy("doc_id", "key").agg(F.collect_list(
         F.col("start") * 2 + F.col("covered").cast("long")).alias("flags"))
     flagged = stash(keyed.join(flags, ["doc_id", "key"]), "flagged-texts")
     stretches = stash(sort_undecided(deal_undecided(flagged, buckets)), "stretches").groupBy("doc_id", "key").agg(
