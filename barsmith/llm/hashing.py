@@ -52,7 +52,7 @@ def span_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     return (prefix[end] - prefix[start]) * powers(len(prefix))[1][start]
 
 
-def chunks(texts: list[bytes], limit: int = 2 << 20) -> Iterator[slice]:
+def chunks(texts: list[bytes], limit: int = 1 << 19) -> Iterator[slice]:
     """Slices of the list with about ``limit`` bytes each, so that memory stays bounded."""
     begin = size = 0
     for i, t in enumerate(texts):

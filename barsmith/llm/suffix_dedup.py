@@ -40,6 +40,8 @@ LENGTH = 50
 GRAM = 24
 #: Bytes of text whose units make one bucket; the number of buckets follows the input.
 BUCKET_BYTES = 8 << 20
+#: Bytes of text whose units a task holds at once.
+PAYLOAD_BYTES = 8 << 20
 
 #: Ids, keys, units of each; then of every unit its start and 40 bits of its anchor, both in a low
 #: and a high part of which the second compresses well, and its own hash.
@@ -73,28 +75,30 @@ def by_bucket(bucket: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
 def deal_units(docs: DataFrame, buckets: int) -> DataFrame:
     """(bucket, payload): the units of each document, by anchor."""
 
+    def deal(strings: list[str], ids: np.ndarray, keys: np.ndarray) -> pd.DataFrame:
+        texts = [t.encode("utf-8", "replace") for t in strings]
+        parts = []
+        for part in chunks(texts):
+            text, start, _, anchor, unit = units(texts[part], LENGTH, GRAM)
+            parts.append((text + part.start, start, anchor, unit))
+        text, start, anchor, unit = (np.concatenate(x) for x in zip(*parts))
+        out = []
+        for b, at in by_bucket((anchor % np.uint64(buckets)).astype(np.int64), buckets):
+            first = np.flatnonzero(np.concatenate([[True], text[at][1:] != text[at][:-1]]))
+            count = np.diff(np.concatenate([first, [len(at)]]))
+            who = text[at][first]
+            s, a = start[at], anchor[at] >> np.uint64(24)
+            out.append((b, pack((
+                ids[who], keys[who], count, s & 0xFFFF, s >> 16, a & np.uint64(0xFFFFFFFF), a >> np.uint64(32), unit[at]), UNIT_PARTS)))
+        return pd.DataFrame(out, columns=["bucket", "payload"])
+
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             batch = batch.sort_values("doc_id", kind="stable")
             batch = batch[~batch.duplicated("text")]
-            texts = [t.encode("utf-8", "replace") for t in batch["text"]]
-            ids, keys = batch["doc_id"].to_numpy(np.int64), batch["key"].to_numpy(np.int64)
-            parts = []
-            for part in chunks(texts):
-                text, start, _, anchor, unit = units(texts[part], LENGTH, GRAM)
-                parts.append((text + part.start, start, anchor, unit))
-            if not parts:
-                continue
-            text, start, anchor, unit = (np.concatenate(x) for x in zip(*parts))
-            out = []
-            for b, at in by_bucket((anchor % np.uint64(buckets)).astype(np.int64), buckets):
-                first = np.flatnonzero(np.concatenate([[True], text[at][1:] != text[at][:-1]]))
-                count = np.diff(np.concatenate([first, [len(at)]]))
-                who = text[at][first]
-                s, a = start[at], anchor[at] >> np.uint64(24)
-                out.append((b, pack((
-                    ids[who], keys[who], count, s & 0xFFFF, s >> 16, a & np.uint64(0xFFFFFFFF), a >> np.uint64(32), unit[at]), UNIT_PARTS)))
-            yield pd.DataFrame(out, columns=["bucket", "payload"])
+            all_ids, all_keys = batch["doc_id"].to_numpy(np.int64), batch["key"].to_numpy(np.int64)
+            for piece in chunks(batch["text"].tolist(), PAYLOAD_BYTES):
+                yield deal(batch["text"].iloc[piece].tolist(), all_ids[piece], all_keys[piece])
 
     return docs.mapInPandas(rows, "bucket int, payload binary")
 
