@@ -14,6 +14,9 @@ class Automaton:
     States are compared by Hoeffding's bound on the frequencies of ending there and of each next
     symbol, and so are all pairs of states that merging them would merge. States are tried in
     order of how many strings pass through, so the same strings give the same automaton.
+
+    What follows where a single string passes is kept as text until another one comes: such a
+    state is alike to any, as the bound exceeds every difference. Long strings take no states.
     """
 
     def __init__(self, strings: list[str], alpha: float = 0.05) -> None:
@@ -21,23 +24,47 @@ class Automaton:
         self.seen: list[dict[str, int]] = [{}]
         self.ends = [0]
         self.total = [0]
+        self.rest: list[tuple[str, int] | None] = [None]  # in unbranched states: a string, and what follows from where
         self.slack = math.sqrt(0.5 * math.log(2 / alpha))
         for s in sorted(strings):
-            state = 0
-            self.total[0] += 1
-            for c in s:
-                self.seen[state][c] = self.seen[state].get(c, 0) + 1
-                if c not in self.next[state]:
-                    self.next[state][c] = len(self.next)
-                    self.next.append({})
-                    self.seen.append({})
-                    self.ends.append(0)
-                    self.total.append(0)
-                state = self.next[state][c]
-                self.total[state] += 1
-            self.ends[state] += 1
+            self._insert(0, s, 0)
+        self._open(0)
         self._merge_all()
 
+    def _open(self, state: int) -> None:
+        """Give an unbranched state its end or its one next state."""
+        if self.rest[state] is None:
+            return
+        (s, at), self.rest[state] = self.rest[state], None
+        if at == len(s):
+            self.ends[state] = 1
+        else:
+            self.seen[state][s[at]] = 1
+            self.next[state][s[at]] = self._leaf(s, at + 1)
+
+    def _leaf(self, s: str, at: int) -> int:
+        self.next.append({})
+        self.seen.append({})
+        self.ends.append(0)
+        self.total.append(1)
+        self.rest.append((s, at))
+        return len(self.next) - 1
+
+    def _insert(self, state: int, s: str, at: int) -> None:
+        """Let one more string, from a place in it, pass from the state on."""
+        for i in range(at, len(s)):
+            c = s[i]
+            self._open(state)
+            self.total[state] += 1
+            self.seen[state][c] = self.seen[state].get(c, 0) + 1
+            if c not in self.next[state]:
+                self.next[state][c] = self._leaf(s, i + 1)
+                return
+            state = self.next[state][c]
+        self._open(state)
+        self.total[state] += 1
+        self.ends[state] += 1
+
     def _differs(self, a: int, b: int, of_a: int, of_b: int) -> bool:
         n, m = self.total[a], self.total[b]
         return abs(of_a / n - of_b / m) > self.slack * (1 / math.sqrt(n) + 1 / math.sqrt(m))
@@ -46,7 +73,7 @@ class Automaton:
         todo = [(a, b)]
         while todo:
             a, b = todo.pop()
-            if not self.total[a] or not self.total[b]:
+            if self.total[a] <= 1 or self.total[b] <= 1:
                 continue
             if self._differs(a, b, self.ends[a], self.ends[b]):
                 return False
@@ -61,6 +88,11 @@ class Automaton:
         todo = [(a, b)]
         while todo:
             a, b = todo.pop()
+            if self.rest[b] is not None:
+                self._insert(a, *self.rest[b])
+                self.rest[b] = None
+                continue
+            self._open(a)
             self.ends[a] += self.ends[b]
             self.total[a] += self.total[b]
             for c, n in self.seen[b].items():
@@ -81,11 +113,16 @@ class Automaton:
             state = self.next[s][c]
             twin = next((k for k in kept if self._alike(k, state)), None)
             if twin is None:
+                self._open(state)
                 kept.append(state)
             else:
                 self.next[s][c] = twin
                 self._fold(twin, state)
         self.states = len(kept)
+        place = {k: i for i, k in enumerate(kept)}
+        self.next = [{c: place[t] for c, t in self.next[k].items()} for k in kept]
+        self.seen, self.ends, self.total = ([x[k] for k in kept] for x in (self.seen, self.ends, self.total))
+        self.rest = [None] * len(kept)
 
     def bits(self, s: str) -> float:
         """Log2 likelihood of the string by symbol, its end included."""
@@ -101,14 +138,18 @@ class Automaton:
 class Pairs:
     """How likely a string is as ordinary text: counts of symbol pairs, one added to each.
 
-    A string that the counts come from is judged by what the others contributed.
+    A string that the counts come from is judged by what the others contributed. With ``counts``
+    of pairs instead of strings, every string that is judged must be one of those counted.
     """
 
-    def __init__(self, strings: list[str], symbols: int = 67) -> None:
+    def __init__(self, strings: list[str] = (), symbols: int = 67, counts: dict[str, int] | None = None) -> None:
         self.own = set(strings)
-        self.pair: dict[str, int] = {}
+        self.all_own = counts is not None
+        self.pair: dict[str, int] = dict(counts or {})
         self.one: dict[str, int] = {}
         self.symbols = symbols
+        for ab, n in self.pair.items():
+            self.one[ab[0]] = self.one.get(ab[0], 0) + n
         for s in self.own:
             for a, b in zip(" " + s, s + " "):
                 self.pair[a + b] = self.pair.get(a + b, 0) + 1
@@ -116,7 +157,7 @@ class Pairs:
 
     def bits(self, s: str) -> float:
         steps = [a + b for a, b in zip(" " + s, s + " ")]
-        pair, one = (Counter(steps), Counter(x[0] for x in steps)) if s in self.own else ({}, {})
+        pair, one = (Counter(steps), Counter(x[0] for x in steps)) if self.all_own or s in self.own else ({}, {})
         got = [
             (self.pair.get(x, 0) - pair.get(x, 0) + 1) / (self.one.get(x[0], 0) - one.get(x[0], 0) + self.symbols)
             for x in steps]
@@ -124,11 +165,15 @@ class Pairs:
 
 
 class Format:
-    """One kind of credential: its automaton, its lengths, and the least likelihood to pass."""
+    """One kind of credential: its automaton, its lengths, and the least likelihood to pass.
+
+    Lengths are those of the strings, or of all the values that the strings are a sample of.
+    """
 
-    def __init__(self, strings: list[str]) -> None:
+    def __init__(self, strings: list[str], shortest: int | None = None, longest: int | None = None) -> None:
         self.automaton = Automaton(strings)
-        self.shortest, self.longest = min(map(len, strings)), max(map(len, strings))
+        self.shortest = min(map(len, strings)) if shortest is None else shortest
+        self.longest = max(map(len, strings)) if longest is None else longest
         scores = sorted(map(self.automaton.bits, strings))
         self.least = scores[len(scores) // 100] - 0.1
 

@@ -2,11 +2,13 @@
 
 Three fixed patterns label credentials. The labelled values of each kind, a bounded sample of
 distinct ones taken in the order of a hash, are the strings from which a probabilistic automaton
-is inferred by merging compatible prefix-tree states. Every other run of credential characters
-is then scored: it is added where its length occurs among the labelled ones, the automaton finds
-it about as likely as those, and far likelier than ordinary long words.
+is inferred by merging compatible prefix-tree states. Every other run of credential characters,
+or what spans leave of it, is then scored: it is added where its length lies between those of
+all labelled values, the automaton finds it about as likely as the sample, and far likelier than
+ordinary runs. How likely a run is as an ordinary one comes from all distinct runs.
 
-Texts are scanned once. What was found is written to the shared folder, and only it is scored.
+Texts are scanned for labels, then for the counts of ordinary runs, whose least length depends
+on the labels, then for spans; only labelled values, distinct runs and counts are shuffled.
 
 Defined cases: null and empty texts have no spans; equal texts get equal spans, repeated rows
 stay; rows without an id are scanned like others; kinds without a labelled value add nothing; an
@@ -17,7 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -35,10 +37,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 6, 20, 24
 
-#: Shortest run of credential characters that is scored.
+#: Least length of runs that count as ordinary ones, unless a labelled value is shorter.
 RUN_LEAST = 16
-#: Strings an automaton is learned from at most, by kind, and their longest.
-SAMPLE, SAMPLE_LENGTH = 400, 128
+#: Labelled strings an automaton is learned from at most, by kind, and their characters in all.
+SAMPLE, SAMPLE_CHARS = 400, 4_000_000
+#: Longest run whose decision a task remembers.
+REMEMBERED = 256
 #: Bits a symbol by which a credential must be likelier than ordinary words.
 MARGIN = 1.0
 
@@ -77,77 +81,139 @@ def long_runs(texts: list[str], least: int = RUN_LEAST) -> list[list[tuple[int,
     return out
 
 
-def find_candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, base, runs): labelled spans of each text, and the long runs outside of them."""
-    span = "array<struct<kind:string,start:long,end:long,value:string>>"
+def free_runs(places: list[tuple[int, int]], spans: list[tuple], least: int) -> list[tuple[int, int]]:
+    """What spans (kind, start, end, ...) leave of the runs, in stretches of ``least`` at least."""
+    cuts: list[list[int]] = []
+    for a, b in sorted((s[1], s[2]) for s in spans):
+        if cuts and a <= cuts[-1][1]:
+            cuts[-1][1] = max(b, cuts[-1][1])
+        else:
+            cuts.append([a, b])
+    out, i = [], 0
+    for a, b in places:
+        while i < len(cuts) and cuts[i][1] <= a:
+            i += 1
+        k = i
+        while k < len(cuts) and cuts[k][0] < b:
+            if cuts[k][0] - a >= least:
+                out.append((a, cuts[k][0]))
+            a = max(a, cuts[k][1])
+            k += 1
+        if b - a >= least:
+            out.append((a, b))
+    return out
+
 
+def labelled_values(docs: DataFrame) -> DataFrame:
+    """(kind, value): the distinct values that the fixed patterns find."""
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [t or "" for t in batch["text"]]
-            base, runs = [], []
-            for text, places in zip(texts, long_runs(texts)):
-                found = base_spans(text, places)
-                free = [("run", a, b, text[a:b]) for a, b in places if all(b <= s[1] or a >= s[2] for s in found)]
-                base.append([dict(zip(("kind", "start", "end", "value"), s)) for s in found])
-                runs.append([dict(zip(("kind", "start", "end", "value"), s)) for s in free])
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "base": base, "runs": runs})
+            found = {(s[0], s[3]) for text, places in zip(texts, long_runs(texts, HEX_LEAST)) for s in base_spans(text, places)}
+            yield pd.DataFrame(sorted(found), columns=["kind", "value"], dtype=object)
 
-    return shipped(docs).select("doc_id", "text").mapInPandas(rows, f"doc_id long, base {span}, runs {span}")
+    return shipped(docs).select("text").mapInPandas(rows, "kind string, value string").distinct()
 
 
-def sample_values(found: DataFrame, column: str, limit: int = SAMPLE) -> dict[str, list[str]]:
-    """Distinct values by kind, at most ``limit`` of each, in the order of their hash."""
-    values = found.select(F.explode(column).alias("s")).select("s.kind", "s.value").filter(
-        F.length("value").between(1, SAMPLE_LENGTH)).distinct().withColumn("h", F.xxhash64("value"))
+def sample_values(values: DataFrame, limit: int = SAMPLE, chars: int = SAMPLE_CHARS) -> dict[str, list[str]]:
+    """Values by kind in the order of their hash, at most ``limit`` of each and ``chars`` characters."""
+    hashed = values.withColumn("h", F.xxhash64("value"))
     out: dict[str, list[str]] = {}
-    for kind in (*KINDS, "run"):
-        got = values.filter(F.col("kind") == kind).orderBy("h", "value").limit(limit).select("value").collect()
-        if got:
-            out[kind] = [r["value"] for r in got]
+    for kind in KINDS:
+        of = hashed.filter(F.col("kind") == kind)
+        fits, total = [], 0
+        for r in of.select("h", F.length("value").alias("n")).orderBy("h", "n").limit(limit).collect():
+            if total + r["n"] <= chars:
+                total += r["n"]
+                fits.append(r["h"])
+        if fits:
+            out[kind] = [r["value"] for r in of.filter(F.col("h").isin(fits)).orderBy("h", "value").select("value").collect()]
     return out
 
 
-def learn_formats(found: DataFrame, limit: int = SAMPLE) -> tuple[dict[str, Format], Pairs]:
-    """An automaton for each labelled kind, and the model of ordinary long words."""
-    labelled = sample_values(found, "base", limit)
-    ordinary = sample_values(found, "runs", limit).get("run", [])
-    return {k: Format(v) for k, v in labelled.items()}, Pairs(ordinary)
+def count_pairs(docs: DataFrame, least: int) -> dict[str, int]:
+    """In how many places each pair of symbols stands in all distinct runs outside of labelled spans.
+
+    A blank stands for a run's start and end. Each task adds up its runs, so as many rows as there
+    are pairs of symbols reach the driver.
+    """
+    def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = [t or "" for t in batch["text"]]
+            found = set()
+            for text, places in zip(texts, long_runs(texts, least)):
+                found.update(text[a:b] for a, b in free_runs(places, base_spans(text, places), least))
+            yield pd.DataFrame({"value": pd.Series(sorted(found), dtype=object)})
+
+    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(1 << 16, np.int64)  # a pair's two bytes are its place
+        for batch in batches:
+            raw = np.frombuffer((" " + " ".join(batch["value"]) + " ").encode("ascii"), np.uint8).astype(np.uint16)
+            total += np.bincount(raw[:-1] << 8 | raw[1:], minlength=1 << 16)
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"pair": [chr(x >> 8) + chr(x & 255) for x in at.tolist()], "n": total[at]})
+
+    values = shipped(docs).select("text").mapInPandas(runs, "value string").distinct()
+    counts = values.mapInPandas(pairs, "pair string, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    return {r["pair"]: r["n"] for r in counts.collect() if r["pair"] != "  "}
+
+
+def learn_formats(docs: DataFrame, limit: int = SAMPLE) -> tuple[dict[str, Format], Pairs, int]:
+    """An automaton for each labelled kind, the model of ordinary runs, and the least length to score."""
+    values = stash(labelled_values(docs), "secret-labels")
+    length = F.length("value")
+    bounds = {r["kind"]: (r["least"], r["most"]) for r in values.filter(length > 0).groupBy("kind").agg(
+        F.min(length).alias("least"), F.max(length).alias("most")).collect()}
+    formats = {k: Format(v, *bounds[k]) for k, v in sample_values(values, limit).items()}
+    if not formats:
+        return {}, Pairs([]), RUN_LEAST
+    least = min(f.shortest for f in formats.values())
+    return formats, Pairs(counts=count_pairs(docs, min(least, RUN_LEAST))), least
 
 
 def joined(spans: list[tuple]) -> str:
     return ",".join(f"{s[0]}:{s[1]}:{s[2]}" for s in spans)
 
 
+def decisions(formats: dict[str, Format], ordinary: Pairs) -> Callable[[str], str | None]:
+    """The kind a run is like, or None; short runs are remembered."""
+    known: dict[str, str | None] = {}
+
+    def like(value: str) -> str | None:
+        if value in known:
+            return known[value]
+        kind = next((k for k, f in formats.items() if f.accepts(value, ordinary, MARGIN)), None)
+        if len(value) <= REMEMBERED:
+            if len(known) > 100_000:
+                known.clear()
+            known[value] = kind
+        return kind
+
+    return like
+
+
 def scan(docs: DataFrame, limit: int = SAMPLE) -> DataFrame:
     """Counts and digest of the fixed patterns' spans, and all spans with the learned ones.
 
     A learned span's kind is that of its format with ``like_`` in front.
     """
-    found = stash(find_candidates(docs), "secret-candidates")
-    formats, ordinary = learn_formats(found, limit)
+    formats, ordinary, least = learn_formats(docs, limit)
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, str | None] = {}
+        like = decisions(formats, ordinary)
         for batch in batches:
             out = []
-            for doc_id, base, runs in zip(batch["doc_id"], batch["base"], batch["runs"]):
-                base = [(s["kind"], s["start"], s["end"]) for s in base]
-                more = []
-                for s in runs:
-                    value = s["value"]
-                    if value not in known:
-                        if len(known) > 100_000:
-                            known.clear()
-                        known[value] = next((k for k, f in formats.items() if f.accepts(value, ordinary, MARGIN)), None)
-                    if known[value]:
-                        more.append((f"like_{known[value]}", s["start"], s["end"]))
+            texts = [t or "" for t in batch["text"]]
+            for doc_id, text, places in zip(batch["doc_id"], texts, long_runs(texts, min(least, HEX_LEAST))):
+                base = [s[:3] for s in base_spans(text, places)]
+                more = [(f"like_{kind}", a, b) for a, b in free_runs(places, base, least) if (kind := like(text[a:b]))]
                 kinds = [s[0] for s in base]
                 out.append((
                     doc_id, *(kinds.count(k) for k in KINDS), hashlib.sha256(joined(base).encode()).hexdigest(),
                     joined(sorted(base + more, key=lambda s: (s[1], [*KINDS, *(f"like_{k}" for k in KINDS)].index(s[0]))))))
             yield pd.DataFrame(out, columns=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
 
-    return found.mapInPandas(
+    return shipped(docs).select("doc_id", "text").mapInPandas(
         rows, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
 
@@ -167,26 +233,24 @@ def redact_documents(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
 
     A row's own text is scanned again instead of joined with its spans, so nothing is shuffled.
     """
-    formats, ordinary = learn_formats(stash(find_candidates(docs), "secret-candidates"))
+    formats, ordinary, least = learn_formats(docs)
     names, at = docs.columns, docs.columns.index("text")
     schema = docs.schema
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        like = decisions(formats, ordinary)
         for batch in batches:
             texts = batch.iloc[:, at].tolist()
             clean = []
-            for text, places in zip(texts, long_runs([t or "" for t in texts])):
+            for text, places in zip(texts, long_runs([t or "" for t in texts], min(least, HEX_LEAST))):
                 if not text:
                     clean.append(text)
                     continue
                 spans = [s[:3] for s in base_spans(text, places)]
-                for a, b in places:
-                    if all(b <= s[1] or a >= s[2] for s in spans) and any(
-                            f.accepts(text[a:b], ordinary, MARGIN) for f in formats.values()):
-                        spans.append(("like", a, b))
+                spans += [("like", a, b) for a, b in free_runs(places, spans, least) if like(text[a:b])]
                 clean.append(redact(text, joined(spans), mark) if spans else text)
             batch.iloc[:, at] = pd.Series(clean, index=batch.index, dtype=object)
             yield batch
 
-    out = docs.mapInPandas(rows, schema)
+    out = shipped(docs).mapInPandas(rows, schema)
     return out.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)) if "n_chars" in names else out

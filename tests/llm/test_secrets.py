@@ -75,3 +75,43 @@ def test_learned_spans_and_redaction(spark):
 
 def test_redact_takes_overlaps_as_one():
     assert secrets.redact("abcdefghij", "a:1:4,b:2:6,c:8:9", "_") == "a_gh_j"
+
+
+def test_ordinary_runs_are_counted_over_the_whole_corpus(spark):
+    runs = [f"path/{i:05d}/segment-{i * 7919 % 100_003:06d}" for i in range(1500)]
+    df = spark.createDataFrame(
+        [(i, f"token=abcdef0123456789 see {r} and {r}") for i, r in enumerate(runs)], "doc_id long, text string").repartition(5)
+    _, ordinary, least = secrets.learn_formats(df)
+    plain_counts = Pairs(runs)  # each distinct run once, however often it occurs
+    assert least == 16 and ordinary.pair == plain_counts.pair and ordinary.one == plain_counts.one
+    assert all(abs(ordinary.bits(r) - plain_counts.bits(r)) < 1e-12 for r in runs[:20])
+
+
+def test_lengths_are_those_of_all_labelled_values(spark):
+    rng = random.Random(4)
+    number = lambda n: "".join(rng.choice("qvxzjkyghu") for _ in range(n))
+    keys = [number(n) for n in [9, 200, *(rng.randrange(12, 60) for _ in range(600))]]
+    # A sample of ten strings rarely holds the shortest and the longest one; their lengths count all the same.
+    df = spark.createDataFrame([(i, f"secret={k} wordswordswords") for i, k in enumerate(keys)], "doc_id long, text string")
+    formats, _, least = secrets.learn_formats(df, limit=10)
+    assert (formats["assign"].shortest, formats["assign"].longest, least) == (9, 200, 9)
+    more = df.union(spark.createDataFrame([(1000 + n, number(n)) for n in (8, 9, 200, 201)], df.schema))
+    got = {r["doc_id"]: r["spans"] for r in secrets.scan(more, limit=100).filter("doc_id > 1000").collect()}
+    assert got == {1008: "", 1009: "like_assign:0:9", 1200: "like_assign:0:200", 1201: ""}
+
+
+def test_rest_of_a_partly_covered_run_is_scored(spark):
+    assert secrets.free_runs([(0, 10), (12, 40)], [("assign", 5, 14), ("hex", 6, 8), ("hex", 20, 25)], 5) == [(0, 5), (14, 20), (25, 40)]
+    bare = _keys(1, seed=9)[0]
+    rows = [(i, f"some words here password = {k} and more") for i, k in enumerate(_keys(200))]
+    df = spark.createDataFrame([*rows, (500, f"{bare}/AKIA{'Z9' * 9}")], "doc_id long, text string")
+    # The slash belongs to the rest, so here it is a credential of its own only without it.
+    assert secrets.scan(df).filter("doc_id = 500").first()["spans"] == "access:24:46"
+    df = spark.createDataFrame([*rows, (500, f"{bare}AKIA{'Z9' * 9}")], "doc_id long, text string")
+    assert secrets.scan(df).filter("doc_id = 500").first()["spans"] == "like_assign:0:23,access:23:45"
+
+
+def test_automaton_of_long_strings_takes_no_states():
+    rng = random.Random(6)
+    long = ["".join(rng.choice("0123456789abcdef") for _ in range(20_000)) for _ in range(20)]
+    assert Automaton(long).states < 30
