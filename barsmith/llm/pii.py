@@ -1,11 +1,12 @@
 """Personal data by fixed patterns and bootstrapped contextual extraction.
 
 Fixed patterns give the base spans. They are also the seeds: every token with a digit or an @
-is an instance, those within base spans have a kind, and the words beside an instance are its
-lexical patterns (two words before it, one before it, one behind it). Spark scores the graph of
-patterns and instances in rounds: a pattern is as sure of a kind as the share of its distinct
-instances that belong to it, an instance as its surest pattern. Patterns above ``SURE`` with
-enough seeds then mark instances that no fixed pattern knows.
+is an instance, neighbouring groups of digits together one, those within base spans have a kind,
+and the words beside an instance are its lexical patterns (two words before it, one before it,
+one behind it). Spark scores the graph of patterns and instances in rounds: a pattern is as sure
+of a kind as the share of its distinct instances that belong to it, an instance as its surest
+pattern. Patterns above ``SURE`` with enough support, from seeds and from what earlier rounds
+accepted, then mark instances that no fixed pattern knows.
 
 Everything is DataFrame functions. Texts are scanned once; places come from splitting a text at
 the matches, so they count code points. What is shuffled are instances and their contexts.
@@ -39,11 +40,17 @@ OCTET = r"^0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})$"
 #: A token that holds a digit or an @, from its start.
 INSTANCE = r"(?<![^ \t-\r])[^ \t-\r0-9@]*+[0-9@][^ \t-\r]*+"
 
+#: Digits and the punctuation within numbers, whole tokens one blank apart; the last may end a clause.
+_GROUP = r"[(+]*+[0-9][0-9()./+-]*+"
+GROUPS = rf"(?<![^ \t-\r]){_GROUP}(?![^ \t-\r])(?: {_GROUP}(?![^ \t-\r]))*+(?: {_GROUP}[^ \t-\r0-9A-Za-z@]*+(?![^ \t-\r]))?+"
+#: An instance from its first letter or digit to its last; a bracket that is closed within it stays.
+CORE = r"(?:\((?=[0-9+]++\).*[A-Za-z0-9])|[A-Za-z0-9+])(?:.*[A-Za-z0-9])?"
+
 ROUNDS = 3
-#: Least confidence of a pattern, and the seeds of a kind that it must have met.
+#: Least confidence of a pattern, and the seeds or accepted instances of a kind that it must have met.
 SURE = 0.8
 MIN_SEEDS = 5
-#: Digits an unseen identifier must have.
+#: Digits an unseen identifier without an @ must have, all its groups together.
 MIN_DIGITS = 4
 
 
@@ -98,11 +105,14 @@ def base_spans(text: Column) -> Column:
 
 def instances(text: Column, base: Column) -> Column:
     """array<struct<start, end, value, kind, patterns>>: identifier-like tokens with their contexts."""
+    def overlaps(b: Column, s: Column) -> Column:
+        return (b["start"] < s["end"]) & (b["end"] > s["start"])
+
     def of(s: Column) -> Column:
-        core = F.regexp_extract(s["value"], r"[A-Za-z0-9+](?:.*[A-Za-z0-9])?", 0)
+        core = F.regexp_extract(s["value"], CORE, 0)
         start = s["start"] + F.position(core, s["value"]) - 1
         # Tokens of one base span are one instance, the whole span.
-        seed = F.get(F.filter(base, lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"])), F.lit(0))
+        seed = F.get(F.filter(base, lambda b: overlaps(b, s)), F.lit(0))
         left = F.lower(F.trim(F.translate(F.substring(s["before"], -60, 60), "\t\n\x0b\f\r", "     ")))
         right = F.lower(F.trim(F.translate(F.substring(s["after"], 1, 60), "\t\n\x0b\f\r", "     ")))
         contexts = F.array(
@@ -113,10 +123,27 @@ def instances(text: Column, base: Column) -> Column:
             F.coalesce(F.substring(text, seed["start"] + 1, seed["end"] - seed["start"]), core).alias("value"),
             seed["kind"].alias("kind"), F.filter(contexts, lambda c: F.length(c) > 2).alias("patterns"))
 
-    return F.when(text.rlike("[0-9@]"), F.transform(matches(text, INSTANCE), of)).otherwise(
+    def parts(s: Column) -> Column:
+        """The instance, or its tokens where a base span is beside other groups."""
+        partly = F.exists(base, lambda b: overlaps(b, s) & (
+            (b["start"] > s["start"] + F.length(F.regexp_extract(s["value"], "^[^0-9+]*", 0)))
+            | (b["end"] < s["end"] - F.length(F.regexp_extract(s["value"], "[^0-9]*$", 0)))))
+        tokens = F.transform(matches(s["value"], INSTANCE), lambda t: F.struct(
+            (s["start"] + t["start"]).alias("start"), (s["start"] + t["end"]).alias("end"), t["value"].alias("value"),
+            F.when(t["start"] == 0, s["before"]).otherwise(t["before"]).alias("before"),
+            F.when(s["start"] + t["end"] == s["end"], s["after"]).otherwise(t["after"]).alias("after")))
+        return F.when(s["value"].contains(" ") & partly, tokens).otherwise(F.array(s))
+
+    found = F.flatten(F.transform(matches(text, f"{GROUPS}|{INSTANCE}"), parts))
+    return F.when(text.rlike("[0-9@]"), F.transform(found, of)).otherwise(
         F.array().cast("array<struct<start:int,end:int,value:string,kind:string,patterns:array<string>>>"))
 
 
+def identifier(value: Column) -> Column:
+    """Whether an unseen instance may be marked at all."""
+    return value.contains("@") | (F.length(digits(value)) >= MIN_DIGITS)
+
+
 def scan_texts(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, base, found) of every row."""
     row = let(whole_text("text"), lambda t: let(base_spans(t), lambda b: F.struct(
@@ -134,16 +161,17 @@ def score_graph(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     size = edge.groupBy("pattern").agg(F.count(F.lit(1)).alias("size"))
     known = edge.filter(F.col("kind").isNotNull()).select("value", "kind").distinct().withColumn("score", F.lit(1.0))
     belief, patterns = known, None
+    accepted = (F.col("score") == 1.0) | ((F.col("score") >= SURE) & identifier(F.col("value")))
     for _ in range(rounds):
         sums = edge.select("pattern", "value").join(belief, "value").groupBy("pattern", "kind").agg(
-            F.sum("score").alias("weight"), F.count(F.when(F.col("score") == 1.0, 1)).alias("seeds"))
+            F.sum("score").alias("weight"), F.count(F.when(accepted, 1)).alias("seeds"))
         patterns = sums.join(size, "pattern").select(
             "pattern", "kind", F.try_divide("weight", "size").alias("confidence"), "seeds")
         patterns = stash(patterns, "pattern-scores")
         good = patterns.filter((F.col("confidence") >= SURE / 2) & (F.col("seeds") >= MIN_SEEDS))
         unseen = edge.select("pattern", "value").join(known.select("value"), "value", "left_anti")
         guess = unseen.join(good, "pattern").groupBy("value", "kind").agg(F.max("confidence").alias("score"))
-        # A guess never counts as a seed.
+        # A guess is never as sure as a seed; from SURE on it supports patterns in the next round.
         belief = stash(known.union(guess.withColumn("score", F.least("score", F.lit(0.999)))), "beliefs")
     return patterns
 
@@ -158,7 +186,7 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
         "doc_id", "text_key", F.explode("found").alias("o")).select("doc_id", "text_key", "o.*")
     edges = occurrence.select(F.explode("patterns").alias("pattern"), "value", "kind")
     sure = score_graph(edges).filter((F.col("confidence") >= SURE) & (F.col("seeds") >= MIN_SEEDS))
-    unseen = occurrence.filter(F.col("kind").isNull() & (F.length(digits(F.col("value"))) >= MIN_DIGITS))
+    unseen = occurrence.filter(F.col("kind").isNull() & identifier(F.col("value")))
     hits = unseen.select("doc_id", "text_key", "start", "end", F.explode("patterns").alias("pattern")).join(
         sure.select("pattern", F.col("kind"), "confidence"), "pattern")
     best = hits.groupBy("doc_id", "text_key", "start", "end").agg(

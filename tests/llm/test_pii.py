@@ -68,3 +68,37 @@ def test_patterns_of_seeds_find_unseen_identifiers(spark):
     assert got[None] == ["context_phone:13:21"] * 2
     assert all(s[0].startswith("phone:20:") for k, s in got.items() if k is not None and k < 40)
     assert pii.find_personal_data(df.limit(0)).count() == 0
+
+
+def _spans(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    return {r["doc_id"]: r["spans"] for r in pii.find_personal_data(df).collect()}
+
+
+def test_groups_of_digits_are_one_identifier(spark):
+    rng = random.Random(7)
+    rows = [(i, f"please call hotline +1 (555) {rng.randrange(100, 999)}-{rng.randrange(1000, 9999)} friend") for i in range(40)]
+    rows += [(50 + i, f"charge card number 4111 1111 1111 1111 please {'abcdefghij'[i % 10]}") for i in range(3)]
+    cards = [d for d in map(str, range(4111111111110000, 4111111111112000)) if luhn(d)][:30]
+    rows += [(60 + i, f"charge card number {' '.join(d[k:k + 4] for k in (0, 4, 8, 12))} please") for i, d in enumerate(cards)]
+    rows += [(i + 200, f"write to mailbox user{'abcdefghijklmnopqrst'[i]}@host.org soon") for i in range(20)]
+    rows += [
+        (100, "é call hotline (555) 010-9999 today"), (101, "charge card number 4111 1111 1111 1112, please"),
+        (102, "write to mailbox bob@localhost soon"), (103, "call hotline 12 34"), (104, "call hotline 1 2"),
+        (105, "1.2.3.4 99887766 friend"), (106, "1 " * 30_000 + "1x"), (107, "call hotline 99887766 1.2.3.4")]
+    got = _spans(spark, rows)
+    assert got[100] == "context_phone:15:29"
+    assert got[101] == "context_card:19:38"
+    assert got[102] == "context_email:17:30"
+    assert got[103] == "context_phone:13:18" and got[104] == ""
+    # A known span beside an unseen group does not hide it.
+    assert got[105] == "ip:0:7,context_phone:8:16" and got[107] == "ip:22:29,context_phone:13:21"
+
+
+def test_accepted_instances_support_later_patterns(spark):
+    rng = random.Random(8)
+    rows = [(i, f"hotline +1 (555) {100 + i}-{rng.randrange(1000, 9999)} {chr(97 + i)}end") for i in range(20)]
+    # These are known by "hotline" only, and are all that stands before "pager".
+    rows += [(100 + i, f"hotline 555{i}0199 pager") for i in range(5)]
+    rows += [(200, "dial 5559888 pager")]
+    assert _spans(spark, rows)[200] == "context_phone:5:12"
