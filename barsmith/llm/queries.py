@@ -16,7 +16,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tool_calls.link_conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return tool_calls.link_conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"), whole=True)
 
 
 def op3_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

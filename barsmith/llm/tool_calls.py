@@ -13,7 +13,8 @@ white space, numbers in shortest form.
 * schemas: name, schema (JSON text; type, properties, required, additionalProperties, items, enum,
   minimum, maximum, minLength, maxLength are understood)
 
-Statuses: ``linked``, ``unanswered`` (no result), ``orphan`` (a result without its call). Errors
+Statuses: ``linked``, ``unanswered`` (no result), ``orphan`` (a result without its call), and in
+plain chats ``context`` (a turn that neither asks nor answers, such as a system's). Errors
 name what a schema objects to, ``unknown_tool``, ``bad_json``, ``missing_parent`` and ``cycle``.
 
 Defined cases: of calls (or results) that repeat an id within a conversation the first by turn,
@@ -157,8 +158,11 @@ def positions(rows: DataFrame) -> DataFrame:
         *(ranked[c] for c in rows.columns), (counts["_before"] + ranked["_rank"] - 1).alias("position"))
 
 
-def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
-    """One row per call, and one per result without a call, in topological order."""
+def link(calls: DataFrame, results: DataFrame, schemas: DataFrame, others: DataFrame | None = None) -> DataFrame:
+    """One row per call, and one per result without a call, in topological order.
+
+    ``others`` are finished messages that get their positions among the rest.
+    """
     calls = once(calls.select("conv_id", "call_id", "turn", "after", "name", "arguments"), "after", "name", "arguments")
     results = once(results.select("conv_id", "call_id", "turn", "content"), "content")
     tools = {r["name"]: json.loads(r["schema"]) for r in schemas.select("name", "schema").collect()}  # one row per tool
@@ -204,7 +208,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     done = shipped(joined).mapInPandas(
         serialise, f"conv_id {kind}, call_id string, turn long, status string, depth long, n_copies long, "
         "valid boolean, errors string, message string")
-    return positions(stash(done, "linked-calls"))
+    return positions(stash(done.unionByName(others) if others is not None else done, "linked-calls"))
 
 
 #: The tool that ``from_conversations`` makes of a user's turn (its schema's limits are parameters).
@@ -237,7 +241,34 @@ def from_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     return calls, results
 
 
-def link_conversations(turns: DataFrame) -> DataFrame:
-    calls, results = from_conversations(turns.select("conv_id", "turn", "role", "text"))
+def context_turns(turns: DataFrame) -> DataFrame:
+    """Messages of the turns of other roles or none, system and tool turns among them, one a row.
+
+    They have the status ``context``, no call id and no depth; repeated rows stay.
+    """
+    other = turns.filter(~F.coalesce(F.col("role").isin("user", "assistant"), F.lit(False)))
+    kind = dict(turns.dtypes)["conv_id"]
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(message=[
+                canonical({"role": role, "status": "context", "text": text}) for role, text in zip(batch["role"], batch["text"])])[
+                ["conv_id", "turn", "message"]]
+
+    rows = shipped(other).select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text").mapInPandas(
+        write, f"conv_id {kind}, turn long, message string")
+    return rows.select(
+        "conv_id", F.lit(None).cast("string").alias("call_id"), "turn", F.lit("context").alias("status"),
+        F.lit(None).cast("long").alias("depth"), F.lit(1).cast("long").alias("n_copies"), F.lit(True).alias("valid"),
+        F.lit("").alias("errors"), "message")
+
+
+def link_conversations(turns: DataFrame, whole: bool = False) -> DataFrame:
+    """The calls and results of plain chats; with ``whole`` all other turns as well.
+
+    Those have no depth, so they stand behind the calls of their conversation, in the order of turns.
+    """
+    turns = turns.select("conv_id", "turn", "role", "text")
+    calls, results = from_conversations(turns)
     schemas = turns.sparkSession.createDataFrame([("ask", ASK)], "name string, schema string")
-    return link(calls, results, schemas)
+    return link(calls, results, schemas, context_turns(turns) if whole else None)

@@ -2,11 +2,12 @@
 
 import json
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 
 from barsmith.llm import tool_calls as tc
+from barsmith.llm.queries import op2_tool_call_linking
 
 SF = "/root/testdata/sf0.001"
 CALLS = "conv_id long, call_id string, after string, turn long, name string, arguments string, message string"
@@ -92,3 +93,23 @@ def test_long_chain_takes_few_rounds_and_keeps_order(spark):
 ])
 def test_schema_rules(value, schema, want):
     assert tc.violations(value, schema) == want
+
+
+def test_query_holds_every_turn_once(spark, tmp_path):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    rows += [(9001, 0, "tool", "t"), (9001, 1, None, "n"), (9001, 1, None, "n"), (9001, 2, "user", "u"), (9002, None, "system", None), (None, 0, "system", "s")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = op2_tool_call_linking(spark, str(tmp_path)).collect()
+    held, places = Counter(), defaultdict(list)
+    for r in got:
+        message = json.loads(r["message"])
+        places[r["conv_id"]].append(r["position"])
+        if r["status"] == "context":
+            held[r["conv_id"], r["turn"], message["role"], message["text"]] += 1
+        if r["status"] in ("linked", "unanswered"):
+            held[r["conv_id"], r["turn"], "user", message["arguments"]["text"]] += 1
+        if r["status"] in ("linked", "orphan"):
+            held[r["conv_id"], r["turn"] + (r["status"] == "linked"), "assistant", message["result"]] += 1
+    assert held == Counter(rows)
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    assert [r["status"] for r in sorted((r for r in got if r["conv_id"] == 9001), key=lambda r: r["position"])] == ["unanswered"] + ["context"] * 3
