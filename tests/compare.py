@@ -40,7 +40,7 @@ def _multiset(columns, rows):
 
 # SQL type families that must agree between the engines.
 _SPARK = {
-    "bigint": "int", "double": "float", "string": "text", "boolean": "bool", "date": "date",
+    "bigint": "int", "int": "int", "double": "float", "string": "text", "boolean": "bool", "date": "date",
     "timestamp_ntz": "ts",
 }
 
@@ -48,7 +48,7 @@ _SPARK = {
 def _duck_family(kind) -> str:
     name = re.sub(r"\(.*", "", str(kind)).upper()
     return {
-        "BIGINT": "int", "DOUBLE": "float", "VARCHAR": "text", "BOOLEAN": "bool",
+        "BIGINT": "int", "INTEGER": "int", "DOUBLE": "float", "VARCHAR": "text", "BOOLEAN": "bool",
         "DATE": "date", "TIMESTAMP": "ts",
     }.get(name, name)
 
