@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, minhash, oracles, pii, quality_rules, ranking, secrets, sharding, suffix_dedup, tool_calls
+from . import (
+    bpe, centroids, decontaminate, minhash, oracles, pii, quality_rules, ranking, secrets, sharding, suffix_dedup, tool_calls,
+    url_filters, variants,
+)
 from .common import documents
 
 
@@ -54,6 +57,18 @@ def op10_grammar_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir))
 
 
+def op11_bit_plane_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_permuterm_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(documents(spark, sf_dir))
+
+
+def op13_token_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), url_filters.default_rules(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_tool_call_linking": op2_tool_call_linking,
@@ -65,8 +80,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_transducer_bpe": op8_transducer_bpe,
     "op9_spaced_seeds": op9_spaced_seeds,
     "op10_grammar_secrets": op10_grammar_secrets,
+    "op11_bit_plane_centroids": op11_bit_plane_centroids,
+    "op12_permuterm_variants": op12_permuterm_variants,
+    "op13_token_url_filters": op13_token_url_filters,
 }
 ORACLES: dict[str, str] = {
     "op1_quality_rules": oracles.quality_rules(),
     "op9_spaced_seeds": oracles.spaced_seeds(),
+    "op11_bit_plane_centroids": oracles.bit_plane_centroids(),
+    "op12_permuterm_variants": oracles.spelling_variants(),
+    "op13_token_url_filters": oracles.url_filters(),
 }
