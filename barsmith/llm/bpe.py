@@ -29,7 +29,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
@@ -295,31 +295,34 @@ def encode_documents(docs: DataFrame, model_path: str, keep_ids: bool = True, le
     docs = shipped(docs).select("doc_id", "text")
     name = ship(docs, build_lexicon(frequent_words(docs, lexicon_words), Merger(load_model(model_path))))
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(name, model_path)
         for batch in batches:
             ids, n, ids_sha, text_sha = [], [], [], []
-            for found, text in encoder.encode([t or "" for t in batch["text"]]):
+            for found, text in encoder.encode([t or "" for t in batch.column(1).to_pylist()]):
                 n.append(found.count(" ") + 1 if found else 0)
                 ids_sha.append(hashlib.sha256(found.encode()).hexdigest())
                 text_sha.append(hashlib.sha256(text.encode()).hexdigest())
                 if keep_ids:
                     ids.append(np.array(found.split(), np.int32))
-            out = pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": n, "ids_sha256": ids_sha, "decoded_sha256": text_sha})
-            yield out.assign(ids=ids) if keep_ids else out
+            columns = {"doc_id": batch.column(0), "n_tokens": pa.array(n, pa.int64()),
+                       "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string())}
+            if keep_ids:
+                columns["ids"] = pa.array(ids, pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_pydict(columns)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.mapInPandas(rows, schema + (", ids array<int>" if keep_ids else ""))
+    return docs.withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(
+        rows, schema + (", ids array<int>" if keep_ids else ""))
 
 
 def decode_documents(encoded: DataFrame, model_path: str) -> DataFrame:
     """(doc_id, text): the token texts of ``ids``, joined by spaces."""
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text = Merger(load_model(model_path)).text
         for batch in batches:
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"],
-                "text": [" ".join(text[i] for i in (() if ids is None else ids)) for ids in batch["ids"]]})
+            found = [" ".join(text[i] for i in ids or ()) for ids in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "text": pa.array(found, pa.string())})
 
-    return shipped(encoded).select("doc_id", "ids").mapInPandas(rows, "doc_id long, text string")
+    return shipped(encoded).select(F.col("doc_id").cast("long"), "ids").mapInArrow(rows, "doc_id long, text string")

@@ -165,20 +165,26 @@ class Pairs:
 
 
 class Format:
-    """One kind of credential: its automaton, its lengths, and the least likelihood to pass.
+    """One kind of credential: its automaton, how its lengths spread, and the least likelihood to pass.
 
-    Lengths are those of the strings, or of all the values that the strings are a sample of.
+    The logarithm of a length counts as normally distributed, which adds to a string's likelihood.
+    No length is ruled out: a format of one length makes others unlikely, one of many lengths
+    hardly cares, and the longer a string the more its symbols decide.
     """
 
-    def __init__(self, strings: list[str], shortest: int | None = None, longest: int | None = None) -> None:
+    def __init__(self, strings: list[str]) -> None:
         self.automaton = Automaton(strings)
-        self.shortest = min(map(len, strings)) if shortest is None else shortest
-        self.longest = max(map(len, strings)) if longest is None else longest
-        scores = sorted(map(self.automaton.bits, strings))
+        logs = [math.log(max(len(s), 1)) for s in strings]
+        self.mean = sum(logs) / len(logs)
+        self.spread = max(0.1, math.sqrt(sum((x - self.mean) ** 2 for x in logs) / len(logs)))
+        scores = sorted(map(self.bits, strings))
         self.least = scores[len(scores) // 100] - 0.1
 
+    def bits(self, s: str) -> float:
+        """Log2 likelihood by symbol, that of the length included."""
+        away = (math.log(max(len(s), 1)) - self.mean) / self.spread
+        return self.automaton.bits(s) - away * away / 2 * math.log2(math.e) / (len(s) + 1)
+
     def accepts(self, s: str, ordinary: Pairs, margin: float) -> bool:
-        if not self.shortest <= len(s) <= self.longest:
-            return False
-        bits = self.automaton.bits(s)
+        bits = self.bits(s)
         return bits >= self.least and bits >= ordinary.bits(s) + margin

@@ -2,13 +2,12 @@
 
 Three fixed patterns label credentials. The labelled values of each kind, a bounded sample of
 distinct ones taken in the order of a hash, are the strings from which a probabilistic automaton
-is inferred by merging compatible prefix-tree states. Every other run of credential characters,
-or what spans leave of it, is then scored: it is added where its length lies between those of
-all labelled values, the automaton finds it about as likely as the sample, and far likelier than
-ordinary runs. How likely a run is as an ordinary one comes from all distinct runs.
+is inferred by merging compatible prefix-tree states. Every other run of credential characters
+as long as the shortest credential, or what spans leave of it, is then scored: it is added where
+the automaton and the spread of the sample's lengths find it about as likely as the sample, and far
+likelier than ordinary runs. No length is ruled out. How likely a run is as an ordinary one comes from all distinct runs.
 
-Texts are scanned for labels, then for the counts of ordinary runs, whose least length depends
-on the labels, then for spans; only labelled values, distinct runs and counts are shuffled.
+Texts are scanned for labels, then for the counts of ordinary runs, then for spans; only labelled values, distinct runs and counts are shuffled.
 
 Defined cases: null and empty texts have no spans; equal texts get equal spans, repeated rows
 stay; rows without an id are scanned like others; kinds without a labelled value add nothing; an
@@ -22,7 +21,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +36,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 6, 20, 24
 
-#: Least length of runs that count as ordinary ones, unless a labelled value is shorter.
-RUN_LEAST = 16
+#: Least length of runs that are scored and counted as ordinary ones: that of the shortest credential.
+RUN_LEAST = min(ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST)
 #: Labelled strings an automaton is learned from at most, by kind, and their characters in all.
 SAMPLE, SAMPLE_CHARS = 400, 4_000_000
 #: Longest run whose decision a task remembers.
@@ -104,15 +103,25 @@ def free_runs(places: list[tuple[int, int]], spans: list[tuple], least: int) ->
     return out
 
 
+def _texts(column: pa.Array) -> list[str]:
+    return [t or "" for t in column.to_pylist()]
+
+
+def _batch(names: list[str], rows: list[tuple], types: list) -> pa.RecordBatch:
+    """Rows as a batch, whose columns have their types also where there is no row."""
+    columns = zip(*rows) if rows else [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+
 def labelled_values(docs: DataFrame) -> DataFrame:
     """(kind, value): the distinct values that the fixed patterns find."""
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch["text"]]
+            texts = _texts(batch.column(0))
             found = {(s[0], s[3]) for text, places in zip(texts, long_runs(texts, HEX_LEAST)) for s in base_spans(text, places)}
-            yield pd.DataFrame(sorted(found), columns=["kind", "value"], dtype=object)
+            yield _batch(["kind", "value"], sorted(found), [pa.string()] * 2)
 
-    return shipped(docs).select("text").mapInPandas(rows, "kind string, value string").distinct()
+    return shipped(docs).select("text").mapInArrow(rows, "kind string, value string").distinct()
 
 
 def sample_values(values: DataFrame, limit: int = SAMPLE, chars: int = SAMPLE_CHARS) -> dict[str, list[str]]:
@@ -137,38 +146,36 @@ def count_pairs(docs: DataFrame, least: int) -> dict[str, int]:
     A blank stands for a run's start and end. Each task adds up its runs, so as many rows as there
     are pairs of symbols reach the driver.
     """
-    def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch["text"]]
+            texts = _texts(batch.column(0))
             found = set()
             for text, places in zip(texts, long_runs(texts, least)):
                 found.update(text[a:b] for a, b in free_runs(places, base_spans(text, places), least))
-            yield pd.DataFrame({"value": pd.Series(sorted(found), dtype=object)})
+            yield _batch(["value"], [(v,) for v in sorted(found)], [pa.string()])
 
-    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << 16, np.int64)  # a pair's two bytes are its place
         for batch in batches:
-            raw = np.frombuffer((" " + " ".join(batch["value"]) + " ").encode("ascii"), np.uint8).astype(np.uint16)
-            total += np.bincount(raw[:-1] << 8 | raw[1:], minlength=1 << 16)
-        at = np.flatnonzero(total)
-        yield pd.DataFrame({"pair": [chr(x >> 8) + chr(x & 255) for x in at.tolist()], "n": total[at]})
-
-    values = shipped(docs).select("text").mapInPandas(runs, "value string").distinct()
-    counts = values.mapInPandas(pairs, "pair string, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+            if batch.num_rows:
+                text = " " + " ".join(batch.column(0).to_pylist()) + " "
+                raw = np.frombuffer(text.encode("ascii"), np.uint8).astype(np.uint16)
+                total += np.bincount(raw[:-1] << 8 | raw[1:], minlength=1 << 16)
+        at = np.flatnonzero(total).tolist()
+        yield _batch(["pair", "n"], [(chr(x >> 8) + chr(x & 255), int(total[x])) for x in at], [pa.string(), pa.int64()])
+
+    values = shipped(docs).select("text").mapInArrow(runs, "value string").distinct()
+    counts = values.mapInArrow(pairs, "pair string, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     return {r["pair"]: r["n"] for r in counts.collect() if r["pair"] != "  "}
 
 
 def learn_formats(docs: DataFrame, limit: int = SAMPLE) -> tuple[dict[str, Format], Pairs, int]:
     """An automaton for each labelled kind, the model of ordinary runs, and the least length to score."""
     values = stash(labelled_values(docs), "secret-labels")
-    length = F.length("value")
-    bounds = {r["kind"]: (r["least"], r["most"]) for r in values.filter(length > 0).groupBy("kind").agg(
-        F.min(length).alias("least"), F.max(length).alias("most")).collect()}
-    formats = {k: Format(v, *bounds[k]) for k, v in sample_values(values, limit).items()}
+    formats = {k: Format(v) for k, v in sample_values(values, limit).items()}
     if not formats:
         return {}, Pairs([]), RUN_LEAST
-    least = min(f.shortest for f in formats.values())
-    return formats, Pairs(counts=count_pairs(docs, min(least, RUN_LEAST))), least
+    return formats, Pairs(counts=count_pairs(docs, RUN_LEAST)), RUN_LEAST
 
 
 def joined(spans: list[tuple]) -> str:
@@ -199,21 +206,24 @@ def scan(docs: DataFrame, limit: int = SAMPLE) -> DataFrame:
     """
     formats, ordinary, least = learn_formats(docs, limit)
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    order = [*KINDS, *(f"like_{k}" for k in KINDS)]
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         like = decisions(formats, ordinary)
         for batch in batches:
             out = []
-            texts = [t or "" for t in batch["text"]]
-            for doc_id, text, places in zip(batch["doc_id"], texts, long_runs(texts, min(least, HEX_LEAST))):
+            texts = _texts(batch.column(1))
+            for text, places in zip(texts, long_runs(texts, min(least, HEX_LEAST))):
                 base = [s[:3] for s in base_spans(text, places)]
                 more = [(f"like_{kind}", a, b) for a, b in free_runs(places, base, least) if (kind := like(text[a:b]))]
                 kinds = [s[0] for s in base]
                 out.append((
-                    doc_id, *(kinds.count(k) for k in KINDS), hashlib.sha256(joined(base).encode()).hexdigest(),
-                    joined(sorted(base + more, key=lambda s: (s[1], [*KINDS, *(f"like_{k}" for k in KINDS)].index(s[0]))))))
-            yield pd.DataFrame(out, columns=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
+                    *(kinds.count(k) for k in KINDS), hashlib.sha256(joined(base).encode()).hexdigest(),
+                    joined(sorted(base + more, key=lambda s: (s[1], order.index(s[0]))))))
+            found = _batch(["n_assign", "n_access", "n_hex", "base_sha256", "spans"], out, [pa.int64()] * 3 + [pa.string()] * 2)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *found.columns], ["doc_id", *found.schema.names])
 
-    return shipped(docs).select("doc_id", "text").mapInPandas(
+    return shipped(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(
         rows, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
 
@@ -237,10 +247,10 @@ def redact_documents(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     names, at = docs.columns, docs.columns.index("text")
     schema = docs.schema
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         like = decisions(formats, ordinary)
         for batch in batches:
-            texts = batch.iloc[:, at].tolist()
+            texts = batch.column(at).to_pylist()
             clean = []
             for text, places in zip(texts, long_runs([t or "" for t in texts], min(least, HEX_LEAST))):
                 if not text:
@@ -249,8 +259,7 @@ def redact_documents(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
                 spans = [s[:3] for s in base_spans(text, places)]
                 spans += [("like", a, b) for a, b in free_runs(places, spans, least) if like(text[a:b])]
                 clean.append(redact(text, joined(spans), mark) if spans else text)
-            batch.iloc[:, at] = pd.Series(clean, index=batch.index, dtype=object)
-            yield batch
+            yield batch.set_column(at, batch.schema.field(at), pa.array(clean, batch.schema.field(at).type))
 
-    out = shipped(docs).mapInPandas(rows, schema)
+    out = shipped(docs).mapInArrow(rows, schema)
     return out.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)) if "n_chars" in names else out

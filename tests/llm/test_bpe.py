@@ -92,3 +92,12 @@ def test_transducer_numbers_words_in_order():
     assert len(lexicon.final) < len(prefixes) / 2
     empty = Lexicon(compile_words([], []))
     assert empty.numbers([b"a"]).tolist() == [-1]
+
+
+def test_large_ids_beside_null_ids(spark):
+    big = 2**53 + 1
+    df = spark.createDataFrame([(big, "a word"), (None, None)], "doc_id long, text string").coalesce(1)
+    encoded = bpe.encode_documents(df, public_tokenizers.path("word_bpe_49k.json"))
+    assert {r["doc_id"]: r["n_tokens"] for r in encoded.collect()} == {big: 2, None: 0}
+    decoded = bpe.decode_documents(encoded, public_tokenizers.path("word_bpe_49k.json"))
+    assert {r["doc_id"]: r["text"] for r in decoded.collect()} == {big: "a</w> word</w>", None: ""}
