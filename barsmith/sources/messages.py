@@ -227,16 +227,18 @@ def candle_messages(candles: DataFrame) -> DataFrame:
     )
 
 
-def parsed_candles(messages: DataFrame) -> DataFrame:
+def parsed_candles(messages: DataFrame, with_text: bool = False) -> DataFrame:
     """Candle messages flattened to columns, with the message's own key and timestamp.
 
-    Malformed JSON gives NULL columns, which the validity filter removes.
+    Malformed JSON gives NULL columns, which the validity filter removes. ``with_text`` keeps the
+    message's text as ``_kafka_value``.
     """
-    data = F.from_json(F.col("value").cast("string"), CANDLE)
+    text = F.col("value").cast("string")
     return messages.select(
         F.col("key").cast("string").alias("_kafka_key"),
         F.col("timestamp").alias("_kafka_ts"),
-        F.inline(F.array(data)),
+        *([text.alias("_kafka_value")] if with_text else []),
+        F.inline(F.array(F.from_json(text, CANDLE))),
     )
 
 

@@ -11,6 +11,10 @@ back, are recomputed and written, with the rows before them as context. One late
 old series therefore writes a bounded number of rows.
 Context comes from a small table of each key's last rows, so a batch does not read history
 unless late rows reach back further than that table does.
+
+Bars are a keyed table: a batch replaces the segments that it touches, and readers see one row for
+each bar without folding versions. The source is read and parsed once; the batch's numbers of
+read, valid and rejected messages are observed where they are written.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,6 +34,7 @@ from ..operators.indicators import SILVER_CONTEXT, SILVER_KEYS, add_indicators
 from ..operators.series import SEGMENT_ROWS
 from ..session import pin_utc
 from ..sources import messages, tables
+from ..sources.keyed import KeyedTable, bar_segment, day_segment
 from ..vocabulary import (
     BAR_TIMEFRAMES, CANDLE_TOPIC, RECORDS_PER_TRIGGER, TRIGGER_INTERVAL,
 )
@@ -49,6 +54,8 @@ class Pipeline:
     row for each rule that has fired, which every batch writes anew. Bars before ``started_at`` raise no alerts. ``publish`` receives the alert messages
     of a batch, for example to write them to a topic, and ``serve`` the batch's bars. Bars are
     made of candles of ``base_interval``; candles of other intervals stay in bronze and silver.
+    With ``serving`` the bars and the alerts are also kept as keyed tables below ``serving``, apart
+    from gold and from the audit of alerts. ``report`` receives the numbers of each batch.
     """
 
     base: str
@@ -61,6 +68,9 @@ class Pipeline:
     gold_layout: tuple[str, ...] = ("timeframe", "partition_date")
     segment_rows: int = SEGMENT_ROWS
     base_interval: str = "1m"
+    buckets: int = 8
+    serving: bool = False
+    report: Callable[[dict[str, int]], None] | None = None
 
     def path(self, layer: str, table: str = "ohlcv") -> str:
         return tables.layer_path(self.base, layer, table)
@@ -69,7 +79,9 @@ class Pipeline:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = pin_utc(batch.sparkSession)
-        self._write_bronze(batch, batch_id)
+        counts = self._write_bronze(batch, batch_id)
+        if self.report:
+            self.report({"batch_id": batch_id, **counts})
         new = tables.read_batch(spark, self.path("bronze"), batch_id, BRONZE)
         bounds = new.agg(
             F.min(F.to_date("open_time")).alias("first_day"), F.max("_kafka_ts").alias("arrived")
@@ -93,13 +105,23 @@ class Pipeline:
         finally:
             bars.unpersist()
 
-    def _write_bronze(self, batch: DataFrame, batch_id: int) -> None:
-        parsed = messages.parsed_candles(batch)
-        tables.write_batch(
-            candles.valid_candles(parsed), self.path("bronze"), batch_id, self.bronze_layout
-        )
-        rejected = rejected_messages(batch)
-        tables.write_batch(rejected, self.path("bronze", "dead_letters"), batch_id)
+    def _write_bronze(self, batch: DataFrame, batch_id: int) -> dict[str, int]:
+        """Valid candles and rejected messages of the batch, parsed once; returns their numbers."""
+        parsed = messages.parsed_candles(batch, with_text=True).persist()
+        valid, rejected = Observation(), Observation()
+        try:
+            good = candles.valid_candles(parsed.drop("_kafka_value"))
+            tables.write_batch(
+                good.observe(valid, F.count(F.lit(1)).alias("n")), self.path("bronze"), batch_id, self.bronze_layout
+            )
+            bad = rejected_messages(parsed)
+            tables.write_batch(
+                bad.observe(rejected, F.count(F.lit(1)).alias("n")), self.path("bronze", "dead_letters"), batch_id
+            )
+        finally:
+            parsed.unpersist()
+        n_valid, n_rejected = valid.get["n"], rejected.get["n"]
+        return {"read": n_valid + n_rejected, "valid": n_valid, "rejected": n_rejected}
 
     def _write_silver(self, spark, changes, first_day, batch_id, as_of) -> None:
         stored = tables.read_batches(spark, self.path("bronze"), batch_id + 1, BRONZE)
@@ -164,8 +186,14 @@ class Pipeline:
         self._write_tail(
             spark, "gold", resample.GOLD_KEYS, "window_start", BAR_CONTEXT, batch_id, schemas.GOLD
         )
+        written = tables.read_batch(spark, self.path("gold"), batch_id, schemas.GOLD)
+        self.gold_table().apply(written, batch_id)
+        if self.serving:
+            self.serving_bars().apply(written, batch_id)
         if self.serve:
             self.serve(tables.read_batch(spark, self.path("gold"), batch_id), batch_id)
+        # What the batches wrote is folded into the table; the last ones stay for replays.
+        tables.keep_last(spark, self.path("gold"), batch_id)
 
     def _write_alerts(self, spark, bars, batch_id, as_of) -> None:
         if self.load_rules is None:
@@ -180,9 +208,29 @@ class Pipeline:
         written = tables.read_batch(spark, path, batch_id, schemas.ALERT_EVENT)
         tables.write_batch(rules.trigger_state(written, state), self._rule_state_path(), batch_id)
         tables.keep_last(spark, self._rule_state_path(), batch_id)
+        if self.serving:
+            self.serving_alerts().apply(written, batch_id)
         if self.publish:
             self.publish(alerts.alert_messages(written), batch_id)
 
+    # ---- keyed tables --------------------------------------------------------------------
+
+    def _bar_table(self, path: str) -> KeyedTable:
+        return KeyedTable(path, schemas.GOLD, resample.GOLD_KEY, lambda: bar_segment(self.buckets), tables.GOLD_INSERT_ONLY)
+
+    def gold_table(self) -> KeyedTable:
+        """One row for each bar."""
+        return self._bar_table(self.path("gold", "bars"))
+
+    def serving_bars(self) -> KeyedTable:
+        """The bars as consumers read them, replaced by key."""
+        return self._bar_table(self.path("serving", "serving/bars"))
+
+    def serving_alerts(self) -> KeyedTable:
+        """The alerts as consumers page through them; the audit beside it is only appended to."""
+        return KeyedTable(
+            self.path("serving", "serving/alerts"), schemas.ALERT_EVENT, ("alert_id",), lambda: day_segment("triggered_at"))
+
     # ---- context -------------------------------------------------------------------------
 
     def _rule_state_path(self) -> str:
@@ -228,9 +276,12 @@ class Pipeline:
         ).filter((F.col("_kept") >= n) & (F.col("_usable") < n)).select(*keys, "_first")
         if cut.isEmpty():
             return usable
-        stored = tables.read_batches(spark, self.path(layer), batch_id, schema)
-        past = stored.join(cut, list(keys)).filter(earlier).drop("_first")
-        deep = last_rows(current_rows(past, (*keys, order)), keys, order, n)
+        if layer == "gold":
+            past = self.gold_table().read(spark, batch_id).join(cut, list(keys)).filter(earlier).drop("_first")
+        else:
+            stored = tables.read_batches(spark, self.path(layer), batch_id, schema)
+            past = current_rows(stored.join(cut, list(keys)).filter(earlier).drop("_first"), (*keys, order))
+        deep = last_rows(past, keys, order, n)
         return usable.join(cut.select(*keys), list(keys), "left_anti").unionByName(deep)
 
     # ---- views ---------------------------------------------------------------------------
@@ -240,9 +291,7 @@ class Pipeline:
         return current_rows(stored, (*SILVER_KEYS, "open_time"))
 
     def gold(self, spark: SparkSession) -> DataFrame:
-        return tables.gold_view(
-            tables.read_batches(spark, self.path("gold"), schema=schemas.GOLD)
-        )
+        return self.gold_table().read(spark)
 
     def alerts(self, spark: SparkSession) -> DataFrame:
         return tables.read_batches(
@@ -297,20 +346,18 @@ def last_rows(rows: DataFrame, keys: Sequence[str], order: str, n: int) -> DataF
     )
 
 
-def rejected_messages(batch: DataFrame) -> DataFrame:
-    """Messages that give no valid candle, with the reason."""
-    text = F.col("value").cast("string")
-    found = messages.parsed_candles(batch.withColumn("key", text))
+def rejected_messages(parsed: DataFrame) -> DataFrame:
+    """Messages, parsed with their text, that give no valid candle, with the reason."""
     error = (
-        F.when(F.get_json_object("_kafka_key", "$").isNull(), "invalid JSON")
+        F.when(F.get_json_object("_kafka_value", "$").isNull(), "invalid JSON")
         .when(F.col("symbol").isNull(), "no symbol")
         .when(F.col("open_time").isNull(), "no open time")
         .when(F.col("close").isNull(), "no close")
     )
     bad = F.col("symbol").isNull() | F.col("open_time").isNull() | F.col("close").isNull()
-    return found.filter(bad).select(
+    return parsed.filter(bad).select(
         F.col("_kafka_ts").alias("timestamp"), error.alias("error"),
-        F.col("_kafka_key").alias("event"),
+        F.col("_kafka_value").alias("event"),
     )
 
 

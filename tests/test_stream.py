@@ -86,10 +86,31 @@ def test_micro_batches_equal_one_batch(spark, tmp_path, whole, split):
         data = whole.unionByName(drafts).unionByName(broken)
         order = (F.floor(minute / 200) + F.col("is_closed").cast("int")).cast("int")
     feed(spark, data, tmp_path / "in", order)
-    pipe = run(spark, tmp_path / "in", tmp_path / "out")
+    pipe = run(spark, tmp_path / "in", tmp_path / "out", serving=True)
     silver, gold = expected(data)
     assert rows_of(pipe.silver(spark), SILVER) == rows_of(silver, SILVER)
     assert rows_of(pipe.gold(spark), GOLD) == rows_of(gold, GOLD)
+    # The serving copy holds the same bars, also after the last batch has run again.
+    last = max(int(f.name) for f in (tmp_path / "in").iterdir())
+    pipe.process(spark.read.schema(p.MESSAGE).parquet(f"{tmp_path}/in/{last}"), last)
+    assert rows_of(pipe.serving_bars().read(spark), GOLD) == rows_of(gold, GOLD)
+
+
+def test_source_is_read_once_and_counted(spark, tmp_path, whole):
+    feed(spark, whole.limit(30), tmp_path / "in", F.lit(0))
+    bad = spark.createDataFrame([(b"AAA", b"{broken", utc(2024, 1, 16))], p.MESSAGE)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    batch = spark.read.schema(p.MESSAGE).parquet(f"{tmp_path}/in/0").union(bad).mapInPandas(counted, p.MESSAGE)
+    reports = []
+    p.Pipeline(base=str(tmp_path / "out"), report=reports.append).process(batch, 0)
+    assert reports == [{"batch_id": 0, "read": 31, "valid": 30, "rejected": 1}]
+    assert seen.value == 31
 
 
 RULE = ("rule-1", "user-1", "BBB", "5m", [("close", ">", "0")], "AND", "BUY", ["email"],
@@ -135,13 +156,14 @@ def test_a_long_bar_fires_again_under_its_own_id(spark, tmp_path, make_candles):
     rule = tuple("1d" if v == "5m" else 1800 if v == 3600 else v for v in RULE)
     served = {}
     pipe = run(spark, tmp_path / "in", tmp_path / "out", load_rules=lambda s: s.createDataFrame([rule], schemas.RULE),
-               serve=lambda df, n: served.update({(r["symbol"], r["timeframe"], r["window_start"]): r["close"] for r in df.collect()}))
+               serving=True, serve=lambda df, n: served.update({(r["symbol"], r["timeframe"], r["window_start"]): r["close"] for r in df.collect()}))
     # A keyed serving copy that takes each batch's bars holds the current ones.
     assert served == {(r["symbol"], r["timeframe"], r["window_start"]): r["close"] for r in pipe.gold(spark).collect()}
     ids = [r["alert_id"] for r in pipe.alerts(spark).collect()]
     assert len(ids) == len(set(ids)) == 4
     pipe.process(spark.read.schema(p.MESSAGE).parquet(f"{tmp_path}/in/3"), 3)
     assert {r["alert_id"] for r in pipe.alerts(spark).collect()} == set(ids)
+    assert sorted(r["alert_id"] for r in pipe.serving_alerts().read(spark).collect()) == sorted(ids)
 
 
 def test_backfill_raises_no_alerts(spark, tmp_path, whole):
