@@ -1,21 +1,25 @@
 """Matching bars with rules, and the alert rows that come of it.
 
-Many rules share one predicate: the same symbol, timeframe, logic and conditions. A bar is
-tested once per distinct predicate, matches are folded to the latest bar per predicate, and
-only then joined to the rules. Pairs of bars and rules are never materialised, and the
-result is the same: cooldown and one-alert-per-rule depend on the rule alone.
+Many rules share one predicate: the same symbol, timeframe, logic and conditions. Predicates are
+filed in an index by one of their conditions if all must hold, by each of them if any may. The
+entries of a symbol, timeframe, field and operator are sorted by threshold and cut into blocks
+with their least and greatest one. A bar compares its value with the bounds of each block, opens
+those that may hold entries it meets, and only what it meets is tested as a whole: work grows
+with what is met and hardly with the number of thresholds. Matches are folded to the latest bar per predicate and only then joined to the
+rules. The result is that of every rule tested on every bar, as cooldown and one-alert-per-rule
+depend on the rule alone.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import signal_message
 from ..functions.conditions import (
-    FIELDS, condition_met, condition_reason, field_values, prepared_conditions, rule_met,
+    ANY, EQUAL, FIELDS, GREATER, LESS, condition_met, condition_reason, field_values, prepared_conditions,
 )
 from ..schemas import ALERT_COLUMNS
 from ..vocabulary import RULE_PATTERNS
@@ -23,6 +27,8 @@ from .resample import GOLD_KEYS
 from .rules import active_rules
 
 PREDICATE = "_predicate"
+#: Entries in a block of the index.
+INDEX_BLOCK = 64
 _BAR_COLUMNS = (
     "window_start", "close", "rsi_14", "macd", "volume_ratio", "candle_pattern",
 )
@@ -64,19 +70,91 @@ def _bar_values(bars: DataFrame) -> DataFrame:
 _VALUES = ("_now", "_before")
 
 
-def _tested(bars: DataFrame, rules: DataFrame) -> DataFrame:
-    """Bars joined to the predicates of their symbol and timeframe.
+def rule_index(rules: DataFrame, block: int = INDEX_BLOCK) -> DataFrame:
+    """(symbol, timeframe, slot, current, previous, least, greatest, entries): predicates by the
+    conditions they are filed under.
 
-    No hint: Spark broadcasts the predicates below its size threshold and otherwise shuffles,
-    splitting a hot symbol's bars.
+    Where all conditions must hold, a crossing is preferred, then an equality. Predicates that no
+    bar can meet are left out.
     """
-    return _bar_values(bars).join(predicates(rules), list(GOLD_KEYS))
+    conditions = F.col("conditions")
+
+    def possible(c: Column) -> Column:
+        return c["slot"].isNotNull() & (c["current"] > 0)
+
+    def choice(c: Column, i: Column) -> Column:
+        rank = F.when(c["previous"] != ANY, 0).when(c["current"] == EQUAL, 1).otherwise(2)
+        return F.struct(rank.alias("rank"), i.alias("i"))
+
+    places = F.sequence(F.lit(0), F.size(conditions) - 1)
+    filed = F.when(
+        (F.col("logic") == "AND") & F.forall(conditions, possible),
+        F.array(F.array_min(F.transform(conditions, choice))["i"]),
+    ).when(F.col("logic") == "OR", F.filter(places, lambda i: possible(F.get(conditions, i))))
+    entries = (
+        predicates(rules).filter(F.size(conditions) > 0)
+        .select(PREDICATE, *GOLD_KEYS, "logic", "conditions", F.explode(filed).alias("_entry"))
+        .withColumn("_filed", F.get("conditions", F.col("_entry")))
+    )
+    kind = [*GOLD_KEYS, "slot", "current", "previous"]
+    entries = entries.select(
+        *GOLD_KEYS, *(F.col(f"_filed.{c}").alias(c) for c in ("slot", "current", "previous", "number")),
+        PREDICATE, "logic", "conditions", "_entry",
+    )
+    place = F.row_number().over(Window.partitionBy(*kind).orderBy("number", PREDICATE, "_entry"))
+    blocks = entries.withColumn("_block", F.floor((place - 1) / block))
+    row = F.struct("number", PREDICATE, "_entry", "logic", "conditions")
+    return blocks.groupBy(*kind, "_block").agg(
+        F.min("number").alias("least"), F.max("number").alias("greatest"), F.collect_list(row).alias("entries")
+    ).drop("_block")
+
+
+def _may_meet(value: Column, outcomes: Column) -> Column:
+    """Whether comparing the value with some number of a block can have an outcome of the set."""
+    least, greatest = F.col("least"), F.col("greatest")
+
+    def has(outcome: int) -> Column:
+        return outcomes.bitwiseAND(F.lit(outcome)) > 0
+
+    return (
+        (has(GREATER) & (value > least)) | (has(LESS) & (value < greatest))
+        | (has(EQUAL) & (value >= least) & (value <= greatest))
+    )
+
+
+def _meets(value: Column, number: Column, outcomes: Column) -> Column:
+    return outcomes.bitwiseAND(F.when(value < number, LESS).when(value == number, EQUAL).otherwise(GREATER)) > 0
 
 
 def matches(bars: DataFrame, rules: DataFrame) -> DataFrame:
-    """Bars that meet a predicate, one row per bar and distinct predicate."""
+    """Bars that meet a predicate, one row per bar and distinct predicate.
+
+    No hint: Spark broadcasts the index below its size threshold and otherwise shuffles,
+    splitting a hot symbol's bars.
+    """
     values = [F.col(c) for c in _VALUES]
-    return _tested(bars, rules).filter(rule_met(F.col("conditions"), F.col("logic"), *values))
+    value, was = (F.get(c, F.col("slot") - 1) for c in _VALUES)
+    current, previous = F.col("current"), F.col("previous")
+    any_before = previous == ANY
+    opened = _bar_values(bars).join(rule_index(rules), list(GOLD_KEYS)).filter(
+        value.isNotNull() & _may_meet(value, current)
+        & (any_before | (was.isNotNull() & _may_meet(was, previous)))
+    )
+    met = opened.select(
+        *GOLD_KEYS, *_BAR_COLUMNS, *_VALUES, "slot", "current", "previous", F.inline("entries")
+    ).filter(
+        _meets(value, F.col("number"), current) & (any_before | _meets(was, F.col("number"), previous))
+    )
+    conditions = F.col("conditions")
+
+    def holds(c: Column) -> Column:
+        return condition_met(c, *values)
+
+    # Of several conditions that hold, the first one gives the row.
+    whole = (F.size(conditions) == 1) | F.when(
+        F.col("logic") == "AND", F.forall(conditions, holds)
+    ).otherwise((F.col("_entry") == 0) | ~F.exists(F.slice(conditions, F.lit(1), F.col("_entry")), holds))
+    return met.filter(whole).select(PREDICATE, *GOLD_KEYS, *_BAR_COLUMNS, *_VALUES)
 
 
 def condition_counts(bars: DataFrame, rules: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
@@ -133,15 +134,21 @@ def created(rules: DataFrame, payloads: DataFrame, at: datetime) -> DataFrame:
     return rules.unionByName(unseen.dropDuplicates(["rule_id"]).select(*rules.columns))
 
 
-def patched(rules: DataFrame, patches: DataFrame, at: datetime) -> DataFrame:
-    """Overwrite rules with the non-NULL fields of their patch.
+def patched(
+    rules: DataFrame, patches: DataFrame, at: datetime, order: Sequence[str] = ("patched_at",)
+) -> DataFrame:
+    """Rules with the fields that their patches give, one row per rule however many patches it has.
 
-    Empty patches change nothing, nor do those with a violation: see ``patch_violations``.
+    Patches apply one after the other by their ``order`` columns, as far as they have them, and
+    then by content: each field takes its last value. Empty patches change nothing, nor do those
+    with a violation: see ``patch_violations``.
     """
     fields = [f for f in PATCHABLE if f in patches.columns]
-    sound = patches.filter(F.size(_patch_failures(patches.columns)) == 0)
-    given = sound.dropna(how="all", subset=fields).select(
-        *RULE_KEY, *[F.col(f).alias(f"_{f}") for f in fields], F.lit(True).alias("_patched")
+    sound = patches.filter(F.size(_patch_failures(patches.columns)) == 0).dropna(how="all", subset=fields)
+    turn = F.struct(*(c for c in order if c in patches.columns), F.to_json(F.struct(*fields)).alias("_content"))
+    given = sound.withColumn("_turn", turn).groupBy(*RULE_KEY).agg(
+        *[F.max_by(f, F.when(F.col(f).isNotNull(), F.col("_turn"))).alias(f"_{f}") for f in fields],
+        F.lit(True).alias("_patched"),
     )
     changed = rules.join(given, list(RULE_KEY), "left").withColumns({
         **{f: F.coalesce(f"_{f}", f) for f in fields},

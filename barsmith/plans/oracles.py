@@ -480,18 +480,18 @@ _EVENT = f"""alert_id, rule_id, user_id, symbol, timeframe, action, triggered_at
  {_r('close_price', 'rsi_14', 'macd', 'volume_ratio')}, candle_pattern, message"""
 _cte("patches", "alert_events", """
 SELECT rule_id AS p_rule, arg_max(action, (triggered_at, alert_id)) AS p_action,
- arg_max(message, (triggered_at, alert_id)) AS p_message FROM alert_events GROUP BY 1""")
+ arg_max(message, (triggered_at, alert_id)) = '1-URGENT' AS p_active, bool_or(message = '1-URGENT') AS p_urgent
+FROM alert_events WHERE message IN ('1-URGENT', '2-HIGH') GROUP BY 1""")
 _oracle("rules_patched", "rules patches", """
-SELECT rule_id, user_id,
- CASE WHEN p_message IN ('1-URGENT', '2-HIGH') THEN p_action ELSE action END AS action,
- CASE WHEN p_message = '1-URGENT' THEN CAST(60 AS BIGINT) ELSE cooldown_seconds END AS cooldown_seconds,
- CASE WHEN p_message = '1-URGENT' THEN 'OR' ELSE logic END AS logic,
- CASE WHEN p_message = '2-HIGH' THEN false ELSE is_active END AS is_active,
- CASE WHEN p_message IN ('1-URGENT', '2-HIGH') THEN TIMESTAMP '2024-01-31' ELSE created_at END AS updated_at
+SELECT rule_id, user_id, coalesce(p_action, action) AS action,
+ CASE WHEN p_urgent THEN CAST(60 AS BIGINT) ELSE cooldown_seconds END AS cooldown_seconds,
+ CASE WHEN p_urgent THEN 'OR' ELSE logic END AS logic,
+ coalesce(p_active, is_active) AS is_active,
+ CASE WHEN p_rule IS NOT NULL THEN TIMESTAMP '2024-01-31' ELSE created_at END AS updated_at
 FROM rules LEFT JOIN patches ON rule_id = p_rule""")
-_oracle("patch_violations", "rules patches", """
-SELECT rule_id, user_id, CASE WHEN p_message = '3-MEDIUM' THEN 'cooldown' ELSE 'logic' END AS violation
-FROM rules JOIN patches ON rule_id = p_rule WHERE p_message = '3-MEDIUM' OR p_message LIKE '4%'""")
+_oracle("patch_violations", "alert_events", """
+SELECT rule_id, user_id, CASE WHEN message = '3-MEDIUM' THEN 'cooldown' ELSE 'logic' END AS violation
+FROM alert_events WHERE message = '3-MEDIUM' OR message LIKE '4%'""")
 _oracle("rules_toggled", "rules alert_events", """
 SELECT rule_id, user_id, action, cooldown_seconds, logic, is_active <> hit AS is_active,
  CASE WHEN hit THEN TIMESTAMP '2024-01-31' ELSE created_at END AS updated_at

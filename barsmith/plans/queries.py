@@ -513,18 +513,15 @@ def rules_created(spark, sf):
 
 
 def _patches(spark, sf):
-    """The last order of each customer as a patch of their rule, some of them not allowed."""
-    events = adapters.alert_events(spark, sf)
-    last = events.groupBy("rule_id", "user_id").agg(
-        F.max_by(F.struct("action", "message"), F.struct("triggered_at", "alert_id")).alias("e")
-    )
-    urgent = F.col("e.message") == "1-URGENT"
-    return last.select(
-        "rule_id", "user_id",
-        F.when(F.col("e.message") != "5-LOW", F.col("e.action")).alias("action"),
-        F.when(urgent, F.lit(60)).when(F.col("e.message") == "3-MEDIUM", F.lit(5)).alias("cooldown_seconds"),
-        F.when(urgent, F.lit("OR")).when(F.col("e.message").startswith("4"), F.lit("XOR")).alias("logic"),
-        F.when(F.col("e.message") == "2-HIGH", F.lit(False)).alias("is_active"),
+    """Every order of a customer as a patch of their rule, in turn; some of them are not allowed."""
+    message = F.col("message")
+    urgent, high = message == "1-URGENT", message == "2-HIGH"
+    return adapters.alert_events(spark, sf).select(
+        "rule_id", "user_id", F.col("triggered_at").alias("patched_at"), "alert_id",
+        F.when(message != "5-LOW", F.col("action")).alias("action"),
+        F.when(urgent, F.lit(60)).when(message == "3-MEDIUM", F.lit(5)).alias("cooldown_seconds"),
+        F.when(urgent, F.lit("OR")).when(message.startswith("4"), F.lit("XOR")).alias("logic"),
+        F.when(urgent, F.lit(True)).when(high, F.lit(False)).alias("is_active"),
     )
 
 
@@ -533,7 +530,9 @@ _RULE_STATE = ["rule_id", "user_id", "action", "cooldown_seconds", "logic", "is_
 
 @query
 def rules_patched(spark, sf):
-    return rules.patched(adapters.rules(spark, sf), _patches(spark, sf), AS_OF).select(*_RULE_STATE)
+    return rules.patched(
+        adapters.rules(spark, sf), _patches(spark, sf), AS_OF, ("patched_at", "alert_id")
+    ).select(*_RULE_STATE)
 
 
 @query

@@ -1,9 +1,13 @@
+import random
+from datetime import timedelta
+
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from barsmith import schemas
+from barsmith.functions.conditions import rule_met
 from barsmith.operators import alerts, dispatch, resample, rules
 
 from .conftest import utc
@@ -78,6 +82,18 @@ def test_bad_patches_change_nothing(spark):
     assert got == {"r1": ("BUY", 300, "AND"), "r2": ("BUY", 300, "AND"), "r3": ("BUY", 60, "OR")}
 
 
+def test_patches_of_a_rule_apply_in_turn(spark):
+    stored = table(spark, {}, {"rule_id": "r2"})
+    patches = spark.createDataFrame(
+        [("r1", "u1", 2, "SELL", None, False), ("r1", "u1", 1, "WATCH", 60, None), ("r1", "u1", 3, None, 5, True),
+         ("r1", "u1", 4, None, None, None), ("r1", "u1", 2, None, 90, None)],
+        "rule_id STRING, user_id STRING, patched_at INT, action STRING, cooldown_seconds INT, is_active BOOLEAN")
+    rows = rules.patched(stored, patches, AT).collect()
+    # The third is not allowed, the fourth empty.
+    assert sorted((r.rule_id, r.action, r.cooldown_seconds, r.is_active) for r in rows) == [
+        ("r1", "SELL", 90, False), ("r2", "BUY", 300, True)]
+
+
 def test_patch_toggle_delete(spark):
     stored = table(spark, {}, {"rule_id": "r2"}, {"rule_id": "r3", "is_active": False})
     patches = spark.createDataFrame(
@@ -167,3 +183,49 @@ def test_dispatch(spark):
     message = alerts.alert_messages(events).first()
     assert message.key == "BTCUSDT" and json.loads(message.value)["alert_id"] == "a1"
     assert alerts.one_per_rule(events.withColumn("window_start", F.col("triggered_at"))).count() == 2
+
+
+def _random_rules(spark, count, seed, operators, values):
+    walk = random.Random(seed)
+    made = []
+    for i in range(count):
+        conditions = [
+            (walk.choice(("close", "rsi_14", "candle_pattern", "spread")), walk.choice(operators), walk.choice(values))
+            for _ in range(walk.randint(0, 3))]
+        made.append({"rule_id": f"r{i}", "conditions": conditions, "logic": walk.choice(("AND", "OR", "and", "XOR"))})
+    return rules.active_rules(table(spark, *made))
+
+
+def _random_bars(spark, count, seed):
+    walk = random.Random(seed)
+    number = lambda: walk.choice((None, float("nan"), 0.0, 1.0, 2.0, 2.5, 3.0, 10.0))
+    rows = [("BTCUSDT", "1h", utc(2024, 1, 1) + timedelta(hours=i), number(), number(), number(), number(),
+             walk.choice((None, "HAMMER", "DOJI", "BULLISH")), 0.5, 1.5) for i in range(count)]
+    return spark.createDataFrame(
+        rows, "symbol STRING, timeframe STRING, window_start TIMESTAMP, close DOUBLE, prev_close DOUBLE, rsi_14 DOUBLE, "
+        "prev_rsi_14 DOUBLE, candle_pattern STRING, macd DOUBLE, volume_ratio DOUBLE")
+
+
+@pytest.mark.parametrize("block", [1, 3, 64])
+def test_index_finds_what_testing_every_rule_finds(spark, monkeypatch, block):
+    monkeypatch.setattr(alerts.rule_index, "__defaults__", (block,))
+    operators = (">", "<", ">=", "<=", "==", "!=", "crosses_above", "crosses_below", "between")
+    some = _random_rules(spark, 150, block, operators, ("0", "1", "2", "2.5", "3", "nan", "hammer", "DOJI", "low"))
+    bars = _random_bars(spark, 60, block)
+    got = alerts.matches(bars, some).groupBy(alerts.PREDICATE, "window_start").count().collect()
+    every = alerts._bar_values(bars).join(alerts.predicates(some), ["symbol", "timeframe"])
+    want = every.filter(rule_met(F.col("conditions"), F.col("logic"), F.col("_now"), F.col("_before")))
+    assert {r["count"] for r in got} == {1}
+    assert {(r[0], r[1]) for r in got} == {(r[0], r[1]) for r in want.select(alerts.PREDICATE, "window_start").collect()}
+
+
+def test_opened_blocks_do_not_grow_with_the_thresholds(spark):
+    """A crossing passes as many thresholds as lie between two values; others' blocks stay shut."""
+    def opened(count):
+        made = [{"rule_id": f"r{i}", "conditions": [("close", "crosses_above", str(100 * i / count))]} for i in range(count)]
+        index = alerts.rule_index(rules.active_rules(table(spark, *made)))
+        assert index.count() == -(-count // alerts.INDEX_BLOCK)
+        now, was = F.lit(50.001), F.lit(49.999)
+        return index.filter(alerts._may_meet(now, F.col("current")) & alerts._may_meet(was, F.col("previous"))).count()
+
+    assert opened(64) == 1 and opened(6400) <= 2

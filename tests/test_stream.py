@@ -232,3 +232,32 @@ def test_state_bounded_windows(spark, tmp_path, whole):
     got, want = rows_of(spark.table("hourly"), columns), rows_of(batch, columns)
     # Only the windows the watermark has not passed are still open.
     assert set(got) <= set(want) and 0 < len(want) - len(got) <= 2
+
+
+def test_window_job_gives_the_bars_of_closed_windows(spark, tmp_path, whole):
+    """Copies, other intervals and open versions in the feed; a late candle is left out and counted."""
+    from barsmith.streaming import windows
+
+    fives = whole.filter("symbol = 'AAA'").withColumn("interval", F.lit("5m"))
+    drafts = whole.withColumns({"is_closed": F.lit(False), "close": F.col("close") + 9})
+    whole.unionByName(whole).unionByName(fives).unionByName(drafts).coalesce(1).write.parquet(str(tmp_path / "in/0"))
+    frames = ("5m", "1h")
+
+    def drain():
+        source = spark.readStream.schema(schemas.CANDLE).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
+        query = windows.start(source, str(tmp_path / "out"), frames, available_now=True)
+        query.awaitTermination()
+        return query
+
+    assert windows.late_rows(drain()) == 0
+    late = whole.filter("symbol = 'BBB'").orderBy("open_time").limit(1).withColumn("close", F.lit(1.0))
+    late.withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 1 SECOND")).write.parquet(str(tmp_path / "in/1"))
+    assert windows.late_rows(drain()) == len(frames)
+    columns = ["symbol", "timeframe", "window_start", "open", "high", "low", "close", "volume", "trade_count"]
+    got = rows_of(spark.read.parquet(windows.bars_path(str(tmp_path / "out"))), columns)
+    want = rows_of(resample.resample(whole, frames), columns)
+    # The last candle opens at 447 minutes: windows that end up to two minutes before it are closed.
+    assert len(got) == len(set(got)) and set(got) <= set(want)
+    closed = whole.agg(F.max("open_time") - F.expr("INTERVAL 2 MINUTES")).first()[0]
+    ends = resample.resample(whole, frames).filter(F.col("window_end") <= F.lit(closed))
+    assert got == rows_of(ends, columns)
