@@ -183,9 +183,14 @@ def finish_bars(bars: DataFrame, info: DataFrame | None, aggregated_at=None) ->
     return stamped if info is None else add_symbol_info(stamped, info)
 
 
-def pivot_closes(bars: DataFrame, symbols: Sequence[str], value: str = "close") -> DataFrame:
-    """A row per bar and a column per symbol. Naming the symbols spares a distinct job."""
-    return bars.groupBy("timeframe", "window_start").pivot("symbol", list(symbols)).agg(F.max(value))
+def pivot_closes(bars: DataFrame, symbols: Sequence[str] | None = None, value: str = "close") -> DataFrame:
+    """A row per bar and a column per symbol.
+
+    Naming the symbols leaves out others and spares a job that lists them; without, all have a column.
+    """
+    rows = bars.groupBy("timeframe", "window_start")
+    wide = rows.pivot("symbol") if symbols is None else rows.pivot("symbol", list(symbols))
+    return wide.agg(F.max(value))
 
 
 def unpivot_metrics(

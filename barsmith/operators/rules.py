@@ -111,27 +111,42 @@ def valid_rules(payloads: DataFrame) -> DataFrame:
     return payloads.filter(~bad)
 
 
+def _identified(payloads: DataFrame) -> DataFrame:
+    """Complete payloads with their id and, as ``_content``, all that they say."""
+    complete = normalised(payloads)
+    content = F.to_json(F.struct(*sorted(c for c in complete.columns if c != "rule_id")))
+    identity = F.sha2(content, 256)
+    rule_id = F.coalesce("rule_id", identity) if "rule_id" in payloads.columns else identity
+    return complete.withColumns({"rule_id": rule_id, "_content": content})
+
+
 def created(rules: DataFrame, payloads: DataFrame, at: datetime) -> DataFrame:
     """Add valid new rules with the server-side defaults.
 
     The id is a hash of the whole payload, so replaying a creation gives the same id and rules
     that differ in anything have their own; a rule that is already in the table is not added
-    twice.
+    twice. Of payloads that give one id for different rules the first by content is added, see
+    ``id_clashes``.
     """
-    complete = normalised(payloads)
-    content = sorted(c for c in complete.columns if c != "rule_id")
-    identity = F.sha2(F.to_json(F.struct(*content)), 256)
-    rule_id = F.coalesce("rule_id", identity) if "rule_id" in payloads.columns else identity
     stamp = F.lit(at).cast("timestamp")
-    new = valid_rules(complete).withColumns({
-        "rule_id": rule_id,
+    sound = valid_rules(_identified(payloads))
+    columns = [c for c in sound.columns if c not in ("rule_id", "_content")]
+    first = sound.groupBy("rule_id").agg(F.min_by(F.struct(*columns), "_content").alias("_rule"))
+    new = first.select("rule_id", "_rule.*").withColumns({
         "created_at": stamp,
         "updated_at": stamp,
         "last_triggered_at": F.lit(None).cast("timestamp"),
         "trigger_count": F.lit(0),
     })
     unseen = new.join(rules.select("rule_id"), "rule_id", "left_anti")
-    return rules.unionByName(unseen.dropDuplicates(["rule_id"]).select(*rules.columns))
+    return rules.unionByName(unseen.select(*rules.columns))
+
+
+def id_clashes(payloads: DataFrame) -> DataFrame:
+    """(rule_id, variants): ids that valid payloads give for rules that differ, of which one is added."""
+    variants = valid_rules(_identified(payloads)).select("rule_id", "_content").distinct()
+    counted = variants.groupBy("rule_id").agg(F.count(F.lit(1)).alias("variants"))
+    return counted.filter(F.col("variants") > 1)
 
 
 def patched(

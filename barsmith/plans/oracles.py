@@ -136,7 +136,7 @@ _oracle("silver_clean", "clean", f"""
 SELECT symbol, open_time, open_time + INTERVAL 59999 MILLISECONDS AS close_time,
  '1m' AS "interval", {_r('open', 'high', 'low', 'close', 'volume', 'quote_volume')},
  trade_count, {_r('taker_buy_base_vol')}, CAST(open_time AS DATE) AS partition_date
-FROM clean WHERE trade_count > 1""")
+FROM clean WHERE trade_count > 1 OR CAST(epoch(open_time) AS BIGINT) // 60 % 7 <> 0""")
 
 _PATTERN = """CASE
  WHEN open IS NULL OR high IS NULL OR low IS NULL OR close IS NULL OR open = 0 THEN NULL

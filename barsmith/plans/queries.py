@@ -176,9 +176,10 @@ def silver_dedup(spark, sf):
 
 @query
 def silver_clean(spark, sf):
-    """Cleaning of candles among which those of a single trade lack a volume."""
+    """Cleaning of candles among which those of a single trade lack a volume in every seventh minute."""
+    minute = F.floor(F.unix_seconds("open_time") / 60)
     source = adapters.candles(spark, sf).withColumn(
-        "volume", F.when(F.col("trade_count") > 1, F.col("volume"))
+        "volume", F.when((F.col("trade_count") > 1) | (minute % 7 != 0), F.col("volume"))
     )
     return candles.clean(source).drop("ingest_time")
 

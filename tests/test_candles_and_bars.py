@@ -84,6 +84,7 @@ def test_gold_columns(spark, silver):
 def test_ranks_pivot_unpivot(silver):
     bars = resample.add_price_rank(resample.resample(silver, ("1h",)))
     assert {r.price_rank for r in bars.collect()} == {1}
+    assert set(resample.pivot_closes(bars).columns) == {"timeframe", "window_start", *(r[0] for r in bars.select("symbol").distinct().collect())}
     wide = resample.pivot_closes(bars, ["BTCUSDT", "ETHUSDT"])
     assert {"window_start", "BTCUSDT", "ETHUSDT"} <= set(wide.columns)
     long = resample.unpivot_metrics(bars)

@@ -71,6 +71,14 @@ def test_defaults_and_rules_that_differ_by_channel(spark):
     assert {r.logic for r in made} == {"AND"} and len({r.rule_id for r in made}) == 2
 
 
+def test_clashing_ids_are_reported(spark):
+    payloads = table(spark, {"rule_id": "a", "action": "SELL"}, {"rule_id": "a", "action": "BUY"}, {"rule_id": "a", "action": "BUY"},
+                     {"rule_id": "b"}, {"rule_id": "b"}, {"rule_id": "c"}, {"rule_id": "c", "cooldown_seconds": 1})
+    assert [tuple(r) for r in rules.id_clashes(payloads).collect()] == [("a", 2)]
+    made = rules.created(table(spark, {"rule_id": "old"}), payloads.repartition(3), AT).filter("rule_id <> 'old'")
+    assert sorted((r.rule_id, r.action, r.cooldown_seconds) for r in made.collect()) == [("a", "BUY", 300), ("b", "BUY", 300), ("c", "BUY", 300)]
+
+
 def test_bad_patches_change_nothing(spark):
     stored = table(spark, {}, {"rule_id": "r2"}, {"rule_id": "r3"})
     patches = spark.createDataFrame(
