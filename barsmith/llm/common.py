@@ -23,8 +23,15 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below the one the cluster shares; gone when the driver's JVM ends."""
-    base = shared_dir(spark, unset="") or tempfile.mkdtemp(prefix="llm-")
+    """A new folder below the one the cluster shares; gone when the driver's JVM ends.
+
+    Only a session whose tasks all run on the driver's machine may do without a shared folder.
+    """
+    base = shared_dir(spark, unset="")
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="llm-")
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/llm-{name}-{uuid.uuid4().hex}")
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     return path.toString()

@@ -1,14 +1,16 @@
 """Sharding by fixed virtual slots.
 
-Records hash into thousands of slots, a number that never changes. Bytes are summed per slot,
+Records hash into thousands of slots, a number that never changes, by their id and their text's
+checksum. Records that are alike in both are counted, and every ``ALIKE`` of them hash under a
+number of their own, so that neither one id nor one text can fill a slot. Bytes are summed per slot,
 and a small versioned map says which shard holds each slot. Rebalancing edits the map: slots
 stay where they are while their shard is within its fair share, the others go, largest first,
 to the shard with the fewest bytes. A new map is an edit of an empty one. Only the map ever
 passes through one task; it has as many rows as there are slots, whatever the data.
 
-Defined cases: a null text has no bytes and size 1; rows without a doc_id are hashed by their
-text's checksum; repeated rows fall into one slot and get different places in their shard; an
-empty table gives an empty result and a map that deals empty slots round. Columns other than
+Defined cases: a null text has no bytes and size 1; rows without a doc_id are hashed as an id of
+their own; up to ``ALIKE`` repeated rows fall into one slot and get different places in their
+shard; an empty table gives an empty result and a map that deals empty slots round. Columns other than
 the two named ones are not read.
 """
 
@@ -20,6 +22,8 @@ from pyspark.sql import functions as F
 from .common import scratch, stash, whole_text
 
 SLOTS = 4096
+#: Equal records that share a slot, and how many of them are dealt out at once.
+ALIKE, DEALT = 16, 1 << 16
 
 
 def virtual_slot(key: Column, slots: int = SLOTS) -> Column:
@@ -30,11 +34,19 @@ def virtual_slot(key: Column, slots: int = SLOTS) -> Column:
 def records(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     """What sharding needs of each record; the text itself is not carried further."""
     text = whole_text("text")
-    crc = F.crc32(F.encode(text, "UTF-8"))
-    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("crc:"), crc.cast("string")))
-    return docs.select(
-        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), crc.alias("text_crc32"),
-        virtual_slot(key.cast("binary"), slots).alias("vslot"))
+    alike = docs.select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
+    ).groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("n"))
+    # In two steps, so that no row has to hold a number for each of very many records.
+    parts = alike.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / DEALT))).alias("part"))
+    first = F.col("part") * DEALT
+    each = parts.select(
+        "doc_id", "size", "text_crc32", F.explode(F.sequence(first, F.least(first + DEALT, F.col("n")) - 1)).alias("number"))
+    block = F.floor(F.col("number") / ALIKE)
+    key = F.concat_ws(
+        ":", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.col("text_crc32").cast("string"),
+        F.when(block > 0, block.cast("string")))
+    return each.select("doc_id", "size", "text_crc32", virtual_slot(key.cast("binary"), slots).alias("vslot"))
 
 
 def slot_bytes(recs: DataFrame, slots: int = SLOTS) -> DataFrame:

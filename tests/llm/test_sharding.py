@@ -1,7 +1,7 @@
 """Virtual-slot sharding: the law, places, stored maps, and rebalancing."""
 
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
@@ -64,3 +64,20 @@ def test_odd_rows(spark):
     assert sorted(r["size"] for r in got) == [1, 1, 3, 3, 100_001, 100_001]
     assert {r["text_crc32"] for r in got if r["size"] == 1} == {0}
     assert sharding.shard_by_bytes(df.limit(0)).count() == 0
+
+
+def test_one_id_or_one_text_in_a_third_of_all_rows(spark):
+    """Equal rows, one id with many texts, and rows without an id are spread like any others."""
+    for hot in (
+        lambda i: (5, "the same text " * 3), lambda i: (5, f"text number {i} of many"), lambda i: (None, ""), lambda i: (None, f"text {i} without an id"),
+    ):
+        rows = [(1000 + i, f"some words {i} " * (1 + i % 5)) for i in range(4000)] + [hot(i) for i in range(2000)]
+        got = sharding.shard_by_bytes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        load, places = defaultdict(int), defaultdict(list)
+        for r in got:
+            load[r["shard"]] += r["size"]
+            places[r["shard"]].append(r["slot"])
+        assert sorted((str(r["doc_id"]), r["size"]) for r in got) == sorted((str(i), len(t) + 1) for i, t in rows)
+        assert len(load) == 8 and max(load.values()) - min(load.values()) <= 0.05 * sum(load.values()) / 8
+        assert all(sorted(p) == list(range(len(p))) for p in places.values())
+        assert max(Counter(r["virtual_slot"] for r in got).values()) <= 6 * sharding.ALIKE
