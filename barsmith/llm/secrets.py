@@ -67,21 +67,24 @@ def long_runs(texts: list[str], least: int = RUN_LEAST) -> list[list[tuple[int,
     """For each text the places of its maximal long runs of credential characters."""
     out = []
     for text in texts:
-        raw = text.encode("utf-8", "replace")
-        ok = np.concatenate([[False], _CHARS[np.frombuffer(raw, np.uint8)], [False]])
+        raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
+        ok = np.concatenate([[False], _CHARS[raw], [False]])
         edge = np.flatnonzero(ok[1:] != ok[:-1])
         start, end = edge[::2], edge[1::2]
         long = end - start >= least
-        places = []
-        for a, b in zip(start[long].tolist(), end[long].tolist()):
-            at = a if len(raw) == len(text) else len(raw[:a].decode("utf-8"))
-            places.append((at, at + b - a))
+        start, end = start[long], end[long]
+        if len(raw) != len(text):  # from bytes to code points: those that don't continue one
+            points = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+            start, end = points[start], points[end]
+        places = list(zip(start.tolist(), end.tolist()))
         out.append(places)
     return out
 
 
 def free_runs(places: list[tuple[int, int]], spans: list[tuple], least: int) -> list[tuple[int, int]]:
     """What spans (kind, start, end, ...) leave of the runs, in stretches of ``least`` at least."""
+    if not spans:
+        return [p for p in places if p[1] - p[0] >= least]
     cuts: list[list[int]] = []
     for a, b in sorted((s[1], s[2]) for s in spans):
         if cuts and a <= cuts[-1][1]:
