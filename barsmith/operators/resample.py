@@ -18,6 +18,8 @@ GOLD_KEYS = ("symbol", "timeframe")
 GOLD_KEY = ("symbol", "timeframe", "window_start")
 # vwap sums the current bar and the 20 before it.
 GOLD_CONTEXT = 20
+# Symbols of one bar that a task ranks; a bar with more is ranked in ranges of volume.
+RANK_ROWS = 200_000
 
 # Indicator columns a bar takes from its last candle that has a value.
 CARRIED = (
@@ -133,15 +135,58 @@ def add_rule_fields(bars: DataFrame, rows: int = SEGMENT_ROWS) -> DataFrame:
     )
 
 
-def add_price_rank(bars: DataFrame) -> DataFrame:
+def _volume_place():
+    """A finite volume on a scale where neither small nor large ones crowd; order is kept."""
+    volume = F.col("volume").cast("double")
+    finite = volume.isNotNull() & ~F.isnan(volume) & (F.abs(volume) < F.lit(float("inf")))
+    return F.when(finite, F.signum(volume) * F.log1p(F.abs(volume)))
+
+
+def _rank_in_bar(bars: DataFrame, name: str, dense: bool, split_rows: int) -> DataFrame:
+    """Rank by falling volume among the rows of a bar, without a whole bar in one task.
+
+    A bar of more than ``split_rows`` rows is cut into ranges of volume. A row's rank is its rank
+    within its range plus the rows (dense: the different volumes) of the ranges above. Equal
+    volumes share a range, so ties stay ties; NaN ranks first and NULL last, as in a plain window.
+    """
+    bar = ("timeframe", "window_start")
+    place = _volume_place()
+    large = bars.groupBy(*bar).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min(place).alias("_low"), F.max(place).alias("_high"),
+    ).filter(F.col("_rows") > split_rows)
+    # Several ranges for each split_rows, as volumes are not even on the scale either.
+    parts = F.ceil(F.col("_rows") / F.lit(split_rows)) * 8
+    share = F.try_divide(place - F.col("_low"), F.col("_high") - F.col("_low"))
+    cut = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * parts), parts - 1)
+    outside = F.when(F.col("volume").isNull(), F.lit(-2)).when(
+        F.col("volume").cast("double") == float("-inf"), F.lit(-1)
+    ).otherwise(parts)
+    part = F.when(F.col("_rows").isNull(), F.lit(0)).when(place.isNull(), outside).otherwise(cut)
+    cut_up = bars.join(large, list(bar), "left").withColumn("_part", part.cast("long"))
+
+    number = F.dense_rank() if dense else F.rank()
+    within = Window.partitionBy(*bar, "_part").orderBy(F.col("volume").desc())
+    ranked = cut_up.withColumn("_rank", number.over(within))
+    counted = F.count_distinct("volume") if dense else F.count(F.lit(1))
+    # A NULL volume is the lowest range, so that distinct counts skip it harms no rank.
+    above = Window.partitionBy(*bar).orderBy(F.col("_part").desc()).rowsBetween(
+        Window.unboundedPreceding, -1)
+    before = cut_up.filter(F.col("_rows").isNotNull()).groupBy(*bar, "_part").agg(
+        counted.alias("_n")
+    ).select(*bar, "_part", F.sum("_n").over(above).alias("_above"))
+    return ranked.join(before, [*bar, "_part"], "left").select(
+        *(F.col(f"`{c}`") for c in bars.columns),
+        (F.col("_rank") + F.coalesce("_above", F.lit(0))).cast("int").alias(name),
+    )
+
+
+def add_price_rank(bars: DataFrame, split_rows: int = RANK_ROWS) -> DataFrame:
     """Rank of the symbol by volume among the symbols of the same bar."""
-    w = Window.partitionBy("timeframe", "window_start").orderBy(F.col("volume").desc())
-    return bars.withColumn("price_rank", F.rank().over(w))
+    return _rank_in_bar(bars, "price_rank", False, split_rows)
 
 
-def add_volume_dense_rank(bars: DataFrame) -> DataFrame:
-    w = Window.partitionBy("timeframe", "window_start").orderBy(F.col("volume").desc())
-    return bars.withColumn("volume_dense_rank", F.dense_rank().over(w))
+def add_volume_dense_rank(bars: DataFrame, split_rows: int = RANK_ROWS) -> DataFrame:
+    return _rank_in_bar(bars, "volume_dense_rank", True, split_rows)
 
 
 def add_cumulative_volume(bars: DataFrame, rows: int = SEGMENT_ROWS) -> DataFrame:

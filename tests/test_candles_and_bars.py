@@ -1,6 +1,8 @@
+import random
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from barsmith.operators import candles, history, resample
@@ -92,6 +94,32 @@ def test_ranks_pivot_unpivot(silver):
     assert {"close", "rsi_14"} <= names and {"metric_name", "metric_value"} <= set(long.columns)
 
 
+@pytest.mark.parametrize("split_rows", [1, 7, 50, 1000])
+def test_ranks_of_split_bars_equal_a_plain_window(spark, split_rows):
+    rng = random.Random(2)
+    odd = [None, float("nan"), float("inf"), float("-inf"), 0.0, -0.0, -3.0, 1e300, 5e-324]
+    rows = [("1h", hour, f"s{i}", rng.choice([*odd, float(rng.randrange(40)), rng.lognormvariate(5, 4)]))
+            for hour, n in ((0, 300), (1, 60), (2, 1)) for i in range(n)]
+    rows += [("1h", 3, f"s{i}", 7.0) for i in range(90)] + [(None, 4, "s", 1.0), (None, 4, "t", 2.0)]
+    rows += [("1h", 5, f"s{i}", None) for i in range(60)]
+    bars = spark.createDataFrame(rows, "timeframe string, h int, symbol string, volume double").selectExpr(
+        "timeframe", "timestamp_seconds(3600 * h) as window_start", "symbol", "volume")
+    w = Window.partitionBy("timeframe", "window_start").orderBy(F.col("volume").desc())
+    want = bars.withColumns({"price_rank": F.rank().over(w), "volume_dense_rank": F.dense_rank().over(w)})
+    got = resample.add_volume_dense_rank(resample.add_price_rank(bars, split_rows), split_rows)
+    assert got.columns == want.columns and got.dtypes == want.dtypes
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_a_large_bar_is_ranked_in_many_tasks(spark):
+    bars = spark.range(20_000).selectExpr(
+        "'1h' as timeframe", "timestamp_seconds(0) as window_start", "id as symbol", "exp(id % 9000 / 500) as volume")
+    ranged = resample._rank_in_bar(bars, "r", False, 1000)
+    ranges = [w for w in ranged._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Window [rank(" in w]
+    assert len(ranges) == 1 and "_part" in ranges[0]
+    assert ranged.agg(F.max("r")).first()[0] > 19_990
+
+
 def test_merge_keeps_first_open(spark):
     rows = [("A", 1, 0, 10.0, 12.0), ("A", 1, 2, 99.0, 15.0), ("A", 1, 1, 50.0, 13.0), ("B", 1, 1, 7.0, 8.0)]
     df = spark.createDataFrame(rows, "k STRING, t INT, batch_id INT, open DOUBLE, high DOUBLE")
