@@ -5,16 +5,18 @@ is an instance, neighbouring groups of digits together one, those within base sp
 and the words beside an instance are its lexical patterns (two words before it, one before it,
 one behind it). Spark scores the graph of patterns and instances in rounds: a pattern is as sure
 of a kind as the share of its distinct instances that belong to it, an instance as its surest
-pattern. Patterns above ``SURE`` with enough support, from seeds and from what earlier rounds
-accepted, then mark instances that no fixed pattern knows.
+pattern. Rounds go on until one moves no pattern by a thousandth. Patterns above ``SURE``
+with enough support, from seeds and from what earlier rounds accepted, then mark instances that no
+fixed pattern knows.
 
 Everything is DataFrame functions. Texts are scanned once; places come from splitting a text at
 the matches, so they count code points. What is shuffled are instances and their contexts.
 
 Defined cases: null and empty texts have no spans; equal rows get equal spans; rows without an
 id are scanned like others; an empty table gives an empty result; columns other than the two
-named ones are not read. Patterns are written without nested backtracking: very long texts,
-runs of digits and tokens without spaces take linear time and no stack.
+named ones are not read. Patterns are written without nested backtracking, places are summed in
+blocks, and instances meet the spans of their own stretch of text only: time grows with a text's
+length, also with very many matches, runs of digits or tokens without spaces.
 """
 
 from __future__ import annotations
@@ -46,7 +48,13 @@ GROUPS = rf"(?<![^ \t-\r]){_GROUP}(?![^ \t-\r])(?: {_GROUP}(?![^ \t-\r]))*+(?: {
 #: An instance from its first letter or digit to its last; a bracket that is closed within it stays.
 CORE = r"(?:\((?=[0-9+]++\).*[A-Za-z0-9])|[A-Za-z0-9+])(?:.*[A-Za-z0-9])?"
 
+#: Rounds that are taken at least.
 ROUNDS = 3
+#: Matches whose places are summed one by one; instances that look up spans together, by level.
+BLOCK = 128
+STRETCHES = (32_768, 1_024, 32)
+#: Characters beside an instance that hold its words as a rule; more are read where they don't.
+NEAR = 60
 #: Least confidence of a pattern, and the seeds or accepted instances of a kind that it must have met.
 SURE = 0.8
 MIN_SEEDS = 5
@@ -68,75 +76,132 @@ def valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def running(lengths: Column) -> Column:
+    """The sum of what stands before each element, in blocks: no array grows beyond a block."""
+    def sums(values: Column, of) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(values, start, lambda acc, x: F.struct(
+            (acc["at"] + of(x)).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))
+
+    def joined(done: Column) -> Column:
+        return F.flatten(F.zip_with(
+            done, sums(done, lambda d: d["at"])["out"], lambda d, before: F.transform(d["out"], lambda x: x + before)))
+
+    return let(F.transform(blocks(lengths, BLOCK), lambda block: sums(block, lambda x: x)), joined)
+
+
+def blocks(values: Column, size: int) -> Column:
+    """``values`` cut into arrays of ``size``."""
+    return F.when(F.size(values) > size, F.transform(
+        F.sequence(F.lit(1), F.size(values), F.lit(size)), lambda at: F.slice(values, at, size))).otherwise(F.array(values))
+
+
 def matches(text: Column, pattern: str) -> Column:
     """All matches as array<struct<start, end, value, before, after>>, places in code points."""
     def build(found: Column, pieces: Column) -> Column:
-        pairs = F.transform(found, lambda m, i: F.struct(
-            m.alias("m"), F.get(pieces, i).alias("before"), F.get(pieces, i + 1).alias("after")))
-        start = F.struct(
-            F.lit(0).alias("at"),
-            F.array().cast("array<struct<start:int,end:int,value:string,before:string,after:string>>").alias("out"))
+        ahead = running(F.transform(found, lambda m, i: F.length(F.get(pieces, i)) + F.length(m)))
 
-        def step(acc: Column, x: Column) -> Column:
-            a = acc["at"] + F.length(x["before"])
-            b = a + F.length(x["m"])
-            return F.struct(b.alias("at"), F.concat(acc["out"], F.array(F.struct(
-                a.alias("start"), b.alias("end"), x["m"].alias("value"), x["before"].alias("before"), x["after"].alias("after")))).alias("out"))
+        def placed(m: Column, i: Column, at: Column) -> Column:
+            return F.struct(
+                at.alias("start"), (at + F.length(m)).alias("end"), m.alias("value"),
+                F.get(pieces, i).alias("before"), F.get(pieces, i + 1).alias("after"))
 
-        return F.aggregate(pairs, start, step)["out"]
+        return let(ahead, lambda sums: F.transform(
+            found, lambda m, i: placed(m, i, F.get(sums, i) + F.length(F.get(pieces, i)))))
 
     return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
                lambda found: let(F.split(text, pattern, -1), lambda pieces: build(found, pieces)))
 
 
 def base_spans(text: Column) -> Column:
-    """array<struct<kind, start, end>> by kind as listed, then start."""
+    """array<struct<kind, start, end, value>> by kind as listed, then start."""
     needs = {"email": text.contains("@"), "phone": text.contains("+")}
-    empty = F.array().cast("array<struct<kind:string,start:int,end:int>>")
+    empty = F.array().cast("array<struct<kind:string,start:int,end:int,value:string>>")
 
     def of(kind: str) -> Column:
         found = F.transform(
             F.filter(matches(text, PATTERNS[kind]), lambda s: valid(kind, s["value"])),
-            lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+            lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
         return F.when(needs.get(kind, text.rlike("[0-9]")), found).otherwise(empty)
 
     return F.concat(*map(of, KINDS))
 
 
-def instances(text: Column, base: Column) -> Column:
-    """array<struct<start, end, value, kind, patterns>>: identifier-like tokens with their contexts."""
-    def overlaps(b: Column, s: Column) -> Column:
-        return (b["start"] < s["end"]) & (b["end"] > s["start"])
+def overlaps(b: Column, start: Column, end: Column) -> Column:
+    return (b["start"] < end) & (b["end"] > start)
 
-    def of(s: Column) -> Column:
-        core = F.regexp_extract(s["value"], CORE, 0)
-        start = s["start"] + F.position(core, s["value"]) - 1
-        # Tokens of one base span are one instance, the whole span.
-        seed = F.get(F.filter(base, lambda b: overlaps(b, s)), F.lit(0))
-        left = F.lower(F.trim(F.translate(F.substring(s["before"], -60, 60), "\t\n\x0b\f\r", "     ")))
-        right = F.lower(F.trim(F.translate(F.substring(s["after"], 1, 60), "\t\n\x0b\f\r", "     ")))
-        contexts = F.array(
-            F.concat(F.lit("2:"), F.substring_index(left, " ", -2)), F.concat(F.lit("1:"), F.substring_index(left, " ", -1)),
-            F.concat(F.lit("r:"), F.substring_index(right, " ", 1)))
-        return F.struct(
-            start.alias("start"), (start + F.length(core)).alias("end"),
-            F.coalesce(F.substring(text, seed["start"] + 1, seed["end"] - seed["start"]), core).alias("value"),
-            seed["kind"].alias("kind"), F.filter(contexts, lambda c: F.length(c) > 2).alias("patterns"))
-
-    def parts(s: Column) -> Column:
-        """The instance, or its tokens where a base span is beside other groups."""
-        partly = F.exists(base, lambda b: overlaps(b, s) & (
-            (b["start"] > s["start"] + F.length(F.regexp_extract(s["value"], "^[^0-9+]*", 0)))
-            | (b["end"] < s["end"] - F.length(F.regexp_extract(s["value"], "[^0-9]*$", 0)))))
+
+def beside(spans: Column, base: Column, body, stretches: tuple[int, ...] = STRETCHES) -> Column:
+    """``body(span, base spans of its stretch)`` of each span; ``spans`` are in order.
+
+    Stretches of spans pick the base spans that touch them, smaller ones among what the larger
+    picked, so a span isn't held against the base spans of a whole long text.
+    """
+    if not stretches:
+        return F.transform(spans, lambda s: body(s, base))
+
+    def stretch(some: Column) -> Column:
+        first, last = F.get(some, F.lit(0)), F.get(some, F.size(some) - 1)
+        here = let(F.struct(first["start"].alias("start"), last["end"].alias("end")),
+                   lambda r: F.filter(base, lambda b: overlaps(b, r["start"], r["end"])))
+        return let(here, lambda near: beside(some, near, body, stretches[1:]))
+
+    return F.flatten(F.transform(blocks(spans, stretches[0]), stretch))
+
+
+def side(text: Column, near: Column, pick) -> Column:
+    """``pick`` of the words beside an instance, of ``near`` alone where it holds them whole."""
+    def tidy(c: Column) -> Column:
+        return F.lower(F.trim(F.translate(c, "\t\n\x0b\f\r", "     ")))
+
+    return let(tidy(near), lambda some: F.when(
+        (F.octet_length(text) <= NEAR) | (pick(some) != some), some).otherwise(tidy(text)))
+
+
+INSTANCES = "array<struct<start:int,end:int,value:string,before:string,after:string>>"
+
+
+def candidates(text: Column) -> Column:
+    """Runs of digit groups and tokens with a digit or an @, in order."""
+    return F.when(text.rlike("[0-9@]"), matches(text, f"{GROUPS}|{INSTANCE}")).otherwise(F.array().cast(INSTANCES))
+
+
+def parted(runs: Column, base: Column) -> Column:
+    """The runs, or their tokens where a base span is beside other groups."""
+    def parts(s: Column, near: Column) -> Column:
+        inner = F.struct(
+            (s["start"] + F.length(F.regexp_extract(s["value"], "^[^0-9+]*+", 0))).alias("start"),
+            (s["end"] - F.length(F.regexp_extract(s["value"], "(?:^|(?<=[0-9]))[^0-9]*+$", 0))).alias("end"))
+        partly = let(inner, lambda r: F.exists(near, lambda b: overlaps(b, s["start"], s["end"]) & (
+            (b["start"] > r["start"]) | (b["end"] < r["end"]))))
         tokens = F.transform(matches(s["value"], INSTANCE), lambda t: F.struct(
             (s["start"] + t["start"]).alias("start"), (s["start"] + t["end"]).alias("end"), t["value"].alias("value"),
             F.when(t["start"] == 0, s["before"]).otherwise(t["before"]).alias("before"),
             F.when(s["start"] + t["end"] == s["end"], s["after"]).otherwise(t["after"]).alias("after")))
         return F.when(s["value"].contains(" ") & partly, tokens).otherwise(F.array(s))
 
-    found = F.flatten(F.transform(matches(text, f"{GROUPS}|{INSTANCE}"), parts))
-    return F.when(text.rlike("[0-9@]"), F.transform(found, of)).otherwise(
-        F.array().cast("array<struct<start:int,end:int,value:string,kind:string,patterns:array<string>>>"))
+    return F.flatten(beside(runs, base, parts))
+
+
+def instances(found: Column, base: Column) -> Column:
+    """array<struct<start, end, value, kind, patterns>>: identifier-like tokens with their contexts."""
+    def words_beside(s: Column) -> Column:
+        left = side(s["before"], F.substring(s["before"], -NEAR, NEAR), lambda c: F.substring_index(c, " ", -2))
+        right = side(s["after"], F.substring(s["after"], 1, NEAR), lambda c: F.substring_index(c, " ", 1))
+        return let(left, lambda words: F.filter(F.array(
+            F.concat(F.lit("2:"), F.substring_index(words, " ", -2)), F.concat(F.lit("1:"), F.substring_index(words, " ", -1)),
+            F.concat(F.lit("r:"), F.substring_index(right, " ", 1))), lambda c: F.length(c) > 2))
+
+    def of(s: Column, near: Column) -> Column:
+        core = F.regexp_extract(s["value"], CORE, 0)
+        start = s["start"] + F.position(core, s["value"]) - 1
+        # Tokens of one base span are one instance, the whole span.
+        seed = F.get(F.filter(near, lambda b: overlaps(b, s["start"], s["end"])), F.lit(0))
+        return let(seed, lambda known: F.struct(
+            start.alias("start"), (start + F.length(core)).alias("end"),
+            F.coalesce(known["value"], core).alias("value"), known["kind"].alias("kind"), words_beside(s).alias("patterns")))
+
+    return beside(found, base, of)
 
 
 def identifier(value: Column) -> Column:
@@ -146,34 +211,46 @@ def identifier(value: Column) -> Column:
 
 def scan_texts(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, base, found) of every row."""
-    row = let(whole_text("text"), lambda t: let(base_spans(t), lambda b: F.struct(
-        F.xxhash64(t).alias("text_key"), b.alias("base"), instances(t, b).alias("found"))))
-    return docs.select("doc_id", row.alias("r")).select("doc_id", "r.*")
+    text = docs.select("doc_id", whole_text("text").alias("text"))
+    scanned = text.select("doc_id", "text", base_spans(F.col("text")).alias("known"), candidates(F.col("text")).alias("runs"))
+    tokens = scanned.withColumn("tokens", parted(F.col("runs"), F.col("known")))
+    return tokens.select(
+        "doc_id", F.xxhash64("text").alias("text_key"),
+        F.transform("known", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("base"),
+        instances(F.col("tokens"), F.col("known")).alias("found"))
 
 
 def score_graph(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(pattern, kind, confidence, seeds) from edges (pattern, value, kind), kind null if unseen.
 
-    Sums combine before the shuffle, so a very common pattern costs its distinct instances only.
+    After ``rounds`` rounds, others follow until one moves no confidence to its next thousandth.
+    Confidences only rise from round to round, so that comes about; a pattern that counts at all
+    (``SURE / 2``) has at most 0.6 of its instances to win. Sums combine before the shuffle, so a
+    very common pattern costs its distinct instances only.
     """
     # An instance that some occurrence shows as a seed is one everywhere.
-    edge = edges.groupBy("pattern", "value").agg(F.min("kind").alias("kind"))
+    edge = stash(edges.groupBy("pattern", "value").agg(F.min("kind").alias("kind")), "pattern-edges")
     size = edge.groupBy("pattern").agg(F.count(F.lit(1)).alias("size"))
     known = edge.filter(F.col("kind").isNotNull()).select("value", "kind").distinct().withColumn("score", F.lit(1.0))
-    belief, patterns = known, None
+    belief, done, before = known, 0, None
     accepted = (F.col("score") == 1.0) | ((F.col("score") >= SURE) & identifier(F.col("value")))
-    for _ in range(rounds):
+    # Half a thousandth off, as exact shares are common and sums of parts aren't exact.
+    level = F.sum(F.floor(F.col("confidence") * 1000 + 0.5))
+    while True:
         sums = edge.select("pattern", "value").join(belief, "value").groupBy("pattern", "kind").agg(
             F.sum("score").alias("weight"), F.count(F.when(accepted, 1)).alias("seeds"))
-        patterns = sums.join(size, "pattern").select(
-            "pattern", "kind", F.try_divide("weight", "size").alias("confidence"), "seeds")
-        patterns = stash(patterns, "pattern-scores")
+        patterns = stash(sums.join(size, "pattern").select(
+            "pattern", "kind", F.try_divide("weight", "size").alias("confidence"), "seeds"), "pattern-scores")
+        now = patterns.agg(level, F.sum("seeds")).first()
+        done += 1
+        if done >= rounds and now == before:
+            return patterns
+        before = now
         good = patterns.filter((F.col("confidence") >= SURE / 2) & (F.col("seeds") >= MIN_SEEDS))
         unseen = edge.select("pattern", "value").join(known.select("value"), "value", "left_anti")
         guess = unseen.join(good, "pattern").groupBy("value", "kind").agg(F.max("confidence").alias("score"))
         # A guess is never as sure as a seed; from SURE on it supports patterns in the next round.
         belief = stash(known.union(guess.withColumn("score", F.least("score", F.lit(0.999)))), "beliefs")
-    return patterns
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
