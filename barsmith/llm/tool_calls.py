@@ -10,12 +10,15 @@ white space, numbers in shortest form.
 
 * calls: conv_id, call_id, after (id of the call before it, or null), turn, name, arguments (JSON text)
 * results: conv_id, call_id, turn, content
-* schemas: name, schema (JSON text; type, properties, required, additionalProperties, items, enum,
-  minimum, maximum, minLength, maxLength are understood)
+* schemas: name, schema (JSON text; type or a list of types, properties, required,
+  additionalProperties, items, enum, const, anyOf, oneOf, allOf, not, pattern, minimum, maximum,
+  minLength, maxLength and true or false as a schema are understood)
 
 Statuses: ``linked``, ``unanswered`` (no result), ``orphan`` (a result without its call), and in
 plain chats ``context`` (a turn that neither asks nor answers, such as a system's). Errors
-name what a schema objects to, ``unknown_tool``, ``bad_json``, ``missing_parent`` and ``cycle``.
+name what a schema objects to, ``unknown_tool``, ``bad_json``, ``missing_parent`` and ``cycle``; a schema
+that uses other keywords, unknown types or a pattern that doesn't compile adds ``unsupported`` with the
+keyword, so that no call passes as valid by a rule that was never applied.
 
 Defined cases: of calls (or results) that repeat an id within a conversation the first by turn,
 then by text, is used and ``n_copies`` counts them; calls without a conversation or an id can't
@@ -27,6 +30,7 @@ have a null depth and come last; empty tables give an empty result; other column
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -44,34 +48,93 @@ TYPES = {
 }
 
 
-def violations(value, schema: dict, at: str = "$") -> list[str]:
-    """What the schema objects to, in a fixed order."""
+#: Keywords that ``violations`` applies, and those that only describe.
+APPLIED = {
+    "type", "enum", "const", "anyOf", "oneOf", "allOf", "not", "properties", "required", "additionalProperties",
+    "items", "minLength", "maxLength", "pattern", "minimum", "maximum",
+}
+DESCRIPTIVE = {"title", "description", "default", "examples", "$schema", "$id", "$comment", "deprecated"}
+
+
+def is_type(value, kind) -> bool:
+    if isinstance(value, bool) and kind in ("number", "integer"):
+        return False
+    if kind == "integer" and isinstance(value, float):
+        return value.is_integer()
+    return isinstance(value, TYPES[kind])
+
+
+def same(a, b) -> bool:
+    """Equality of JSON values: true is not 1, 1.0 is 1."""
+    if isinstance(a, bool) or isinstance(b, bool):
+        return a is b
+    if isinstance(a, list) and isinstance(b, list):
+        return len(a) == len(b) and all(map(same, a, b))
+    if isinstance(a, dict) and isinstance(b, dict):
+        return a.keys() == b.keys() and all(same(a[k], b[k]) for k in a)
+    return a == b
+
+
+def combined(value, schema: dict, at: str) -> list[str]:
+    """What anyOf, oneOf, allOf and not object to."""
+    def fitting(name):
+        return sum(not violations(value, one, at) for one in schema[name])
+
     out = []
-    kind = schema.get("type")
-    if kind:
-        fits = isinstance(value, TYPES[kind]) and not (isinstance(value, bool) and kind in ("number", "integer"))
-        if kind == "integer" and isinstance(value, float) and value.is_integer():
-            fits = True
-        if not fits:
-            return [f"{at}: not {kind}"]
-    if "enum" in schema and value not in schema["enum"]:
+    if "anyOf" in schema and not fitting("anyOf"):
+        out.append(f"{at}: none of anyOf")
+    if "oneOf" in schema and fitting("oneOf") != 1:
+        out.append(f"{at}: not one of oneOf")
+    for one in schema.get("allOf", ()):
+        out += violations(value, one, at)
+    if "not" in schema and not violations(value, schema["not"], at):
+        out.append(f"{at}: excluded")
+    return out
+
+
+def violations(value, schema, at: str = "$") -> list[str]:
+    """What the schema objects to, in a fixed order."""
+    if isinstance(schema, bool):
+        return [] if schema else [f"{at}: not allowed"]
+    if not isinstance(schema, dict):
+        return [f"{at}: unsupported schema"]
+    out = [f"{at}: unsupported {k}" for k in sorted(schema.keys() - APPLIED - DESCRIPTIVE)]
+    kinds = schema.get("type", [])
+    kinds = kinds if isinstance(kinds, list) else [kinds]
+    strange = [k for k in kinds if not isinstance(k, str) or k not in TYPES]
+    if strange:
+        return [*out, f"{at}: unsupported type"]
+    if kinds and not any(is_type(value, k) for k in kinds):
+        return [*out, f"{at}: not {' or '.join(kinds)}"]
+    if "enum" in schema and not any(same(value, x) for x in schema["enum"]):
         out.append(f"{at}: not in enum")
+    if "const" in schema and not same(value, schema["const"]):
+        out.append(f"{at}: not the constant")
+    out += combined(value, schema, at)
     if isinstance(value, dict):
-        known = schema.get("properties", {})
+        known, more = schema.get("properties", {}), schema.get("additionalProperties", True)
         out += [f"{at}.{k}: missing" for k in sorted(schema.get("required", ())) if k not in value]
         for k in sorted(value):
             if k in known:
                 out += violations(value[k], known[k], f"{at}.{k}")
-            elif schema.get("additionalProperties") is False:
+            elif more is False:
                 out.append(f"{at}.{k}: unknown")
-    elif isinstance(value, list) and "items" in schema:
+            else:
+                out += violations(value[k], more, f"{at}.{k}")
+    elif isinstance(value, list):
         for i, x in enumerate(value):
-            out += violations(x, schema["items"], f"{at}[{i}]")
+            out += violations(x, schema.get("items", True), f"{at}[{i}]")
     elif isinstance(value, str):
         if len(value) < schema.get("minLength", 0):
             out.append(f"{at}: too short")
         if len(value) > schema.get("maxLength", len(value)):
             out.append(f"{at}: too long")
+        if "pattern" in schema:
+            try:
+                if not re.search(schema["pattern"], value):
+                    out.append(f"{at}: not of the pattern")
+            except (re.error, TypeError):
+                out.append(f"{at}: unsupported pattern")
     elif isinstance(value, (int, float)) and not isinstance(value, bool):
         if value < schema.get("minimum", value):
             out.append(f"{at}: too small")
@@ -80,8 +143,22 @@ def violations(value, schema: dict, at: str = "$") -> list[str]:
     return out
 
 
+def checked(value, schema) -> list[str]:
+    """``violations``; a schema whose own members have the wrong types is named instead of raised."""
+    try:
+        return violations(value, schema)
+    except (TypeError, AttributeError, ValueError):
+        return ["$: unsupported schema"]
+    except RecursionError:
+        return ["$: too deep"]
+
+
 def parse(text: str | None):
-    """The value of a JSON text; ValueError also for repeated keys, NaN and infinities."""
+    """The value of a JSON text.
+
+    ValueError also for repeated keys, NaN, infinities and numbers too large for a double, half
+    surrogates, which no text can hold, and values nested too deep to be written again.
+    """
 
     def pairs(items):
         if len({k for k, _ in items}) < len(items):
@@ -91,9 +168,20 @@ def parse(text: str | None):
     def constant(name):
         raise ValueError(name)
 
+    def number(digits):
+        value = float(digits)
+        if value in (float("inf"), float("-inf")):
+            raise ValueError(digits)
+        return value
+
     if text is None:
         raise ValueError("null")
-    return json.loads(text, object_pairs_hook=pairs, parse_constant=constant)
+    try:
+        value = json.loads(text, object_pairs_hook=pairs, parse_constant=constant, parse_float=number)
+        canonical(value).encode("utf-8")
+    except RecursionError:
+        raise ValueError("too deep") from None
+    return value
 
 
 def canonical(value) -> str:
@@ -188,10 +276,10 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame, others: DataF
                 if r.status != "orphan":
                     try:
                         value = parse(none(r.arguments))
-                    except (ValueError, RecursionError):
+                    except ValueError:
                         wrong.append("bad_json")
                     else:
-                        wrong += violations(value, tools[r.name]) if r.name in tools else ["unknown_tool"]
+                        wrong += checked(value, tools[r.name]) if r.name in tools else ["unknown_tool"]
                     if r.missing_parent:
                         wrong.append("missing_parent")
                     if none(r.depth) is None and none(r.conv_id) is not None and none(r.call_id) is not None:

@@ -90,9 +90,34 @@ def test_long_chain_takes_few_rounds_and_keeps_order(spark):
     (True, {"type": "integer"}, ["$: not integer"]), (3.0, {"type": "integer"}, []), ("ab", {"maxLength": 1}, ["$: too long"]),
     ([1, "x"], {"items": {"type": "number"}}, ["$[1]: not number"]), ("c", {"enum": ["a"]}, ["$: not in enum"]),
     ({"k": 1}, {"additionalProperties": False}, ["$.k: unknown"]), (1, {"minimum": 2}, ["$: too small"]),
+    (None, {"type": ["string", "null"]}, []), (1, {"type": ["string", "null"]}, ["$: not string or null"]),
+    (1, {"type": "int64"}, ["$: unsupported type"]), (1, {"type": {}}, ["$: unsupported type"]),
+    ([1], {"items": False}, ["$[0]: not allowed"]), ({"k": 1}, {"additionalProperties": {"type": "string"}}, ["$.k: not string"]),
+    (True, {"enum": [1]}, ["$: not in enum"]), ([1.0], {"enum": [[1]]}, []), ({"a": [True]}, {"const": {"a": [1]}}, ["$: not the constant"]),
+    (5, {"anyOf": [{"type": "string"}, {"minimum": 6}]}, ["$: none of anyOf"]), (7, {"anyOf": [{"type": "string"}, {"minimum": 6}]}, []),
+    (7, {"oneOf": [{"minimum": 1}, {"minimum": 6}]}, ["$: not one of oneOf"]), (7, {"allOf": [{"minimum": 8}]}, ["$: too small"]),
+    ("a", {"not": {"type": "string"}}, ["$: excluded"]), ("abc", {"pattern": "^b"}, ["$: not of the pattern"]), ("abc", {"pattern": "b"}, []),
+    ("a", {"pattern": "("}, ["$: unsupported pattern"]), (1, {"$ref": "#/x", "title": "t"}, ["$: unsupported $ref"]),
+    ("a", {"minLength": "3"}, ["$: unsupported schema"]), (1, 5, ["$: unsupported schema"]), ({}, {"properties": [], "required": 3}, ["$: unsupported schema"]),
 ])
 def test_schema_rules(value, schema, want):
-    assert tc.violations(value, schema) == want
+    assert tc.checked(value, schema) == want
+
+
+@pytest.mark.parametrize("text", [
+    '["\\ud800"]', "1e999", "-1e999", "[" * 1500 + "]" * 1500, "[" * 100_000 + "]" * 100_000, "NaN", '{"a":1,"a":1}', "", "{", None])
+def test_arguments_that_cannot_be_written_are_bad_json(text):
+    with pytest.raises(ValueError):
+        tc.parse(text)
+
+
+def test_odd_arguments_do_not_end_a_task(spark):
+    odd = ['{"x": "\\ud800"}', '{"x": 1e999}', '{"x": ' + "[" * 3000 + "]" * 3000 + "}", '{"x": "' + "long " * 300_000 + '"}', "[]"]
+    calls = spark.createDataFrame([(1, f"c{i}", None, i, "f", a, "m") for i, a in enumerate(odd)], CALLS)
+    schemas = spark.createDataFrame([("f", '{"type": ["object", "null"], "properties": {"x": {"type": "string", "pattern": "g"}}}')], SCHEMAS)
+    got = {r["call_id"]: r for r in tc.link(calls, spark.createDataFrame([], RESULTS), schemas).collect()}
+    assert [got[f"c{i}"]["errors"] for i in range(5)] == ["bad_json", "bad_json", "bad_json", "", "$: not object or null"]
+    assert json.loads(got["c3"]["message"])["arguments"]["x"] == "long " * 300_000
 
 
 def test_query_holds_every_turn_once(spark, tmp_path):
