@@ -87,11 +87,11 @@ def running(lengths: Column) -> Column:
         return F.flatten(F.zip_with(
             done, sums(done, lambda d: d["at"])["out"], lambda d, before: F.transform(d["out"], lambda x: x + before)))
 
-    return let(F.transform(blocks(lengths, BLOCK), lambda block: sums(block, lambda x: x)), joined)
+    return let(lengths, lambda all_: let(F.transform(blocks(all_, BLOCK), lambda block: sums(block, lambda x: x)), joined))
 
 
 def blocks(values: Column, size: int) -> Column:
-    """``values`` cut into arrays of ``size``."""
+    """``values``, a column or a bound value, cut into arrays of ``size``."""
     return F.when(F.size(values) > size, F.transform(
         F.sequence(F.lit(1), F.size(values), F.lit(size)), lambda at: F.slice(values, at, size))).otherwise(F.array(values))
 
