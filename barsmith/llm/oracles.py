@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from .centroids import CENTROIDS, COMPONENTS, ROUNDS, SCALE, SEED
-from .decontaminate import MASKS, MISSES, WINDOW
+from .decontaminate import MASKS, MISSES, SPAN, WINDOW, short_masks
 from .quality_rules import STOP_WORDS
 from .url_filters import PATTERNS, SITE_RULES
 from .variants import LETTERS, OCCURRENCES, SPOILED, TIMES
@@ -54,18 +54,22 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 O
 
 def spaced_seeds(docs: str = "documents", items: str = "benchmark") -> str:
     """Seeds as lists of tokens; every hit is aligned and counted as in ``decontaminate``."""
-    masks = ", ".join(f"({k}, {list(m)})" for k, m in enumerate(MASKS))
+    lengths: dict[tuple[int, ...], list[int]] = {m: [] for m in MASKS}
+    for n in range(1, WINDOW):
+        for m in short_masks(n):
+            lengths.setdefault(m, []).append(n)
+    masks = ", ".join(f"({k}, {list(m)}, {n}::INT[])" for k, (m, n) in enumerate(lengths.items()))
     tokens = r"regexp_extract_all(lower(coalesce(text, '')), '[^ \t-\r!-/:-@\[-`{-~]+')"
     return f"""
 WITH d AS (SELECT doc_id, {tokens} AS w FROM {docs}),
-b AS (SELECT item_id, {tokens} AS w FROM {items}),
+b AS (SELECT DISTINCT item_id, {tokens} AS w FROM {items}),
 m AS (
-  SELECT * FROM (VALUES {masks}) AS t(k, o)
-  UNION ALL SELECT DISTINCT 100 + len(w), range(0, len(w)) FROM b WHERE len(w) BETWEEN 1 AND 8),
+  SELECT * FROM (VALUES {masks}) AS t(k, o, lengths)
+  WHERE k < {len(MASKS)} OR EXISTS (SELECT 1 FROM b WHERE list_contains(lengths, len(w)))),
 bs AS (
   SELECT item_id, k, p, list_transform(o, lambda x: w[p + x + 1]) AS seed FROM (
     SELECT *, unnest(range(0, len(w) - o[len(o)])) AS p FROM b, m
-    WHERE CASE WHEN k < 100 THEN len(w) >= 9 ELSE len(w) = len(o) END)),
+    WHERE (k < {len(MASKS)} AND len(w) >= {SPAN}) OR list_contains(lengths, len(w)))),
 ds AS (
   SELECT doc_id, k, q, list_transform(o, lambda x: w[q + x + 1]) AS seed FROM (
     SELECT *, unnest(range(0, len(w) - o[len(o)])) AS q FROM d, m WHERE len(w) > o[len(o)])),
@@ -80,7 +84,7 @@ best AS (
     lambda s: list_sum(eq[s + 1:s + width]))) AS n FROM same)
 SELECT doc_id, item_id, count(*) AS n_hits, CAST(max(n) AS BIGINT) AS best_match,
   CAST(min(q) AS BIGINT) AS first_token
-FROM best WHERE n >= width - {MISSES} GROUP BY ALL
+FROM best WHERE n >= width - least({MISSES}, {MISSES} * width // {SPAN}) GROUP BY ALL
 """
 
 

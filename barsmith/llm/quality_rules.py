@@ -111,9 +111,9 @@ def measured(text: Column | str) -> Column:
     return let(whole_text(text), lambda t: let(words(t), lambda w: of_words(w, t)))
 
 
-def measures(df: DataFrame, text: str = "text") -> DataFrame:
-    """Add the struct of all measures as ``_m``; other columns stay as they are."""
-    return df.withColumn("_m", measured(text))
+def measures(df: DataFrame, text: str = "text", name: str = "_m") -> DataFrame:
+    """Add the struct of all measures as ``name``; other columns stay as they are."""
+    return df.withColumn(name, measured(text))
 
 
 def ratio(part: Column, whole: Column) -> Column:
@@ -153,16 +153,19 @@ def compile_rules(rules: tuple[Rule, ...], m: Column) -> Column:
 
 def apply_rules(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
     """Every row with its counts, ``base_failed``, ``kept`` and the names of failed rules."""
-    out = measures(df.select(*df.columns), text).withColumn("_ok", compile_rules(rules, F.col("_m")))
+    # Two working columns under names that the table doesn't have, in whatever case.
+    taken = {c.lower() for c in df.columns}
+    m_name, ok_name = (next(n for n in (stem + "_" * k for k in range(len(taken) + 1)) if n not in taken) for stem in ("_m", "_ok"))
+    m, ok = F.col(f"`{m_name}`"), F.col(f"`{ok_name}`")
+    out = measures(df, text, m_name).withColumn(ok_name, compile_rules(rules, m))
     base = [r.name for r in rules if r.name in BASE]
-    failed = F.filter(
-        F.array(*(F.when(~F.col("_ok")[r.name], F.lit(r.name)) for r in rules)), lambda x: x.isNotNull())
+    failed = F.filter(F.array(*(F.when(~ok[r.name], F.lit(r.name)) for r in rules)), lambda x: x.isNotNull())
     made = {
-        **{c: F.col("_m")[c] for c in ("n_words", "word_chars", "n_symbols")},
-        "n_dup_lines": F.col("_m")["lines"]["dup"],
-        "n_repeat_words": F.col("_m")["n_repeat_words"],
-        "base_failed": F.exists(F.array(*(~F.col("_ok")[n] for n in base)), lambda x: x),
-        "kept": F.forall(F.array(*(F.col("_ok")[r.name] for r in rules)), lambda x: x),
+        **{c: m[c] for c in ("n_words", "word_chars", "n_symbols")},
+        "n_dup_lines": m["lines"]["dup"],
+        "n_repeat_words": m["n_repeat_words"],
+        "base_failed": F.exists(F.array(*(~ok[n] for n in base)), lambda x: x),
+        "kept": F.forall(F.array(*(ok[r.name] for r in rules)), lambda x: x),
         "failed_rules": F.array_join(failed, ","),
     }
     keep = [F.col(f"`{c}`") for c in df.columns if c not in made]

@@ -46,3 +46,11 @@ def test_own_table_and_plan(spark):
     assert qr.apply_rules(df.limit(0)).count() == 0
     plan = qr.apply_rules(df)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_working_names_that_the_table_has(spark):
+    df = spark.createDataFrame([(1, "two words", "mine", 5, 6)], "doc_id long, text string, _M string, _ok int, _ok_ int")
+    got = qr.apply_rules(df)
+    assert got.columns[:5] == df.columns
+    assert tuple(got.first())[:5] == (1, "two words", "mine", 5, 6)
+    assert got.first()["n_words"] == 2
