@@ -28,9 +28,48 @@ CARRIED = (
 )
 
 
-def _last_known(column, order: str = "open_time"):
-    """Value of the latest row where it is not NULL."""
-    return F.max_by(column, F.when(column.isNotNull(), F.col(order)))
+def _sizes(timeframes: Sequence[str]):
+    return F.array(*[
+        F.struct(F.lit(name).alias("timeframe"), F.lit(INTERVAL_SECONDS[name]).alias("seconds"))
+        for name in timeframes
+    ])
+
+
+def _nests(timeframes: Sequence[str]) -> bool:
+    """Whether the finest timeframe's bars make up those of all others, and the coarsest holds all."""
+    sizes = sorted(INTERVAL_SECONDS[t] for t in timeframes)
+    return len(sizes) > 1 and all(s % sizes[0] == 0 and sizes[-1] % s == 0 for s in sizes)
+
+
+def _partial(silver: DataFrame, carried: Sequence[str], timeframes: Sequence[str]) -> DataFrame:
+    """Candles folded to the finest timeframe, and when each value that is carried was known.
+
+    The rows are dealt out by the coarsest timeframe's bars, which hold whole bars of all others:
+    both folds then run where the rows are.
+    """
+    by_size = sorted(timeframes, key=INTERVAL_SECONDS.__getitem__)
+    fine, coarse = (F.lit(INTERVAL_SECONDS[t]) for t in (by_size[0], by_size[-1]))
+    at = F.col("open_time")
+
+    def known(c: str):
+        return F.when(F.col(c).isNotNull(), at)
+
+    return (
+        silver.withColumn("_coarse", bucket_start(at, coarse))
+        .repartition("symbol", "_coarse")
+        .groupBy("symbol", "_coarse", bucket_start(at, fine).alias("open_time"))
+        .agg(
+            F.min_by("open", known("open")).alias("open"),
+            F.min(known("open")).alias("_at_open"),
+            F.max("high").alias("high"),
+            F.min("low").alias("low"),
+            F.sum("volume").alias("volume"),
+            F.sum("quote_volume").alias("quote_volume"),
+            F.sum("trade_count").alias("trade_count"),
+            *[F.max_by(c, known(c)).alias(c) for c in ("close", *carried)],
+            *[F.max(known(c)).alias(f"_at_{c}") for c in ("close", *carried)],
+        )
+    )
 
 
 def resample(
@@ -38,16 +77,14 @@ def resample(
 ) -> DataFrame:
     """Aggregate candles of one base interval into bars of every timeframe in one shuffle.
 
-    Each candle is sent to its bucket of every timeframe; partial aggregation folds them
-    before the exchange. The pattern travels as a number, because a text buffer would turn
-    the hash aggregate into a sort.
+    Candles are folded to the finest timeframe first, and its bars to the others. Both folds run
+    on one dealing of the candles by symbol and bar of the coarsest timeframe. Timeframes that
+    do not nest get a copy of each candle for every one of them, folded before the exchange.
+    The pattern travels as a number, because a text buffer would turn the hash aggregate into
+    a sort.
     """
     carried = [c for c in CARRIED if c in silver.columns]
     has_pattern = "candle_pattern" in silver.columns
-    sizes = F.array(*[
-        F.struct(F.lit(name).alias("timeframe"), F.lit(INTERVAL_SECONDS[name]).alias("seconds"))
-        for name in timeframes
-    ])
     names = F.array(*[F.lit(p) for p in CANDLE_PATTERNS])
     code = F.array_position(names, F.col("candle_pattern")).cast("int")
     rows = silver
@@ -56,24 +93,29 @@ def resample(
     rows = rows.select(
         "symbol", "open_time", "open", "high", "low", "close", "volume", "quote_volume",
         "trade_count", *carried, *([code.alias("_pattern")] if has_pattern else []),
-        F.explode(sizes).alias("_size"),
-    ).withColumns({
+    )
+    lasts = [*carried, *(["_pattern"] if has_pattern else [])]
+    keys = ["symbol", "timeframe", "_seconds"]
+    if _nests(timeframes):
+        rows = _partial(rows, lasts, timeframes)
+        keys.append("_coarse")
+        times = {c: F.col(f"_at_{c}") for c in ("open", "close", *lasts)}
+    else:
+        times = {c: F.when(F.col(c).isNotNull(), F.col("open_time")) for c in ("open", "close", *lasts)}
+    rows = rows.withColumn("_size", F.explode(_sizes(timeframes))).withColumns({
         "timeframe": F.col("_size.timeframe"),
         "_seconds": F.col("_size.seconds"),
     }).drop("_size")
     bars = rows.groupBy(
-        "symbol", "timeframe", "_seconds",
-        bucket_start(F.col("open_time"), F.col("_seconds")).alias("window_start"),
+        *keys, bucket_start(F.col("open_time"), F.col("_seconds")).alias("window_start"),
     ).agg(
-        F.min_by("open", F.when(F.col("open").isNotNull(), F.col("open_time"))).alias("open"),
+        F.min_by("open", times["open"]).alias("open"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
-        _last_known(F.col("close")).alias("close"),
         F.sum("volume").alias("volume"),
         F.sum("quote_volume").alias("quote_volume"),
         F.sum("trade_count").alias("trade_count"),
-        *[_last_known(F.col(c)).alias(c) for c in carried],
-        *([_last_known(F.col("_pattern")).alias("_pattern")] if has_pattern else []),
+        *[F.max_by(c, times[c]).alias(c) for c in ("close", *lasts)],
     )
     return bars.select(
         "symbol", "timeframe", "window_start",
