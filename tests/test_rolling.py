@@ -58,3 +58,22 @@ def test_split_batches_and_a_restart_equal_one_batch(spark, tmp_path):
     assert rows(got) == rows(want)
     left = tables.read_batches(spark, rolling.late_path(base)).select("symbol", "open_time", "close").collect()
     assert [tuple(r) for r in left] == [("B", late[2].replace(tzinfo=None), late[6])]
+
+
+def test_idle_series_are_forgotten(spark, tmp_path):
+    rng, source, base = random.Random(6), str(tmp_path / "in"), str(tmp_path / "lake")
+    day = 24 * 60
+    parts = [[candle(rng, "A", k) for k in range(5)], [candle(rng, "B", day)], [candle(rng, "B", day + 1), candle(rng, "A", day + 1)]]
+    store = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    try:
+        for number, rows in enumerate(parts):
+            spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{source}/{number}")
+            stream = spark.readStream.schema(SCHEMA).option("recursiveFileLookup", "true").parquet(source)
+            rolling.start(stream, base, delay="10 minutes", idle=3600, rows=64, available_now=True).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", store)
+    got = tables.read_batches(spark, rolling.values_path(base))
+    last = {r["symbol"]: r["ma7"] for r in got.filter(F.col("open_time") == F.lit(START + timedelta(minutes=day + 1))).collect()}
+    # B's mean has both its candles; A starts anew.
+    assert last["A"] == parts[2][1][6]
+    assert last["B"] == (parts[1][0][6] + parts[2][0][6]) / 2
